@@ -1,2 +1,122 @@
-QUERIES = {}
-ORACLES = {}
+"""ML stages. Fits are small here; the library's defaults are the full grid."""
+
+from pyspark.sql import functions as F
+
+from termscope.catalog.base import (
+    SQL_DELIMITERS,
+    SQL_STOP,
+    STOP,
+    docs,
+    sql_docs,
+    sql_with,
+    table,
+)
+from termscope.operators import stages
+from termscope.operators.counts import tally
+from termscope.operators.evaluation import split_part, train_val_union
+from termscope.operators.numbering import global_rank
+from termscope.operators.scores import global_scores
+from termscope.operators.tuning import GridPoint, f1_score, grid_search, parameter_grid
+from termscope.plans.classification import fit_classifier
+
+_POINT = GridPoint(numTopFeatures=200, regParam=0.01, standardization=True, maxIter=5)
+
+
+def ml_tokens(spark, sf_dir):
+    tokenized = stages.review_tokenizer().transform(docs(spark, sf_dir))
+    return tokenized.select("doc_id", F.posexplode("tokens").alias("pos", "token"))
+
+
+def ml_filtered_tokens(spark, sf_dir):
+    df = stages.review_tokenizer().transform(docs(spark, sf_dir))
+    for stage in stages.term_filters(STOP):
+        df = stage.transform(df)
+    return df.select("doc_id", F.posexplode("filtered").alias("pos", "token"))
+
+
+def _selection(spark, sf_dir, num_features):
+    return stages.selection_stages(STOP, num_features).fit(docs(spark, sf_dir))
+
+
+def ml_selected_terms(spark, sf_dir):
+    return stages.selected_terms(_selection(spark, sf_dir, 2000))
+
+
+def selected_terms(spark, sf_dir):
+    """The selection's terms with their presence statistic, ranked by it."""
+    terms = stages.selected_terms(_selection(spark, sf_dir, 200))
+    scores = global_scores(tally(docs(spark, sf_dir), STOP))
+    # Two hundred rows, by the selector's own bound.
+    scored = scores.join(F.broadcast(terms), "term").select("term", "chi2")
+    return global_rank(scored, [F.desc("chi2"), F.asc("term")]).select("rk", "term", "chi2")
+
+
+def selected_features(spark, sf_dir):
+    """Non-zero weights of the selected features in every document."""
+    corpus = docs(spark, sf_dir)
+    model = stages.selection_stages(STOP, 200).fit(corpus)
+    return stages.vector_entries(
+        model.transform(corpus), ["doc_id", "label"], "selected_features"
+    )
+
+
+def svm_quality_predictions(spark, sf_dir):
+    """Binary: the quality label, over all labelled documents."""
+    labels = table(spark, sf_dir, "labels").select(
+        "doc_id", F.col("quality").cast("string").alias("quality")
+    )
+    corpus = docs(spark, sf_dir).join(labels, "doc_id").select(
+        "doc_id", F.col("quality").alias("category"), "reviewText"
+    )
+    svm = stages.linear_svm(_POINT.regParam, _POINT.maxIter)
+    model = stages.classifier_stages(STOP, svm, _POINT.numTopFeatures).fit(corpus)
+    return model.transform(corpus).select("doc_id", "label", "prediction")
+
+
+def svm_lang_predictions(spark, sf_dir):
+    corpus = docs(spark, sf_dir)
+    model = fit_classifier(corpus, _POINT, STOP, parallelism=4)
+    return model.transform(corpus).select("doc_id", "label", "prediction")
+
+
+def grid_metrics(spark, sf_dir):
+    grid = parameter_grid((200, 50), (0.01,), (True, False), (5,))
+    return grid_search(train_val_union(docs(spark, sf_dir)), grid, STOP, parallelism=4)
+
+
+def test_f1(spark, sf_dir):
+    corpus = docs(spark, sf_dir)
+    model = fit_classifier(train_val_union(corpus), _POINT, STOP, parallelism=4)
+    f1 = f1_score(model.transform(split_part(corpus, "test")))
+    return spark.createDataFrame([(f1,)], "f1 double")
+
+
+QUERIES = {
+    "ml_tokens": ml_tokens,
+    "ml_filtered_tokens": ml_filtered_tokens,
+    "ml_selected_terms": ml_selected_terms,
+    "selected_terms": selected_terms,
+    "selected_features": selected_features,
+    "svm_quality_predictions": svm_quality_predictions,
+    "svm_lang_predictions": svm_lang_predictions,
+    "grid_metrics": grid_metrics,
+    "test_f1": test_f1,
+}
+
+_TOKENS = f"""split AS (
+  SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM (
+    SELECT doc_id, regexp_split_to_array(lower(reviewText), '{SQL_DELIMITERS}') AS w FROM docs))"""
+
+_NUMBERED = "CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INT) AS pos"
+
+ORACLES = {
+    "ml_tokens": sql_with(
+        sql_docs(), _TOKENS, select=f"SELECT doc_id, {_NUMBERED}, w AS token FROM split WHERE w <> ''"
+    ),
+    "ml_filtered_tokens": sql_with(
+        sql_docs(),
+        _TOKENS,
+        select=f"""SELECT doc_id, {_NUMBERED}, w AS token FROM split
+WHERE length(w) >= 2 AND w NOT IN ({SQL_STOP})""",
+    ),
+}

@@ -22,10 +22,12 @@ def tally(docs: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
     left without terms still count. Document rows are counted as -1: a reader
     splits the table by sign, on the aggregated value. A filter on the key would
     be pushed below the aggregation and give each reader a scan of its own; a
-    filter on the value leaves one shuffle that all readers share.
+    filter on the value leaves one shuffle that all readers share. For the same
+    reason NULL categories go here: a join on category would drop them below the
+    aggregation of one reader only.
     """
     marker = F.array(F.lit(None).cast("string"))
-    pairs = docs.select(
+    pairs = docs.where("category IS NOT NULL").select(
         "category",
         F.explode(F.concat(marker, F.array_distinct(words("reviewText")))).alias("term"),
     ).where(F.col("term").isNull() | is_term("term", stopwords))

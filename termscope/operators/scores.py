@@ -17,6 +17,9 @@ from termscope.operators.numbering import top_k_per_group, top_n
 TOP_TERMS_PER_CATEGORY = 75
 TOP_TERMS_GLOBAL = 2000
 
+# Copies of each category row in the join with the pairs.
+CATEGORY_SALTS = 32
+
 
 def join_term_totals(tallied: DataFrame) -> DataFrame:
     """Ntc joined with Nt: ``(category, term, ntc, nt)``."""
@@ -39,13 +42,17 @@ def contingency(tallied: DataFrame) -> DataFrame:
 
     N is a scalar subquery. The category table carries no broadcast hint: once
     its stage has run, adaptive execution broadcasts it if its real size is below
-    the threshold, and otherwise keeps the sort-merge join and splits hot
-    categories.
+    the threshold. Beyond that the join shuffles, and the salt spreads the pairs
+    of a hot category over many tasks.
     """
     n = total_documents(tallied).scalar()
+    salts = F.array([F.lit(i).cast("bigint") for i in range(CATEGORY_SALTS)])
+    categories = category_rows(tallied).select("category", "nc", F.explode(salts).alias("_salt"))
+    salt = F.pmod(F.xxhash64("term"), F.lit(CATEGORY_SALTS))
     return (
         with_term_totals(tallied)
-        .join(category_rows(tallied), "category")
+        .withColumn("_salt", salt)
+        .join(categories, ["category", "_salt"])
         .select("category", "term", n.alias("n"), "nc", "nt", "ntc")
     )
 
@@ -70,8 +77,9 @@ def top_terms(scored: DataFrame, k: int = TOP_TERMS_PER_CATEGORY) -> DataFrame:
 def global_scores(tallied: DataFrame) -> DataFrame:
     """Chi-square of presence x all categories per term: ``(term, nt, chi2)``.
 
-    Rounded to six decimals so the order does not hang on summation order. The
-    aggregation keeps the window's partitioning by term and shuffles nothing.
+    Rounded to six decimals so the order does not hang on summation order. With
+    the category table broadcast, pairs are still partitioned by term from the
+    window, and the aggregation shuffles nothing.
     """
     n, nc, nt, ntc = (F.col(c) for c in ("n", "nc", "nt", "ntc"))
     cells = contingency(tallied)

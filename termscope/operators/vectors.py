@@ -20,19 +20,19 @@ def term_frequency(docs: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
     ends where the next one starts.
     """
     sorted_words = docs.select("doc_id", F.sort_array(words("reviewText")).alias("w"))
-    w = F.col("w")
+    w, s = F.col("w"), F.col("s")
+    # No filter on the array here: it would be pushed to the scan and tokenize
+    # there once more. An empty text has one run, of a NULL term, dropped below.
     starts = F.filter(
-        F.sequence(F.lit(0), F.size(w) - 1),
+        F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0))),
         lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1)),
     )
-    marked = sorted_words.where(F.size(w) > 0).select("doc_id", "w", starts.alias("s"))
+    marked = sorted_words.select("doc_id", "w", starts.alias("s"))
     runs = F.transform(
-        F.col("s"),
+        s,
         lambda start, at: F.struct(
-            F.get(F.col("w"), start).alias("term"),
-            (F.coalesce(F.get(F.col("s"), at + 1), F.size("w")) - start)
-            .cast("bigint")
-            .alias("tf"),
+            F.get(w, start).alias("term"),
+            (F.coalesce(F.get(s, at + 1), F.size(w)) - start).cast("bigint").alias("tf"),
         ),
     )
     return marked.select("doc_id", F.inline(runs)).where(is_term("term", stopwords))

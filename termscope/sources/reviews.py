@@ -116,6 +116,13 @@ def read_ordered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataF
     )
 
 
+def load_keyed_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Valid documents with a unique ``doc_id`` made of the line's place."""
+    lines = read_ordered_lines(spark, paths)
+    keyed = lines.select(F.concat_ws(":", *_LINE_KEY).alias("doc_id"), "value")
+    return required_fields(parse_reviews(keyed, keep=("doc_id",)), keep=("doc_id",))
+
+
 def sample_head(df: DataFrame, order: Sequence[str] = _LINE_KEY, n: int = 5000) -> DataFrame:
     """The first ``n`` rows in the given order."""
     return df.orderBy(*order).limit(n)
