@@ -16,21 +16,21 @@ from termscope.catalog.base import (
     sql_words,
     text_lines,
 )
-from termscope.catalog.scores import ranked, scored
+from termscope.catalog.scores import ranked, scored, table
 from termscope.operators import compare as ops
 from termscope.operators.counts import tally
 from termscope.operators.numbering import top_k_per_group
-from termscope.operators.scores import score_pairs, top_terms, top_terms_global
+from termscope.operators.scores import contingency, score_pairs, top_terms, top_terms_global
 
 
 def compare_scores(spark, sf_dir):
-    by_line = score_pairs(tally(text_lines(docs(spark, sf_dir)), STOP))
+    by_line = score_pairs(contingency(tally(text_lines(docs(spark, sf_dir)), STOP)))
     return ops.compare_scores(scored(spark, sf_dir), by_line)
 
 
 def _dictionary_and_global(spark, sf_dir):
-    tallied = tally(docs(spark, sf_dir), STOP)
-    return top_terms(score_pairs(tallied)).select("term").distinct(), top_terms_global(tallied)
+    counts = table(spark, sf_dir)
+    return top_terms(score_pairs(counts)).select("term").distinct(), top_terms_global(counts)
 
 
 def term_set_overlap(spark, sf_dir):

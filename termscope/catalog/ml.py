@@ -15,7 +15,7 @@ from termscope.operators import stages
 from termscope.operators.counts import tally
 from termscope.operators.evaluation import split_part, train_val_union
 from termscope.operators.numbering import global_rank
-from termscope.operators.scores import global_scores
+from termscope.operators.scores import contingency, global_scores
 from termscope.operators.tuning import GridPoint, f1_score, grid_search, parameter_grid
 from termscope.plans.classification import fit_classifier
 
@@ -45,7 +45,7 @@ def ml_selected_terms(spark, sf_dir):
 def selected_terms(spark, sf_dir):
     """The selection's terms with their presence statistic, ranked by it."""
     terms = stages.selected_terms(_selection(spark, sf_dir, 200))
-    scores = global_scores(tally(docs(spark, sf_dir), STOP))
+    scores = global_scores(contingency(tally(docs(spark, sf_dir), STOP)))
     # Two hundred rows, by the selector's own bound.
     scored = scores.join(F.broadcast(terms), "term").select("term", "chi2")
     return global_rank(scored, [F.desc("chi2"), F.asc("term")]).select("rk", "term", "chi2")

@@ -17,8 +17,12 @@ from termscope.operators.counts import run_summary as summarize
 from termscope.operators.counts import tally
 
 
+def table(spark, sf_dir, category="lang"):
+    return ops.contingency(tally(docs(spark, sf_dir, category), STOP))
+
+
 def scored(spark, sf_dir, category="lang"):
-    return ops.score_pairs(tally(docs(spark, sf_dir, category), STOP))
+    return ops.score_pairs(table(spark, sf_dir, category))
 
 
 def ranked(spark, sf_dir, category="lang"):
@@ -42,7 +46,7 @@ def topk_terms_per_source(spark, sf_dir):
 
 
 def topn_terms_global(spark, sf_dir):
-    return ops.top_terms_global(tally(docs(spark, sf_dir), STOP))
+    return ops.top_terms_global(table(spark, sf_dir))
 
 
 def run_summary(spark, sf_dir):

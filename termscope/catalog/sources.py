@@ -52,7 +52,7 @@ def load_quality(spark, sf_dir):
 
 def round_robin_shards(spark, sf_dir):
     ids = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
-    return src.round_robin_shards(ids, ["doc_id"])
+    return src.round_robin_shards(src.number_rows(ids, ["doc_id"]))
 
 
 def shard_union(spark, sf_dir):

@@ -91,13 +91,6 @@ def with_tag(counts: DataFrame, tag: str) -> DataFrame:
     return counts.where(F.col("tag") == tag).drop("tag")
 
 
-def tally_from_counts(counts: DataFrame) -> DataFrame:
-    """The tally form of stored counts, ready for scoring."""
-    kept = counts.where(F.col("tag").isin("NC", "NTC"))
-    signed = F.when(F.col("tag") == "NC", -F.col("cnt")).otherwise(F.col("cnt"))
-    return kept.select("category", "term", signed.alias("tally"))
-
-
 def corpus_meta(counts: DataFrame) -> DataFrame:
     """Corpus metadata as rows ``(category, n, nc)``."""
     n = with_tag(counts, "N").agg(F.sum("cnt").alias("n")).scalar()

@@ -1,4 +1,4 @@
-"""Association scores over a tally, and the terms they select."""
+"""Association scores over document counts, and the terms they select."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from termscope.operators.counts import (
     category_term_rows,
     term_rows,
     total_documents,
+    with_tag,
 )
 from termscope.operators.numbering import top_k_per_group, top_n
 
@@ -28,41 +29,52 @@ def join_term_totals(tallied: DataFrame) -> DataFrame:
     )
 
 
-def with_term_totals(tallied: DataFrame) -> DataFrame:
-    """The same rows as :func:`join_term_totals` with one shuffle in place of two.
+def with_term_totals(pairs: DataFrame) -> DataFrame:
+    """Add Nt to ``(category, term, ntc)`` with one shuffle in place of a join.
 
-    A term has at most one tally row per category, so no window group is hot.
+    A term has at most one pair per category, so no window group is hot.
     """
-    totals = F.sum("ntc").over(Window.partitionBy("term"))
-    return category_term_rows(tallied).withColumn("nt", totals)
+    return pairs.withColumn("nt", F.sum("ntc").over(Window.partitionBy("term")))
 
 
 def contingency(tallied: DataFrame) -> DataFrame:
-    """All counts per pair: ``(category, term, n, nc, nt, ntc)``.
+    """All counts per pair: ``(category, term, n, nc, nt, ntc)``."""
+    return _contingency(
+        category_term_rows(tallied), category_rows(tallied), total_documents(tallied)
+    )
+
+
+def contingency_from_counts(counts: DataFrame) -> DataFrame:
+    """The same from stored counts; each side scans the folder of its own tag."""
+    return _contingency(
+        with_tag(counts, "NTC").select("category", "term", F.col("cnt").alias("ntc")),
+        with_tag(counts, "NC").select("category", F.col("cnt").alias("nc")),
+        with_tag(counts, "N").agg(F.sum("cnt").alias("n")),
+    )
+
 
-    N is a scalar subquery. The category table carries no broadcast hint: once
+def _contingency(pairs: DataFrame, categories: DataFrame, total: DataFrame) -> DataFrame:
+    """N is a scalar subquery. The category table carries no broadcast hint: once
     its stage has run, adaptive execution broadcasts it if its real size is below
     the threshold. Beyond that the join shuffles, and the salt spreads the pairs
     of a hot category over many tasks.
     """
-    n = total_documents(tallied).scalar()
     salts = F.array([F.lit(i).cast("bigint") for i in range(CATEGORY_SALTS)])
-    categories = category_rows(tallied).select("category", "nc", F.explode(salts).alias("_salt"))
+    categories = categories.select("category", "nc", F.explode(salts).alias("_salt"))
     salt = F.pmod(F.xxhash64("term"), F.lit(CATEGORY_SALTS))
     return (
-        with_term_totals(tallied)
+        with_term_totals(pairs)
         .withColumn("_salt", salt)
         .join(categories, ["category", "_salt"])
-        .select("category", "term", n.alias("n"), "nc", "nt", "ntc")
+        .select("category", "term", total.scalar().alias("n"), "nc", "nt", "ntc")
     )
 
 
-def score_pairs(tallied: DataFrame) -> DataFrame:
-    """Chi-square of every co-occurring pair: ``(category, term, chi2)``."""
+def score_pairs(table: DataFrame) -> DataFrame:
+    """Chi-square of every co-occurring pair of a contingency table:
+    ``(category, term, chi2)``."""
     counts = [F.col(c) for c in ("n", "nc", "nt", "ntc")]
-    return contingency(tallied).select(
-        "category", "term", chi_square(*counts).alias("chi2")
-    )
+    return table.select("category", "term", chi_square(*counts).alias("chi2"))
 
 
 def top_terms(scored: DataFrame, k: int = TOP_TERMS_PER_CATEGORY) -> DataFrame:
@@ -74,16 +86,16 @@ def top_terms(scored: DataFrame, k: int = TOP_TERMS_PER_CATEGORY) -> DataFrame:
     return ranked.select("category", "rk", "term", "chi2")
 
 
-def global_scores(tallied: DataFrame) -> DataFrame:
-    """Chi-square of presence x all categories per term: ``(term, nt, chi2)``.
+def global_scores(table: DataFrame) -> DataFrame:
+    """Chi-square of presence x all categories per term of a contingency table:
+    ``(term, nt, chi2)``.
 
     Rounded to six decimals so the order does not hang on summation order. With
     the category table broadcast, pairs are still partitioned by term from the
     window, and the aggregation shuffles nothing.
     """
     n, nc, nt, ntc = (F.col(c) for c in ("n", "nc", "nt", "ntc"))
-    cells = contingency(tallied)
-    summed = cells.groupBy("term").agg(
+    summed = table.groupBy("term").agg(
         F.max("n").alias("n"),
         F.max("nt").alias("nt"),
         F.sum(chi_square_cell(n, nc, nt, ntc)).alias("observed"),
@@ -93,6 +105,6 @@ def global_scores(tallied: DataFrame) -> DataFrame:
     return summed.select("term", "nt", F.round(F.col("observed") + empty, 6).alias("chi2"))
 
 
-def top_terms_global(tallied: DataFrame, n: int = TOP_TERMS_GLOBAL) -> DataFrame:
+def top_terms_global(table: DataFrame, n: int = TOP_TERMS_GLOBAL) -> DataFrame:
     """The best ``n`` terms of the corpus: ``(term, nt, chi2)``."""
-    return top_n(global_scores(tallied), [F.desc("chi2"), F.asc("term")], n)
+    return top_n(global_scores(table), [F.desc("chi2"), F.asc("term")], n)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from termscope.functions.stats import idf as idf_value
 from termscope.functions.text import is_term, words
 from termscope.operators.numbering import global_rank
+from termscope.sources.storage import MAX_BROADCAST_ROWS, join_by_size
 
 
 def term_frequency(docs: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
@@ -86,16 +87,21 @@ def idf(docs: DataFrame, stopwords: Iterable[str] = (), min_doc_freq: int = 0) -
     return counted.where("cnt > 0").select("term", df.alias("df"), weight.alias("idf"))
 
 
-def tfidf(docs: DataFrame, stopwords: Iterable[str] = (), min_doc_freq: int = 0) -> DataFrame:
+def tfidf(
+    docs: DataFrame,
+    stopwords: Iterable[str] = (),
+    min_doc_freq: int = 0,
+    max_terms: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
     """``(doc_id, term, weight)`` with weight tf * idf.
 
-    Without a broadcast hint: a small vocabulary is broadcast by its measured
-    size, a large one joined by term with hot terms split at run time.
+    The term weights are stored first. A vocabulary of proven size is broadcast
+    and the documents stay where they are; a larger one is joined by term.
     """
     weights = idf(docs, stopwords, min_doc_freq).select("term", "idf")
+    counted = term_frequency(docs, stopwords)
     return (
-        term_frequency(docs, stopwords)
-        .join(weights, "term")
+        join_by_size(counted, weights, "term", "idf", max_terms)
         .select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("weight"))
     )
 

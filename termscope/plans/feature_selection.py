@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from termscope.operators.counts import tally
-from termscope.operators.scores import top_terms_global
+from termscope.operators.scores import contingency, top_terms_global
 from termscope.operators.stages import (
     NUM_TOP_FEATURES,
     VOCABULARY_SIZE,
@@ -42,6 +42,6 @@ def select_terms_by_presence(
     A plain aggregation: no vocabulary cap, no limit on distinct weights, and
     ranked by the statistic, which does not underflow as p-values do.
     """
-    terms = top_terms_global(tally(docs, stopwords), num_features)
+    terms = top_terms_global(contingency(tally(docs, stopwords)), num_features)
     write_terms(terms.select("term"), output)
     return terms

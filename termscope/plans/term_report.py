@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame
 
 from termscope.operators import counts as c
 from termscope.operators.report import merged_dictionary, report_lines
-from termscope.operators.scores import TOP_TERMS_PER_CATEGORY, score_pairs, top_terms
+from termscope.operators.scores import (
+    TOP_TERMS_PER_CATEGORY,
+    contingency_from_counts,
+    score_pairs,
+    top_terms,
+)
 from termscope.sources.report import write_dictionary, write_text
 
 
@@ -34,7 +39,7 @@ def report_from_counts(
     """The part of the run after counting."""
     spark = counts.sparkSession
     write_text(c.corpus_meta_json(counts), f"{output}/meta", "value")
-    ranked = top_terms(score_pairs(c.tally_from_counts(counts)), k)
+    ranked = top_terms(score_pairs(contingency_from_counts(counts)), k)
     ranked.write.mode("overwrite").parquet(f"{output}/ranked")
     ranked = spark.read.schema(ranked.schema).parquet(f"{output}/ranked")
     write_text(report_lines(ranked), f"{output}/report")

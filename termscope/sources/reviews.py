@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,14 +128,35 @@ def sample_head(df: DataFrame, order: Sequence[str] = _LINE_KEY, n: int = 5000)
     return df.orderBy(*order).limit(n)
 
 
-def round_robin_shards(
-    df: DataFrame, order: Sequence[str] = _LINE_KEY, shards: int = 4
-) -> DataFrame:
-    """Deal rows to shards in turn: row ``i`` (from 1) gets ``(i - 1) % shards``."""
-    ranked = global_rank(df, [F.col(c) for c in order], "_line")
-    return ranked.withColumn(
-        "shard", F.pmod(F.col("_line") - 1, F.lit(shards)).cast("int")
-    ).drop("_line")
+def number_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Lines numbered from 1 in file order: ``(line, value)``; no text is moved.
+
+    A first pass counts the lines of each split. The offsets, one row per split,
+    are joined back to the lines; within a split ids already grow by one.
+    """
+    lines = read_ordered_lines(spark, paths)
+    splits = lines.groupBy("_file", "_block").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_seq").alias("_first")
+    )
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select(
+        "_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
+    )
+    # Broadcast: one row per input split, a list the driver schedules from anyway.
+    starts = F.broadcast(starts)
+    number = F.col("_start") + F.col("_seq") - F.col("_first") + 1
+    return lines.join(starts, ["_file", "_block"]).select(number.alias("line"), "value")
+
+
+def number_rows(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows of a table numbered from 1 by columns that order it totally."""
+    return global_rank(df, [F.col(c) for c in order], "line")
+
+
+def round_robin_shards(numbered: DataFrame, shards: int = 4) -> DataFrame:
+    """Deal numbered rows to shards in turn: row 1 to shard 0, row 2 to shard 1."""
+    shard = F.pmod(F.col("line") - 1, F.lit(shards)).cast("int")
+    return numbered.withColumn("shard", shard).drop("line")
 
 
 def write_shards(df: DataFrame, path: str, columns: Sequence[str], shards: int = 4) -> list[str]:

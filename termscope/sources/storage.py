@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A broadcast of so many (term, weight) rows takes some 200 MB.
+MAX_BROADCAST_ROWS = 2_000_000
 
 _local_dir: str | None = None
 
@@ -42,6 +46,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_by_size(
+    df: DataFrame, small: DataFrame, on: str, label: str, max_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Inner join with a side whose size is unknown before it is computed.
+
+    The side is stored and counted. Up to ``max_rows`` it is broadcast, so ``df``
+    is not shuffled; beyond that both sides are shuffled by key and adaptive
+    execution splits hot keys. Without the count, a plan made from estimates
+    would have started to shuffle ``df`` before the side was known to be small.
+    """
+    small = stored(small, label)
+    if small.count() <= max_rows:
+        small = F.broadcast(small)
+    return df.join(small, on)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition an input of fewer splits than half the cores.
 

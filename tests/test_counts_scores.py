@@ -60,7 +60,7 @@ def test_tagged_counts_stored_and_read_back(spark, reviews, tmp_path):
     assert {(r.tag, r.category, r.term): r.cnt for r in stored.collect()} == expected
     plan = c.with_tag(stored, "NT")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(tag" in plan
-    scored = s.score_pairs(c.tally_from_counts(stored))
+    scored = s.score_pairs(s.contingency_from_counts(stored))
     assert {(r.category, r.term): r.chi2 for r in scored.collect()} == pytest.approx(
         brute.scores(rows, STOP), rel=1e-12, abs=1e-12
     )
@@ -71,13 +71,13 @@ def test_tagged_counts_stored_and_read_back(spark, reviews, tmp_path):
 
 def test_category_named_like_a_counter(reviews):
     rows = [("N", "word"), ("NC", "word two"), ("__N__", "two")]
-    scored = s.score_pairs(c.tally(reviews(rows)))
+    scored = s.score_pairs(s.contingency(c.tally(reviews(rows))))
     assert {(r.category, r.term): r.chi2 for r in scored.collect()} == pytest.approx(brute.scores(rows))
 
 
 @pytest.mark.parametrize("rows", CORPORA)
 def test_scores_and_top_terms_equal_the_definition(reviews, rows):
-    scored = s.score_pairs(c.tally(reviews(rows), STOP))
+    scored = s.score_pairs(s.contingency(c.tally(reviews(rows), STOP)))
     assert {(r.category, r.term): r.chi2 for r in scored.collect()} == pytest.approx(
         brute.scores(rows, STOP), rel=1e-12, abs=1e-12
     )
@@ -93,7 +93,7 @@ def test_scores_and_top_terms_equal_the_definition(reviews, rows):
 
 @pytest.mark.parametrize("rows", CORPORA)
 def test_global_scores_equal_the_full_table(reviews, rows):
-    got = {r.term: r.chi2 for r in s.global_scores(c.tally(reviews(rows), STOP)).collect()}
+    got = {r.term: r.chi2 for r in s.global_scores(s.contingency(c.tally(reviews(rows), STOP))).collect()}
     assert got == pytest.approx(brute.global_scores(rows, STOP), abs=2e-6)
 
 
@@ -101,7 +101,7 @@ def test_join_and_window_totals_agree(reviews):
     t = c.tally(reviews(CORPORA[0]), STOP)
     columns = ["category", "term", "ntc", "nt"]
     assert sorted(s.join_term_totals(t).select(columns).collect()) == sorted(
-        s.with_term_totals(t).select(columns).collect()
+        s.with_term_totals(c.category_term_rows(t)).select(columns).collect()
     )
 
 
@@ -148,7 +148,7 @@ def _plan(df, final=False):
 
 def test_top_k_prunes_before_its_shuffle(reviews):
     """Also where the category table is too large to broadcast."""
-    plan = _plan(s.top_terms(s.score_pairs(c.tally(reviews(CORPORA[0]), STOP))))
+    plan = _plan(s.top_terms(s.score_pairs(s.contingency(c.tally(reviews(CORPORA[0]), STOP)))))
     assert "SortMergeJoin" in plan and plan.count("WindowGroupLimit") == 2
 
 
@@ -156,7 +156,7 @@ def test_scores_without_broadcast(spark, reviews):
     rows = CORPORA[0]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        scored = s.score_pairs(c.tally(reviews(rows), STOP))
+        scored = s.score_pairs(s.contingency(c.tally(reviews(rows), STOP)))
         got = {(r.category, r.term): r.chi2 for r in scored.collect()}
         assert "BroadcastHashJoin" not in _plan(scored, final=True)
     finally:
@@ -168,7 +168,7 @@ def test_scoring_shares_one_scan(spark, reviews, tmp_path):
     """Three branches read the tally: two reuse the shuffle of the first."""
     path = str(tmp_path / "docs")
     reviews(CORPORA[0]).write.parquet(path)
-    top = s.top_terms(s.score_pairs(c.tally(spark.read.parquet(path), STOP)))
+    top = s.top_terms(s.score_pairs(s.contingency(c.tally(spark.read.parquet(path), STOP))))
     top.collect()
     lines = top._jdf.queryExecution().executedPlan().toString().splitlines()
     tally_stages = [x for x in lines if "hashpartitioning(category" in x and "term" in x]
@@ -201,6 +201,6 @@ def test_known_categories(spark, reviews):
 
 
 def test_run_summary(reviews):
-    scored = s.score_pairs(c.tally(reviews([("a", "one two"), ("b", "two")])))
+    scored = s.score_pairs(s.contingency(c.tally(reviews([("a", "one two"), ("b", "two")]))))
     row = c.run_summary(scored, s.top_terms(scored)).first()
     assert (row.scored_pairs, row.categories, row.merged_terms) == (3, 2, 2)

@@ -6,11 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from termscope.operators import compare, report
-from termscope.operators.counts import tally
-from termscope.operators.scores import score_pairs, top_terms
+from termscope.operators.counts import read_counts, tally
+from termscope.operators.scores import contingency, score_pairs, top_terms
 from termscope.plans.feature_selection import select_terms_by_presence
 from termscope.plans.term_report import report_from_counts, term_report
-from termscope.operators.counts import read_counts
 
 PAIR = re.compile(r"^[^:\s]+:-?\d+(?:\.\d+)?$")
 K = 7
@@ -28,7 +27,7 @@ def rows():
 
 @pytest.fixture
 def ranked(reviews, rows):
-    return top_terms(score_pairs(tally(reviews(rows))), K)
+    return top_terms(score_pairs(contingency(tally(reviews(rows)))), K)
 
 
 def test_report_structure(ranked, rows):

@@ -91,13 +91,23 @@ def test_file_order_survives_many_splits(spark, tmp_path):
         lines = src.read_ordered_lines(spark, str(path))
         assert lines.rdd.getNumPartitions() > 3
         head = src.sample_head(lines, n=50).collect()
-        shards = src.round_robin_shards(lines).collect()
+        shards = src.round_robin_shards(src.number_lines(spark, str(path))).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert [r.value for r in head] == [f"line {i}" for i in range(50)]
     assert {(r.value, r.shard) for r in shards} == {(f"line {i}", i % 4) for i in range(2000)}
 
 
+def test_lines_are_numbered_across_files(spark, tmp_path):
+    for name, n in (("b", 30), ("a", 7), ("c", 0), ("d", 3)):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name}{i}\n" for i in range(n)))
+    got = {r.line: r.value for r in src.number_lines(spark, str(tmp_path)).collect()}
+    expected = [f"{name}{i}" for name, n in (("a", 7), ("b", 30), ("d", 3)) for i in range(n)]
+    assert got == {i + 1: v for i, v in enumerate(expected)}
+    plan = src.number_lines(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "value" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+
+
 def test_keyed_documents_have_unique_ids(spark, tmp_path):
     path = tmp_path / "r.json"
     path.write_text('{"category":"a","reviewText":"same"}\n' * 30)
@@ -107,7 +117,7 @@ def test_keyed_documents_have_unique_ids(spark, tmp_path):
 
 def test_shards_written_and_read_back(spark, tmp_path):
     df = spark.range(10).selectExpr("id", "concat('c', id) category", "'t' reviewText")
-    sharded = src.round_robin_shards(df, ["id"])
+    sharded = src.round_robin_shards(src.number_rows(df, ["id"]))
     paths = src.write_shards(sharded, str(tmp_path / "s"), ["category", "reviewText"])
     assert sorted(r.category for r in src.load_documents(spark, paths[1]).collect()) == ["c1", "c5", "c9"]
     assert src.load_documents(spark, paths).count() == 10

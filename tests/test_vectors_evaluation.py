@@ -43,14 +43,24 @@ def test_vocabulary(reviews, rows):
     assert [r.term for r in first] == expected[:3]
 
 
-def test_tfidf_and_unit_length(reviews, rows):
+@pytest.fixture
+def no_auto_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("max_terms", [1000, 0])
+def test_tfidf_and_unit_length(no_auto_broadcast, reviews, rows, max_terms):
     tfs = _tf(rows)
     df = Counter(t for tf in tfs for t in tf)
     m = len(rows)
     expected = {
         (i, t): n * math.log((m + 1) / (df[t] + 1)) for i, tf in enumerate(tfs) for t, n in tf.items()
     }
-    weights = v.tfidf(reviews(rows), STOP)
+    weights = v.tfidf(reviews(rows), STOP, max_terms=max_terms)
+    shuffled = "SortMergeJoin" in weights._jdf.queryExecution().executedPlan().toString()
+    assert shuffled == (max_terms == 0)
     assert {(r.doc_id, r.term): r.weight for r in weights.collect()} == pytest.approx(expected)
     squares = defaultdict(float)
     for (i, _), w in expected.items():
