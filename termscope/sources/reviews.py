@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termscope.operators.numbering import global_rank
+from termscope.sources.storage import spread
 
 REVIEW_SCHEMA = T.StructType(
     [
@@ -66,7 +67,7 @@ def scan_reviews(
     fields: Sequence[str] = REQUIRED_FIELDS,
 ) -> DataFrame:
     """Reviews of one or many JSON-lines files, malformed lines dropped."""
-    return parse_reviews(read_lines(spark, paths), fields=fields)
+    return parse_reviews(spread(read_lines(spark, paths)), fields=fields)
 
 
 def required_fields(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -120,6 +121,7 @@ def load_keyed_documents(spark: SparkSession, paths: str | Sequence[str]) -> Dat
     """Valid documents with a unique ``doc_id`` made of the line's place."""
     lines = read_ordered_lines(spark, paths)
     keyed = lines.select(F.concat_ws(":", *_LINE_KEY).alias("doc_id"), "value")
+    keyed = spread(keyed, "doc_id")
     return required_fields(parse_reviews(keyed, keep=("doc_id",)), keep=("doc_id",))
 
 
