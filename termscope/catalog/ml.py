@@ -17,7 +17,7 @@ from termscope.operators.evaluation import split_part, train_val_union
 from termscope.operators.numbering import global_rank
 from termscope.operators.scores import contingency, global_scores
 from termscope.operators.tuning import GridPoint, f1_score, grid_search, parameter_grid
-from termscope.plans.classification import fit_classifier
+from termscope.plans.classification import fit_classifier, fit_stages
 
 _POINT = GridPoint(numTopFeatures=200, regParam=0.01, standardization=True, maxIter=5)
 
@@ -69,7 +69,7 @@ def svm_quality_predictions(spark, sf_dir):
         "doc_id", F.col("quality").alias("category"), "reviewText"
     )
     svm = stages.linear_svm(_POINT.regParam, _POINT.maxIter)
-    model = stages.classifier_stages(STOP, svm, _POINT.numTopFeatures).fit(corpus)
+    model = fit_stages(corpus, svm, _POINT.numTopFeatures, STOP)
     return model.transform(corpus).select("doc_id", "label", "prediction")
 
 

@@ -59,7 +59,7 @@ def _contingency(pairs: DataFrame, categories: DataFrame, total: DataFrame) -> D
     the threshold. Beyond that the join shuffles, and the salt spreads the pairs
     of a hot category over many tasks.
     """
-    salts = F.array([F.lit(i).cast("bigint") for i in range(CATEGORY_SALTS)])
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(CATEGORY_SALTS - 1).cast("bigint"))
     categories = categories.select("category", "nc", F.explode(salts).alias("_salt"))
     salt = F.pmod(F.xxhash64("term"), F.lit(CATEGORY_SALTS))
     return (

@@ -31,6 +31,9 @@ from termscope.operators.stages import (
     slice_top_features,
 )
 
+# Non-zero entries per part of a training set: 500 MB if all are stored.
+ENTRIES_PER_PART = 40_000_000
+
 METRICS_SCHEMA = (
     "numTopFeatures int, regParam double, standardization boolean, maxIter int, f1 double"
 )
@@ -63,6 +66,24 @@ def f1_score(predictions: DataFrame) -> float:
     return weighted_f1(confusion_counts(predictions)).first().f1
 
 
+def training_set(features: DataFrame, num_features: int) -> DataFrame:
+    """Keep label and vector for the iterations of a fit, in few enough parts.
+
+    Vectors are far smaller than the texts they came from, and every iteration
+    runs one task per part. A part holds at most ``ENTRIES_PER_PART`` entries
+    even if no vector has a zero.
+    """
+    kept = _kept(features)
+    rows_per_part = max(1, ENTRIES_PER_PART // num_features)
+    parts = max(1, -(-kept.count() // rows_per_part))
+    if parts >= kept.rdd.getNumPartitions():
+        return kept
+    merged = _kept(kept.coalesce(parts))
+    merged.count()
+    kept.unpersist()
+    return merged
+
+
 def fit_point(train: DataFrame, point: GridPoint, parallelism: int = 1) -> OneVsRestModel:
     """One multi-class SVM on normalized features."""
     svm = linear_svm(point.regParam, point.maxIter, point.standardization)
@@ -99,8 +120,9 @@ def _fold_scores(
     for num_features, points in groupby(by_features, key=lambda p: p.numTopFeatures):
         select = slice_top_features(statistics, num_features)
         chosen = [
-            _kept(
-                l2_normalizer().transform(select.transform(part)).select("label", "norm_features")
+            training_set(
+                l2_normalizer().transform(select.transform(part)).select("label", "norm_features"),
+                num_features,
             )
             for part in (train_weights, test_weights)
         ]

@@ -6,17 +6,25 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame
 
 from termscope.operators.evaluation import FOLDS, SEED, split_part, train_val_union
 from termscope.operators.stages import (
     VOCABULARY_SIZE,
-    classifier_stages,
+    l2_normalizer,
     linear_svm,
     one_vs_rest,
+    selection_stages,
+)
+from termscope.operators.tuning import (
+    GridPoint,
+    best_point,
+    f1_score,
+    grid_search,
+    parameter_grid,
+    training_set,
 )
-from termscope.operators.tuning import GridPoint, best_point, f1_score, grid_search, parameter_grid
 from termscope.sources.report import write_json
 
 
@@ -37,10 +45,25 @@ def fit_classifier(
 ) -> PipelineModel:
     """Fit all stages with one configuration."""
     svm = linear_svm(point.regParam, point.maxIter, point.standardization)
-    stages = classifier_stages(
-        stopwords, one_vs_rest(svm, parallelism), point.numTopFeatures, vocabulary_size
-    )
-    return stages.fit(docs)
+    classifier = one_vs_rest(svm, parallelism)
+    return fit_stages(docs, classifier, point.numTopFeatures, stopwords, vocabulary_size)
+
+
+def fit_stages(
+    docs: DataFrame,
+    classifier: Estimator,
+    num_features: int,
+    stopwords: Iterable[str] = (),
+    vocabulary_size: int = VOCABULARY_SIZE,
+) -> PipelineModel:
+    """What ``classifier_stages(...).fit`` gives, with a kept training set."""
+    selection = selection_stages(stopwords, num_features, vocabulary_size).fit(docs)
+    normalizer = l2_normalizer()
+    features = normalizer.transform(selection.transform(docs)).select("label", "norm_features")
+    train = training_set(features, num_features)
+    model = classifier.fit(train)
+    train.unpersist()
+    return PipelineModel(stages=[*selection.stages, normalizer, model])
 
 
 def tune_and_evaluate(

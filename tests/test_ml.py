@@ -111,6 +111,26 @@ def test_classifier_learns_and_skips_unknown_labels(docs, reviews):
     assert {r.category: r.label == r.prediction for r in predicted} == {"Fish": True, "Cars": True}
 
 
+def test_kept_training_set_changes_nothing(docs):
+    """Against Spark's own pipeline of the same eight stages."""
+    point = tuning.GridPoint(8, 0.05, True, 4)
+    ovr = stages.one_vs_rest(stages.linear_svm(point.regParam, point.maxIter))
+    whole = stages.classifier_stages(STOP, ovr, point.numTopFeatures).fit(docs)
+    ours = fit_classifier(docs, point, STOP)
+    assert len(ours.stages) == len(whole.stages)
+    for a, b in zip(ours.stages[-1].models, whole.stages[-1].models):
+        assert a.coefficients.toArray() == pytest.approx(b.coefficients.toArray(), abs=1e-9)
+
+
+def test_training_set_is_merged_by_size(spark, docs, monkeypatch):
+    model = stages.selection_stages(STOP, 4).fit(docs)
+    features = model.transform(docs.repartition(6)).select("label", "selected_features")
+    assert tuning.training_set(features, 4).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(tuning, "ENTRIES_PER_PART", 4 * 40)
+    kept = tuning.training_set(features, 4)
+    assert kept.rdd.getNumPartitions() == 4 and kept.count() == 150
+
+
 def test_binary_svm(docs):
     two = docs.where("category <> 'Food'")
     model = stages.classifier_stages(STOP, stages.linear_svm(0.01, 5), 8).fit(two)
