@@ -1,5 +1,6 @@
 """ML stages. Fits are small here; the library's defaults are the full grid."""
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from termscope.catalog.base import (
@@ -7,7 +8,10 @@ from termscope.catalog.base import (
     SQL_STOP,
     STOP,
     docs,
+    sql_corpus,
+    sql_counts,
     sql_docs,
+    sql_global,
     sql_with,
     table,
 )
@@ -15,7 +19,7 @@ from termscope.operators import stages
 from termscope.operators.counts import tally
 from termscope.operators.evaluation import split_part, train_val_union
 from termscope.operators.numbering import global_rank
-from termscope.operators.scores import contingency, global_scores
+from termscope.operators.scores import contingency, global_scores, top_terms_global
 from termscope.operators.tuning import GridPoint, f1_score, grid_search, parameter_grid
 from termscope.plans.classification import fit_classifier, fit_stages
 
@@ -51,6 +55,40 @@ def selected_terms(spark, sf_dir):
     return global_rank(scored, [F.desc("chi2"), F.asc("term")]).select("rk", "term", "chi2")
 
 
+def ml_feature_statistics(spark, sf_dir):
+    """The selector's test of every term of the vocabulary."""
+    corpus = docs(spark, sf_dir)
+    model = Pipeline(
+        stages=[*stages.count_stages(STOP), stages.inverse_document_frequency()]
+    ).fit(corpus)
+    tested = stages.feature_statistics(model.transform(corpus))
+    return tested.join(
+        stages.vocabulary_terms(model), F.col("featureIndex") == F.col("idx")
+    ).select(
+        "term",
+        F.col("degreesOfFreedom").cast("int").alias("dof"),
+        F.round("statistic", 4).alias("statistic"),
+    )
+
+
+def ml_unit_features(spark, sf_dir):
+    """Unit TF-IDF vectors over the 200 best terms by presence."""
+    corpus = docs(spark, sf_dir)
+    best = top_terms_global(contingency(tally(corpus, STOP)), 200)
+    terms = sorted(r.term for r in best.select("term").collect())
+    model = Pipeline(
+        stages=[
+            *stages.count_stages(STOP, terms),
+            stages.inverse_document_frequency(),
+            stages.l2_normalizer().setInputCol("tfidf_features"),
+        ]
+    ).fit(corpus)
+    entries = stages.vector_entries(model.transform(corpus), ["doc_id"], "norm_features")
+    return entries.join(stages.vocabulary_terms(model), F.col("slot") == F.col("idx")).select(
+        "doc_id", "term", F.round("weight", 6).alias("weight")
+    )
+
+
 def selected_features(spark, sf_dir):
     """Non-zero weights of the selected features in every document."""
     corpus = docs(spark, sf_dir)
@@ -96,6 +134,8 @@ QUERIES = {
     "ml_filtered_tokens": ml_filtered_tokens,
     "ml_selected_terms": ml_selected_terms,
     "selected_terms": selected_terms,
+    "ml_feature_statistics": ml_feature_statistics,
+    "ml_unit_features": ml_unit_features,
     "selected_features": selected_features,
     "svm_quality_predictions": svm_quality_predictions,
     "svm_lang_predictions": svm_lang_predictions,
@@ -109,7 +149,38 @@ _TOKENS = f"""split AS (
 
 _NUMBERED = "CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INT) AS pos"
 
+# Rows of a term's table are its counts per document, zero included.
+_STATISTICS = """tf AS (SELECT doc_id, category, term, count(*) AS tf FROM kept GROUP BY ALL),
+cell AS (SELECT term, tf, category, count(*) AS o FROM tf GROUP BY ALL),
+side AS (SELECT term, tf, sum(o) AS r FROM cell GROUP BY ALL),
+present AS (SELECT term, sum(CAST(o AS DOUBLE) * o / (CAST(r AS DOUBLE) * nc)) AS s,
+                   count(DISTINCT tf) AS vals
+            FROM cell JOIN side USING (term, tf) JOIN nc USING (category) GROUP BY term),
+absent AS (SELECT term, sum(CAST(nc - coalesce(ntc, 0) AS DOUBLE) * (nc - coalesce(ntc, 0)) / nc) AS s
+           FROM nt CROSS JOIN nc LEFT JOIN ntc USING (category, term) GROUP BY term)"""
+
 ORACLES = {
+    "ml_feature_statistics": sql_with(
+        *sql_corpus(),
+        sql_counts(),
+        _STATISTICS,
+        select="""SELECT term, CAST(CASE WHEN n = nt THEN 0
+         ELSE vals * ((SELECT count(*) FROM nc) - 1) END AS INT) AS dof,
+  round(CASE WHEN n = nt THEN 0.0
+        ELSE n * (present.s + absent.s / (n - nt)) - n END, 4) AS statistic
+FROM nt CROSS JOIN n JOIN present USING (term) JOIN absent USING (term)""",
+    ),
+    "ml_unit_features": sql_with(
+        *sql_corpus(),
+        sql_counts(),
+        sql_global(top=200),
+        """w AS (SELECT doc_id, term, count(*) * ln((max(n) + 1.0) / (max(nt.nt) + 1.0)) AS w
+      FROM kept JOIN nt USING (term) CROSS JOIN n
+      WHERE term IN (SELECT term FROM top) GROUP BY doc_id, term),
+len AS (SELECT doc_id, sqrt(sum(w * w)) AS len FROM w GROUP BY doc_id)""",
+        select="""SELECT doc_id, term, round(w / len, 6) AS weight
+FROM w JOIN len USING (doc_id) WHERE w <> 0""",
+    ),
     "ml_tokens": sql_with(
         sql_docs(), _TOKENS, select=f"SELECT doc_id, {_NUMBERED}, w AS token FROM split WHERE w <> ''"
     ),

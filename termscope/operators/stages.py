@@ -181,6 +181,12 @@ def selected_terms(model: PipelineModel) -> DataFrame:
     return SparkSession.active().createDataFrame(rows, "idx int, term string")
 
 
+def vocabulary_terms(model: PipelineModel) -> DataFrame:
+    """The fitted vocabulary, ``(idx, term)``; its size is an argument of the fit."""
+    terms = _stage(model, CountVectorizerModel).vocabulary
+    return SparkSession.active().createDataFrame(list(enumerate(terms)), "idx int, term string")
+
+
 def _stage(model: PipelineModel, kind: type) -> Stage:
     return next(stage for stage in model.stages if isinstance(stage, kind))
 
