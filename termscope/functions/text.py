@@ -10,11 +10,23 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The token delimiters (whitespace, digits, these signs) and the
-# shortest term. (?U) and \x1c-\x1f make Java's \s and \d cover Unicode.
-DELIMITER_PATTERN = r"(?U)[\s\d\x1c-\x1f()\[\]{}.!?,;:+=\-_\"'`~#@&*%€$§\\/]+"
+# Words are separated by whitespace, digits and these signs, and a
+# term has at least two characters.
+DELIMITER_SIGNS = "()[]{}.!?,;:+=-_\"'`~#@&*%€$§\\/"
 MIN_TERM_LENGTH = 2
 
+_LATIN_WHITESPACE = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0"
+_LATIN_DELIMITERS = _LATIN_WHITESPACE + "0123456789" + DELIMITER_SIGNS.replace("€", "")
+
+# Java tests listed characters below U+0100 with one table look-up, while a range
+# or a class such as \s costs a call per character. So the common delimiters are
+# listed, and the Unicode classes are asked only about characters beyond.
+DELIMITER_PATTERN = (
+    "(?U)["
+    + "".join(f"\\x{{{ord(c):x}}}" for c in _LATIN_DELIMITERS)
+    + r"[\x{100}-\x{10FFFF}&&[\s\d€]]]+"
+)
+
 BLANK_EDGES_PATTERN = r"^(?U)[\s\x1c-\x1f]+|(?U)[\s\x1c-\x1f]+$"
 
 # A short list of function words of our own, used when no list is given.

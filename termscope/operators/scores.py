@@ -18,7 +18,7 @@ from termscope.operators.numbering import top_k_per_group, top_n
 TOP_TERMS_PER_CATEGORY = 75
 TOP_TERMS_GLOBAL = 2000
 
-# Copies of each category row in the join with the pairs.
+# Copies of each category row in the join with the pairs; a power of two.
 CATEGORY_SALTS = 32
 
 
@@ -61,7 +61,9 @@ def _contingency(pairs: DataFrame, categories: DataFrame, total: DataFrame) -> D
     """
     salts = F.sequence(F.lit(0).cast("bigint"), F.lit(CATEGORY_SALTS - 1).cast("bigint"))
     categories = categories.select("category", "nc", F.explode(salts).alias("_salt"))
-    salt = F.pmod(F.xxhash64("term"), F.lit(CATEGORY_SALTS))
+    # An expression that can be NULL would add a filter to this side of the join
+    # only, and the sides would no longer share the tally's shuffle.
+    salt = F.xxhash64("term").bitwiseAND(F.lit(CATEGORY_SALTS - 1))
     return (
         with_term_totals(pairs)
         .withColumn("_salt", salt)

@@ -1,6 +1,7 @@
 import json
 import math
 import random
+import re
 
 import brute
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from termscope.functions.stats import chi_square
 from termscope.operators import counts as c
 from termscope.operators import scores as s
+from termscope.sources.reviews import required_fields
 from termscope.operators.numbering import best_per_group, global_rank, top_k_per_group
 
 STOP = ("the", "and")
@@ -164,15 +166,50 @@ def test_scores_without_broadcast(spark, reviews):
     assert got == pytest.approx(brute.scores(rows, STOP), rel=1e-12, abs=1e-12)
 
 
+def _tally_filters(df):
+    """Filters at and below the tally's aggregation, without expression ids."""
+    plan = re.sub(r"#\d+L?", "", df._jdf.queryExecution().optimizedPlan().toString())
+    lines = [line.lstrip(" :+-") for line in plan.splitlines()]
+    scans = [x for x in lines if x.startswith("Filter") and "reviewText" in x and "isnotnull" in x]
+    terms = [x for x in lines if x.startswith("Filter") and "char_length(term)" in x]
+    return scans, terms
+
+
 def test_scoring_shares_one_scan(spark, reviews, tmp_path):
-    """Three branches read the tally: two reuse the shuffle of the first."""
+    """Readers of the tally put the same filters below it, so one shuffle serves all."""
     path = str(tmp_path / "docs")
     reviews(CORPORA[0]).write.parquet(path)
-    top = s.top_terms(s.score_pairs(s.contingency(c.tally(spark.read.parquet(path), STOP))))
-    top.collect()
-    lines = top._jdf.queryExecution().executedPlan().toString().splitlines()
-    tally_stages = [x for x in lines if "hashpartitioning(category" in x and "term" in x]
-    assert sum("ReusedExchange" in x for x in tally_stages) == 2
+    docs = required_fields(spark.read.parquet(path), keep=("doc_id",))
+    table = s.contingency(c.tally(docs, STOP))
+    scored = s.score_pairs(table)
+    for result, readers in (
+        (s.top_terms(scored), 3),
+        (s.top_terms_global(table), 3),
+        (c.run_summary(scored, s.top_terms(scored)), 5),
+        (s.join_term_totals(c.tally(docs, STOP)), 2),
+    ):
+        for filters in _tally_filters(result):
+            assert len(filters) == readers and len(set(filters)) == 1
+
+
+def test_scoring_runs_the_tally_once(spark, reviews, tmp_path):
+    """Counted in tasks: one scan of five splits, however many readers."""
+    path = str(tmp_path / "docs")
+    reviews(CORPORA[0]).repartition(5).write.parquet(path)
+    group = "tally-once"
+    spark.sparkContext.setJobGroup(group, group)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
+    try:
+        docs = spark.read.parquet(path)
+        assert docs.rdd.getNumPartitions() == 5
+        s.top_terms(s.score_pairs(s.contingency(c.tally(docs, STOP)))).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {i for job in tracker.getJobIdsForGroup(group) for i in tracker.getJobInfo(job).stageIds}
+    sizes = [info.numTasks for info in map(tracker.getStageInfo, stages) if info and info.numCompletedTasks]
+    assert sizes.count(5) == 1
 
 
 def test_global_rank_numbers_every_row(spark):

@@ -1,9 +1,11 @@
+import pandas as pd
+from brute import DELIMITERS
 from brute import words as brute_words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from termscope.functions.text import keep_terms, words
+from termscope.functions.text import DELIMITER_PATTERN, keep_terms, words
 from termscope.operators.terms import document_terms, drop_stopwords, tokens
 from termscope.sources.stopwords import inline_stopwords, normalize_stopwords, read_stopwords
 
@@ -30,6 +32,18 @@ def test_unicode_delimiters(spark):
     ]
 
 
+def test_every_code_point_splits_as_defined(spark):
+    """All but digits younger than the JVM's Unicode tables."""
+    points = [p for p in range(1, 0x20000) if not 0xD800 <= p < 0xE000]
+    texts = pd.DataFrame({"p": points, "t": [f"x{chr(p)}y" for p in points]})
+    df = spark.createDataFrame(texts, "p int, t string")
+    split = {r.p for r in df.where(F.size(F.split("t", DELIMITER_PATTERN)) == 2).collect()}
+    expected = {p for p in points if DELIMITERS.search(chr(p))}
+    assert split <= expected
+    missing = expected - split
+    assert len(missing) <= 40 and all(p > 0xFFFF and chr(p).isdecimal() for p in missing)
+
+
 def test_case_is_folded_per_word(spark):
     # A final sigma depends on the word, not on the text around it.
     texts = ["ΟΔΟΣ.ΑΒΓ", "ΟΔΟΣ ΑΒΓ", "ΟΔΟΣΑΒΓ", "İSTANBUL", "Straße GROẞ", "K2 Kelvin"]
