@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from termscope.llm.jaccard import jaccard_components
+from termscope.llm.lines import LINES_SQL, dedup_lines
+from termscope.llm.packing import pack_documents
+
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,7 +21,27 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
+    return found.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 QUERIES = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_line_dedup": op5_line_dedup,
+    "op8_best_fit_packing": op8_best_fit_packing,
+}
+ORACLES: dict[str, str] = {
+    "op5_line_dedup": LINES_SQL
+    + """
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       CASE WHEN d.text IS NOT NULL THEN c.text END AS text
+FROM documents d LEFT JOIN cleaned c USING (doc_id)""",
 }
-ORACLES: dict[str, str] = {}
