@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from termscope.llm.decontamination import CONTAMINATION_SQL, contamination
 from termscope.llm.jaccard import jaccard_components
 from termscope.llm.lines import LINES_SQL, dedup_lines
 from termscope.llm.packing import pack_documents
@@ -17,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
@@ -34,11 +39,18 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
 ORACLES: dict[str, str] = {
+    "op1_benchmark_decontamination": CONTAMINATION_SQL
+    + """
+SELECT w.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words,
+       coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words w LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)""",
     "op5_line_dedup": LINES_SQL
     + """
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
