@@ -9,6 +9,7 @@ from termscope.llm.decontamination import CONTAMINATION_SQL, contamination
 from termscope.llm.jaccard import jaccard_components
 from termscope.llm.lines import LINES_SQL, dedup_lines
 from termscope.llm.packing import pack_documents
+from termscope.llm.toxicity import toxicity
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -38,11 +39,16 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": CONTAMINATION_SQL
