@@ -9,6 +9,7 @@ from termscope.llm.decontamination import CONTAMINATION_SQL, contamination
 from termscope.llm.jaccard import jaccard_components
 from termscope.llm.lines import LINES_SQL, dedup_lines
 from termscope.llm.packing import pack_documents
+from termscope.llm.secrets import secrets
 from termscope.llm.toxicity import toxicity
 
 
@@ -32,6 +33,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(_table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
     return found.select(
@@ -47,6 +52,7 @@ QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
+    "op7_secret_scans": op7_secret_scans,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_toxicity": op10_toxicity,
 }
