@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from termscope.llm.decontamination import CONTAMINATION_SQL, contamination
+from termscope.llm.embeddings import near_vectors
 from termscope.llm.html_text import extract_text
 from termscope.llm.jaccard import jaccard_components
 from termscope.llm.lines import LINES_SQL, dedup_lines
@@ -25,6 +26,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(_table(spark, sf_dir, "pages"))
 
@@ -55,6 +60,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_html_extraction": op3_html_extraction,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
