@@ -112,9 +112,10 @@ def _packed(rows: DataFrame, capacity: int, per_part: int) -> DataFrame:
     """``rows`` with ``bin`` (distinct over all parts), ``offset`` and ``filled``."""
 
     def pack(batches):
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        batches = list(batches)
+        if not batches:
             return
+        table = pa.Table.from_batches(batches)
         part = TaskContext.get().partitionId()
         lengths = table.column("length").to_numpy()
         ids = table.column("doc_id").fill_null(-1).to_numpy()
