@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from termscope.llm.decontamination import CONTAMINATION_SQL, contamination
 from termscope.llm.embeddings import near_vectors
@@ -11,6 +12,7 @@ from termscope.llm.html_text import extract_text
 from termscope.llm.jaccard import jaccard_components
 from termscope.llm.lines import LINES_SQL, dedup_lines
 from termscope.llm.packing import pack_documents
+from termscope.llm.recompression import kept_words
 from termscope.llm.secrets import secrets
 from termscope.llm.toxicity import toxicity
 
@@ -54,6 +56,13 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = kept_words(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -66,6 +75,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op7_secret_scans": op7_secret_scans,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {
