@@ -14,6 +14,7 @@ from termscope.llm.lines import LINES_SQL, dedup_lines
 from termscope.llm.packing import pack_documents
 from termscope.llm.recompression import kept_words
 from termscope.llm.secrets import secrets
+from termscope.llm.suffix import kept_bytes
 from termscope.llm.toxicity import toxicity
 
 
@@ -45,6 +46,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = kept_bytes(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(_table(spark, sf_dir, "documents"))
 
@@ -73,6 +81,7 @@ QUERIES = {
     "op3_html_extraction": op3_html_extraction,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_secret_scans": op7_secret_scans,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
