@@ -12,7 +12,11 @@ def category_lines(spark, sf_dir):
 
 
 def parse_ranked(spark, sf_dir):
-    parsed = ops.parse_ranked_lines(ops.category_lines(ranked(spark, sf_dir, "source")))
+    """Category names with blanks and a colon."""
+    named = ranked(spark, sf_dir, "source").withColumn(
+        "category", F.concat("category", F.lit(" and: so on"))
+    )
+    parsed = ops.parse_ranked_lines(ops.category_lines(named))
     return parsed.withColumn("chi2", F.round("chi2", 6))
 
 
@@ -40,7 +44,7 @@ FROM ranked GROUP BY category ORDER BY category""",
         sql_counts(),
         sql_scored(),
         sql_ranked(),
-        select="SELECT category, rk, term, round(CAST(printf('%.4f', chi2) AS DOUBLE), 6) AS chi2 FROM ranked",
+        select="SELECT category || ' and: so on' AS category, rk, term, round(CAST(printf('%.4f', chi2) AS DOUBLE), 6) AS chi2 FROM ranked",
     ),
     "merged_dictionary": sql_with(
         *_RANKED, select="SELECT DISTINCT term FROM ranked ORDER BY term"

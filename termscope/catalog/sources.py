@@ -14,13 +14,16 @@ def _json_lines(spark, sf_dir):
 
 
 def _with_bad_lines(spark, sf_dir):
-    """Every tenth line cut short, the next no object, the next without text."""
+    """Of ten lines one is cut short, one no object, one without text, and two go on
+    after their object, behind a bracket that would close an array around them."""
     kind = F.pmod("doc_id", F.lit(10))
     return _json_lines(spark, sf_dir).withColumn(
         "value",
         F.when(kind == 0, F.expr("left(value, char_length(value) - 1)"))
         .when(kind == 1, F.lit("123"))
         .when(kind == 2, F.lit('{"category":"en","reviewText":""}'))
+        .when(kind == 3, F.concat("value", F.lit("] junk")))
+        .when(kind == 4, F.concat("value", F.lit('],[{"category":"x"}')))
         .otherwise(F.col("value")),
     )
 
@@ -63,7 +66,15 @@ def shard_union(spark, sf_dir):
 
 
 def sample_head(spark, sf_dir):
-    return src.sample_head(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), ["doc_id"])
+    return src.sample_head(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), ["doc_id"], 300)
+
+
+def number_lines(spark, sf_dir):
+    """Texts written as lines of several files, numbered in file order."""
+    path = new_path(spark, "lines")
+    ids = table(spark, sf_dir, "documents").select(F.format_string("%012d", "doc_id").alias("value"))
+    ids.repartitionByRange(3, "value").sortWithinPartitions("value").write.text(path)
+    return src.number_lines(spark, path).select("line", F.col("value").cast("bigint").alias("doc_id"))
 
 
 QUERIES = {
@@ -74,6 +85,7 @@ QUERIES = {
     "round_robin_shards": round_robin_shards,
     "shard_union": shard_union,
     "sample_head": sample_head,
+    "number_lines": number_lines,
 }
 
 ORACLES = {
@@ -81,15 +93,16 @@ ORACLES = {
     "drop_malformed": """SELECT doc_id,
   CASE WHEN doc_id % 10 = 2 THEN 'en' ELSE lang END AS category,
   CASE WHEN doc_id % 10 = 2 THEN '' ELSE text END AS reviewText
-FROM documents WHERE doc_id % 10 NOT IN (0, 1)""",
+FROM documents WHERE doc_id % 10 NOT IN (0, 1, 3, 4)""",
     "required_fields": """SELECT doc_id, lang AS category, text AS reviewText FROM documents
 WHERE source NOT IN ('src3', 'src7') AND lang <> '' AND text <> ''""",
     "load_quality": """SELECT count(*) AS lines,
-  count(*) FILTER (WHERE doc_id % 10 IN (0, 1)) AS malformed,
+  count(*) FILTER (WHERE doc_id % 10 IN (0, 1, 3, 4)) AS malformed,
   count(*) FILTER (WHERE doc_id % 10 = 2) AS incomplete,
-  count(*) FILTER (WHERE doc_id % 10 > 2) AS valid FROM documents""",
+  count(*) FILTER (WHERE doc_id % 10 > 4) AS valid FROM documents""",
     "round_robin_shards": """SELECT doc_id, n_chars,
   CAST((row_number() OVER (ORDER BY doc_id) - 1) % 4 AS INT) AS shard FROM documents""",
     "shard_union": "SELECT lang AS category, text AS reviewText FROM documents",
-    "sample_head": "SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 5000",
+    "number_lines": "SELECT row_number() OVER (ORDER BY doc_id) AS line, doc_id FROM documents",
+    "sample_head": "SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 300",
 }

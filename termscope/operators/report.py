@@ -39,19 +39,26 @@ def report_lines(ranked: DataFrame) -> DataFrame:
     return lines.unionByName(dictionary).orderBy("part", "category").select("line")
 
 
+# A cell: a term, which has no blank, and a number.
+_CELL = r" \S*:-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?"
+_RANKED_LINE = rf"^(\S*(?: \S+)*?)((?:{_CELL})*)$"
+
+
 def parse_ranked_lines(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Category lines back to rows ``(category, rk, term, chi2)``."""
-    cells = F.split(F.col(line), " ")
-    exploded = lines.select(
-        F.element_at(cells, 1).alias("category"),
-        F.posexplode(F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0)))).alias(
-            "pos", "cell"
-        ),
+    """Category lines back to rows ``(category, rk, term, chi2)``.
+
+    The cells are the longest tail of ``term:number`` words; all before them is the
+    category, which may hold blanks and colons. A line without cells gives no rows.
+    """
+    split = lines.select(
+        F.regexp_extract(line, _RANKED_LINE, 1).alias("category"),
+        F.split(F.ltrim(F.regexp_extract(line, _RANKED_LINE, 2)), " ").alias("cells"),
     )
+    exploded = split.select("category", F.posexplode("cells").alias("pos", "cell"))
     pattern = r"^(.*):([^:]*)$"
-    return exploded.select(
+    return exploded.where("cell <> ''").select(
         "category",
         (F.col("pos") + 1).alias("rk"),
         F.regexp_extract("cell", pattern, 1).alias("term"),
-        F.regexp_extract("cell", pattern, 2).cast("double").alias("chi2"),
+        F.regexp_extract("cell", pattern, 2).try_cast("double").alias("chi2"),
     )

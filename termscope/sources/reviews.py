@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termscope.operators.numbering import global_rank
-from termscope.sources.storage import spread
+from termscope.sources.storage import join_by_size, spread
 
 REVIEW_SCHEMA = T.StructType(
     [
@@ -28,6 +28,7 @@ REVIEW_SCHEMA = T.StructType(
 REQUIRED_FIELDS = ("category", "reviewText")
 
 _LINE_KEY = ("_file", "_block", "_seq")
+_LINE_END = "_end_of_line"
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -38,14 +39,25 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 def parse_line(value: Column, fields: Sequence[str] = REQUIRED_FIELDS) -> Column:
     """A line as a struct of the named fields, NULL unless it is one JSON object.
 
-    The line is parsed as the only element of an array: text after the object,
-    which a plain object parse would ignore, then breaks the array. Only the
-    named fields are converted, so a mistyped field nobody reads does no harm.
+    The line is parsed as the first element of an array whose second is a mark. Text
+    after the object, which a plain object parse would ignore, then breaks the array,
+    closes it before the mark, or adds an element. Only the named fields are
+    converted, so a mistyped field nobody reads does no harm.
     """
-    schema = T.ArrayType(T.StructType([REVIEW_SCHEMA[name] for name in fields]))
-    wrapped = F.concat(F.lit("["), value, F.lit("]"))
-    parsed = F.from_json(wrapped, schema, {"allowSingleQuotes": "false"})
-    return F.when(F.size(parsed) == 1, F.get(parsed, F.lit(0)))
+    fields_and_mark = [REVIEW_SCHEMA[name] for name in fields] + [
+        T.StructField(_LINE_END, T.IntegerType())
+    ]
+    wrapped = F.concat(F.lit("["), value, F.lit(f',{{"{_LINE_END}":1}}]'))
+    options = {"allowSingleQuotes": "false"}
+    parsed = F.from_json(wrapped, T.ArrayType(T.StructType(fields_and_mark)), options)
+    review = F.get(parsed, F.lit(0))
+    whole = (
+        (F.size(parsed) == 2)
+        & (F.get(parsed, F.lit(1))[_LINE_END] == 1)
+        & review.isNotNull()
+        & review[_LINE_END].isNull()
+    )
+    return F.when(whole, F.struct(*(review[name].alias(name) for name in fields)))
 
 
 def parse_reviews(
@@ -117,10 +129,33 @@ def read_ordered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataF
     )
 
 
-def load_keyed_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Valid documents with a unique ``doc_id`` made of the line's place."""
+def _lines_in_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``(_file, line, value)``: lines numbered from 1 within their file; no text is moved.
+
+    A first pass counts the lines of each split. Within a split ids already grow by
+    one, so its first line's number is all that has to be joined back.
+    """
     lines = read_ordered_lines(spark, paths)
-    keyed = lines.select(F.concat_ws(":", *_LINE_KEY).alias("doc_id"), "value")
+    splits = lines.groupBy("_file", "_block").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_seq").alias("_first")
+    )
+    before = (
+        Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    start = F.coalesce(F.sum("_rows").over(before), F.lit(0))
+    starts = splits.select("_file", "_block", (start - F.col("_first") + 1).alias("_shift"))
+    placed = join_by_size(lines, starts, ["_file", "_block"], "splits")
+    return placed.select("_file", (F.col("_seq") + F.col("_shift")).alias("line"), "value")
+
+
+def load_keyed_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Valid documents with a unique ``doc_id`` made of file and line number.
+
+    The key is that of the data alone: it does not depend on how many splits a file is
+    read in, nor on the cluster, and neither do splits and folds taken from it.
+    """
+    lines = _lines_in_files(spark, paths)
+    keyed = lines.select(F.concat_ws(":", "_file", "line").alias("doc_id"), "value")
     keyed = spread(keyed, "doc_id")
     return required_fields(parse_reviews(keyed, keep=("doc_id",)), keep=("doc_id",))
 
@@ -131,23 +166,17 @@ def sample_head(df: DataFrame, order: Sequence[str] = _LINE_KEY, n: int = 5000)
 
 
 def number_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines numbered from 1 in file order: ``(line, value)``; no text is moved.
+    """Lines of all files numbered from 1 in file order: ``(line, value)``.
 
-    A first pass counts the lines of each split. The offsets, one row per split,
-    are joined back to the lines; within a split ids already grow by one.
+    Only per-file totals, one row each, are added up in order.
     """
-    lines = read_ordered_lines(spark, paths)
-    splits = lines.groupBy("_file", "_block").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_seq").alias("_first")
-    )
-    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = splits.select(
-        "_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
-    )
-    # Broadcast: one row per input split, a list the driver schedules from anyway.
-    starts = F.broadcast(starts)
-    number = F.col("_start") + F.col("_seq") - F.col("_first") + 1
-    return lines.join(starts, ["_file", "_block"]).select(number.alias("line"), "value")
+    lines = _lines_in_files(spark, paths)
+    totals = lines.groupBy("_file").agg(F.max("line").alias("_rows"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_rows").over(before), F.lit(0))
+    shifts = totals.select("_file", shift.alias("_shift"))
+    placed = join_by_size(lines, shifts, "_file", "files")
+    return placed.select((F.col("line") + F.col("_shift")).alias("line"), "value")
 
 
 def number_rows(df: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A broadcast of so many (term, weight) rows takes some 200 MB.
+# A side is broadcast up to so many rows and so many bytes of strings.
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 100 << 20
 
 _local_dir: str | None = None
 
@@ -31,8 +34,27 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+_written: list[str] = []
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared one, removed when the process ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(remove_written)
+    _written.append(path)
+    return path
+
+
+def remove_written() -> None:
+    """Remove the folders made so far. Tables read from them are gone after that."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -47,19 +69,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def join_by_size(
-    df: DataFrame, small: DataFrame, on: str, label: str, max_rows: int = MAX_BROADCAST_ROWS
+    df: DataFrame,
+    small: DataFrame,
+    on: str | Sequence[str],
+    label: str,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Inner join with a side whose size is unknown before it is computed.
 
-    The side is stored and counted. Up to ``max_rows`` it is broadcast, so ``df``
-    is not shuffled; beyond that both sides are shuffled by key and adaptive
-    execution splits hot keys. Without the count, a plan made from estimates
-    would have started to shuffle ``df`` before the side was known to be small.
+    The side is stored, its rows counted and the bytes of its strings summed. Up to
+    both bounds it is broadcast, so ``df`` is not shuffled; beyond them both sides are
+    shuffled by key and adaptive execution splits hot keys. Without the count, a plan
+    made from estimates would have started to shuffle ``df`` before the side was known
+    to be small.
     """
     small = stored(small, label)
-    if small.count() <= max_rows:
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in small.dtypes if t == "string"]
+    width = sum(texts, F.lit(16 * len(small.columns)))
+    rows, size = small.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    if rows <= max_rows and size <= max_bytes:
         small = F.broadcast(small)
-    return df.join(small, on)
+    return df.join(small, [on] if isinstance(on, str) else list(on))
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -1,18 +1,34 @@
 """Plain-Python definitions the Spark results are checked against."""
 
-import re
 from collections import Counter
 from fractions import Fraction
 
-DELIMITERS = re.compile(r"[\s\d()\[\]{}.!?,;:+=\-_\"'`~#@&*%€$§\\/]+")
+SIGNS = set("()[]{}.!?,;:+=-_\"'`~#@&*%€$§\\/")
+
+
+def is_delimiter(sign):
+    return sign in SIGNS or sign.isspace() or sign.isdecimal()
 
 
 def words(text):
-    return [w.lower() for w in DELIMITERS.split(text) if w]
+    """Letter by letter: a delimiter ends the word before it."""
+    found, word = [], ""
+    for sign in text + " ":
+        if not is_delimiter(sign):
+            word += sign
+        elif word:
+            found.append(word.lower())
+            word = ""
+    return found
 
 
 def terms(text, stop=()):
-    return {w for w in words(text) if len(w) >= 2 and w not in stop}
+    """Distinct words in the order of their first use, short and stop words aside."""
+    kept = {}
+    for word in words(text):
+        if len(word) > 1:
+            kept.setdefault(word, word in stop)
+    return {word for word, stopped in kept.items() if not stopped}
 
 
 def chi_square(n, nc, nt, ntc):

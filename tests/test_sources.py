@@ -7,12 +7,12 @@ from termscope.sources import storage
 from termscope.sources.report import write_dictionary, write_json, write_terms, write_text
 
 GOOD = {
-    "reviewerID": "X1", "asin": "B001", "reviewText": "Great hose, easy to use!", "overall": 5.0,
-    "summary": "Good", "unixReviewTime": 0, "reviewTime": "01 1, 2020", "category": "Garden",
+    "category": "Lamps", "reviewText": "Warm light; the switch clicks.", "overall": 3.5,
+    "reviewerID": "R-77", "asin": "L900", "helpful": [2, 3], "unixReviewTime": 1400000000,
 }
 
 BAD_LINES = [
-    "not json{",
+    "{broken",
     "",
     "   ",
     "123",
@@ -24,6 +24,9 @@ BAD_LINES = [
     '{"category":"a","reviewText":"b"} {"x":1}',
     '{"category":"a","reviewText":"b"},{"category":"a","reviewText":"b"}',
     "{'category':'a','reviewText':'b'}",
+    '{"category":"a","reviewText":"b"}] junk',
+    '{"category":"a","reviewText":"b"}],[{"category":"x"}',
+    '{"category":"a","reviewText":"b"},',
 ]
 INCOMPLETE_LINES = [
     '{"category":null,"reviewText":"b"}',
@@ -49,7 +52,7 @@ def test_malformed_and_incomplete_lines_are_dropped(lines):
     assert parsed.count() == len(INCOMPLETE_LINES) + len(GOOD_LINES)
     valid = {(r.category, r.reviewText) for r in src.required_fields(parsed).collect()}
     assert valid == {
-        ("Garden", "Great hose, easy to use!"),
+        ("Lamps", "Warm light; the switch clicks."),
         ("a", "mistyped field nobody reads"),
         ("é", "blank edges"),
     }
@@ -69,7 +72,7 @@ def test_scan_of_several_files(spark, tmp_path):
     paths = []
     for i in range(4):
         path = tmp_path / f"part_{i}.json"
-        path.write_text(f'{{"category":"c{i}","reviewText":"t"}}\nnot json{{\n')
+        path.write_text(f'{{"category":"c{i}","reviewText":"t"}}\n{{broken\n')
         paths.append(str(path))
     got = src.load_documents(spark, paths)
     assert sorted(r.category for r in got.collect()) == ["c0", "c1", "c2", "c3"]
@@ -79,7 +82,7 @@ def test_all_fields_can_be_scanned(spark, tmp_path):
     path = tmp_path / "r.json"
     path.write_text(json.dumps(GOOD) + "\n")
     row = src.scan_reviews(spark, str(path), src.REVIEW_SCHEMA.fieldNames()).first()
-    assert (row.asin, row.overall, row.unixReviewTime, row.helpful) == ("B001", 5.0, 0, None)
+    assert (row.asin, row.overall, row.summary, row.helpful) == ("L900", 3.5, None, [2, 3])
 
 
 def test_file_order_survives_many_splits(spark, tmp_path):
@@ -105,7 +108,8 @@ def test_lines_are_numbered_across_files(spark, tmp_path):
     expected = [f"{name}{i}" for name, n in (("a", 7), ("b", 30), ("d", 3)) for i in range(n)]
     assert got == {i + 1: v for i, v in enumerate(expected)}
     plan = src.number_lines(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
-    assert "value" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+    moved = "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+    assert "value" not in moved
 
 
 def test_keyed_documents_have_unique_ids(spark, tmp_path):
@@ -115,6 +119,31 @@ def test_keyed_documents_have_unique_ids(spark, tmp_path):
     assert docs.select("doc_id").distinct().count() == 30
 
 
+def test_keys_do_not_depend_on_the_splits(spark, tmp_path):
+    path = tmp_path / "r.json"
+    path.write_text("".join(f'{{"category":"a","reviewText":"text {i}"}}\n' for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = []
+    try:
+        for size in ("3000", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = src.load_keyed_documents(spark, str(path)).collect()
+            found.append({r.doc_id: r.reviewText for r in rows})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found[0] == found[1] and len(found[0]) == 3000
+    assert {k.rsplit(":", 1)[1]: v for k, v in found[0].items()}["17"] == "text 16"
+
+
+def test_tables_made_on_the_way_are_removed(spark):
+    stored = storage.stored(spark.range(3), "gone")
+    path = storage._written[-1]
+    assert stored.count() == 3
+    storage.remove_written()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_shards_written_and_read_back(spark, tmp_path):
     df = spark.range(10).selectExpr("id", "concat('c', id) category", "'t' reviewText")
     sharded = src.round_robin_shards(src.number_rows(df, ["id"]))
