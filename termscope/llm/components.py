@@ -25,8 +25,8 @@ def connected(edges: DataFrame) -> DataFrame:
     edges of a round are a stored table, so a lost executor costs no more than its
     own round. Self links make their node a component of one; nulls are dropped.
     """
-    edges = edges.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).where(
-        "a is not null and b is not null"
+    edges = edges.where("a is not null and b is not null").select(
+        F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")
     )
     alone = edges.where("a = b").select("a").distinct()
     edges = stored(edges.where("a <> b").distinct(), "edges")

@@ -1,0 +1,20 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+
+@pytest.fixture
+def documents(spark):
+    """A table of documents with clashing extra columns from ``(doc_id, text)`` rows."""
+
+    def build(rows):
+        rows = rows.items() if isinstance(rows, dict) else rows
+        return spark.createDataFrame(
+            [(i, t, "x", 1, 2.0) for i, t in rows],
+            "doc_id bigint, text string, key string, at int, drop double",
+        )
+
+    return build
