@@ -10,7 +10,7 @@ from termscope.plans.classification import tune_and_evaluate
 from termscope.plans.feature_selection import select_terms, select_terms_by_presence
 from termscope.plans.term_report import term_report
 from termscope.sources.reviews import load_documents, load_keyed_documents
-from termscope.sources.stopwords import MAX_INLINE_WORDS, inline_stopwords, read_stopwords
+from termscope.sources.stopwords import load_stopwords
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -23,12 +23,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("termscope").getOrCreate()
-    stopwords: tuple[str, ...] = ()
-    if args.stopwords:
-        listed = inline_stopwords(read_stopwords(spark, args.stopwords))
-        if listed is None:
-            raise SystemExit(f"more than {MAX_INLINE_WORDS} stopwords")
-        stopwords = listed
+    stopwords = load_stopwords(spark, args.stopwords) if args.stopwords else ()
     if args.run == "report":
         docs = load_documents(spark, args.input)
         term_report(docs, args.output, stopwords, args.top or 75)

@@ -1,4 +1,4 @@
-"""ML stages. Fits are small here; the library's defaults are the full grid."""
+"""ML stages, with the library's own defaults: 2000 features, all 24 grid points."""
 
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
@@ -11,19 +11,21 @@ from termscope.catalog.base import (
     sql_corpus,
     sql_counts,
     sql_docs,
-    sql_global,
     sql_with,
     table,
 )
+from termscope.catalog.tuning import SQL_SPLIT
 from termscope.operators import stages
 from termscope.operators.counts import tally
 from termscope.operators.evaluation import split_part, train_val_union
 from termscope.operators.numbering import global_rank
-from termscope.operators.scores import contingency, global_scores, top_terms_global
-from termscope.operators.tuning import GridPoint, f1_score, grid_search, parameter_grid
-from termscope.plans.classification import fit_classifier, fit_stages
+from termscope.operators.scores import contingency, global_scores
+from termscope.operators.selection import best_terms, term_statistics, top_statistics
+from termscope.operators.tuning import GridPoint, grid_search, parameter_grid
+from termscope.plans.classification import fit_classifier, fit_stages, test_score
 
-_POINT = GridPoint(numTopFeatures=200, regParam=0.01, standardization=True, maxIter=5)
+POINT = GridPoint(numTopFeatures=2000, regParam=0.01, standardization=True, maxIter=100)
+PARALLELISM = 4
 
 
 def ml_tokens(spark, sf_dir):
@@ -38,105 +40,109 @@ def ml_filtered_tokens(spark, sf_dir):
     return df.select("doc_id", F.posexplode("filtered").alias("pos", "token"))
 
 
-def _selection(spark, sf_dir, num_features):
-    return stages.selection_stages(STOP, num_features).fit(docs(spark, sf_dir))
+def ml_feature_statistics(spark, sf_dir):
+    """The selector's test of every term of the corpus."""
+    return term_statistics(docs(spark, sf_dir), STOP).withColumn(
+        "statistic", F.round("statistic", 4)
+    )
 
 
 def ml_selected_terms(spark, sf_dir):
-    return stages.selected_terms(_selection(spark, sf_dir, 2000))
+    return top_statistics(term_statistics(docs(spark, sf_dir), STOP), POINT.numTopFeatures)
 
 
 def selected_terms(spark, sf_dir):
     """The selection's terms with their presence statistic, ranked by it."""
-    terms = stages.selected_terms(_selection(spark, sf_dir, 200))
-    scores = global_scores(contingency(tally(docs(spark, sf_dir), STOP)))
-    # Two hundred rows, by the selector's own bound.
-    scored = scores.join(F.broadcast(terms), "term").select("term", "chi2")
-    return global_rank(scored, [F.desc("chi2"), F.asc("term")]).select("rk", "term", "chi2")
-
-
-def ml_feature_statistics(spark, sf_dir):
-    """The selector's test of every term of the vocabulary."""
     corpus = docs(spark, sf_dir)
-    model = Pipeline(
-        stages=[*stages.count_stages(STOP), stages.inverse_document_frequency()]
-    ).fit(corpus)
-    tested = stages.feature_statistics(model.transform(corpus))
-    return tested.join(
-        stages.vocabulary_terms(model), F.col("featureIndex") == F.col("idx")
-    ).select(
+    terms = top_statistics(term_statistics(corpus, STOP), POINT.numTopFeatures).select("term")
+    scored = global_scores(contingency(tally(corpus, STOP))).join(terms, "term")
+    ranked = global_rank(scored.select("term", "chi2"), [F.desc("chi2"), F.asc("term")])
+    return ranked.select("rk", "term", "chi2")
+
+
+def _entries(model, corpus, vector):
+    """Non-zero weights by term; the table of terms has as many rows as were selected."""
+    entries = stages.vector_entries(model.transform(corpus), ["doc_id", "label"], vector)
+    terms = stages.vocabulary_terms(model)
+    return entries.join(terms, F.col("slot") == F.col("idx")).select(
+        "doc_id",
+        F.col("label").cast("int").alias("label"),
         "term",
-        F.col("degreesOfFreedom").cast("int").alias("dof"),
-        F.round("statistic", 4).alias("statistic"),
+        F.round("weight", 6).alias("weight"),
     )
 
 
-def ml_unit_features(spark, sf_dir):
-    """Unit TF-IDF vectors over the 200 best terms by presence."""
+def selected_features(spark, sf_dir):
+    """TF-IDF weights of the selected terms in every document."""
     corpus = docs(spark, sf_dir)
-    best = top_terms_global(contingency(tally(corpus, STOP)), 200)
-    terms = sorted(r.term for r in best.select("term").collect())
-    model = Pipeline(
-        stages=[
-            *stages.count_stages(STOP, terms),
-            stages.inverse_document_frequency(),
-            stages.l2_normalizer().setInputCol("tfidf_features"),
-        ]
-    ).fit(corpus)
-    entries = stages.vector_entries(model.transform(corpus), ["doc_id"], "norm_features")
-    return entries.join(stages.vocabulary_terms(model), F.col("slot") == F.col("idx")).select(
-        "doc_id", "term", F.round("weight", 6).alias("weight")
-    )
+    model = stages.fit_selection(corpus, STOP, POINT.numTopFeatures)
+    return _entries(model, corpus, "selected_features")
 
 
-def selected_features(spark, sf_dir):
-    """Non-zero weights of the selected features in every document."""
+def feature_pipeline(spark, sf_dir):
+    """All stages before the classifier: label and unit vectors of selected terms."""
     corpus = docs(spark, sf_dir)
-    model = stages.selection_stages(STOP, 200).fit(corpus)
-    return stages.vector_entries(
-        model.transform(corpus), ["doc_id", "label"], "selected_features"
+    terms = best_terms(corpus, POINT.numTopFeatures, STOP)
+    steps = stages.selection_stages(STOP, terms).getStages()
+    model = Pipeline(stages=[*steps, stages.l2_normalizer()]).fit(corpus)
+    return _entries(model, corpus, "norm_features")
+
+
+def _tested(model, held_out):
+    """Predictions for documents that were not learned from."""
+    labels = F.lit(len(model.stages[0].labels))
+    return model.transform(held_out).select(
+        "doc_id",
+        F.col("label").cast("int").alias("label"),
+        (F.col("prediction") < labels).alias("known_prediction"),
     )
 
 
 def svm_quality_predictions(spark, sf_dir):
-    """Binary: the quality label, over all labelled documents."""
+    """Binary: the quality label, learned from the training part, for the test part."""
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", F.col("quality").cast("string").alias("quality")
     )
     corpus = docs(spark, sf_dir).join(labels, "doc_id").select(
         "doc_id", F.col("quality").alias("category"), "reviewText"
     )
-    svm = stages.linear_svm(_POINT.regParam, _POINT.maxIter)
-    model = fit_stages(corpus, svm, _POINT.numTopFeatures, STOP)
-    return model.transform(corpus).select("doc_id", "label", "prediction")
+    svm = stages.linear_svm(POINT.regParam, POINT.maxIter)
+    model = fit_stages(train_val_union(corpus), svm, POINT.numTopFeatures, STOP)
+    return _tested(model, split_part(corpus, "test"))
 
 
 def svm_lang_predictions(spark, sf_dir):
     corpus = docs(spark, sf_dir)
-    model = fit_classifier(corpus, _POINT, STOP, parallelism=4)
-    return model.transform(corpus).select("doc_id", "label", "prediction")
+    model = fit_classifier(train_val_union(corpus), POINT, STOP, parallelism=PARALLELISM)
+    return _tested(model, split_part(corpus, "test"))
+
+
+def _in_bounds(f1):
+    return ((f1 > 0) & (f1 <= 1)).alias("f1_in_bounds")
 
 
 def grid_metrics(spark, sf_dir):
-    grid = parameter_grid((200, 50), (0.01,), (True, False), (5,))
-    return grid_search(train_val_union(docs(spark, sf_dir)), grid, STOP, parallelism=4)
+    """All 24 points over both folds; SQL can only say what rows there are."""
+    known = train_val_union(docs(spark, sf_dir))
+    metrics = grid_search(known, parameter_grid(), STOP, parallelism=PARALLELISM)
+    return metrics.withColumn("f1", _in_bounds(F.col("f1"))).withColumnRenamed("f1", "f1_in_bounds")
 
 
 def test_f1(spark, sf_dir):
     corpus = docs(spark, sf_dir)
-    model = fit_classifier(train_val_union(corpus), _POINT, STOP, parallelism=4)
-    f1 = f1_score(model.transform(split_part(corpus, "test")))
-    return spark.createDataFrame([(f1,)], "f1 double")
+    model = fit_classifier(train_val_union(corpus), POINT, STOP, parallelism=PARALLELISM)
+    score = test_score(model, split_part(corpus, "test"))
+    return score.select("documents", "skipped", _in_bounds(F.col("f1")))
 
 
 QUERIES = {
     "ml_tokens": ml_tokens,
     "ml_filtered_tokens": ml_filtered_tokens,
+    "ml_feature_statistics": ml_feature_statistics,
     "ml_selected_terms": ml_selected_terms,
     "selected_terms": selected_terms,
-    "ml_feature_statistics": ml_feature_statistics,
-    "ml_unit_features": ml_unit_features,
     "selected_features": selected_features,
+    "feature_pipeline": feature_pipeline,
     "svm_quality_predictions": svm_quality_predictions,
     "svm_lang_predictions": svm_lang_predictions,
     "grid_metrics": grid_metrics,
@@ -159,28 +165,88 @@ present AS (SELECT term, sum(CAST(o AS DOUBLE) * o / (CAST(r AS DOUBLE) * nc)) A
 absent AS (SELECT term, sum(CAST(nc - coalesce(ntc, 0) AS DOUBLE) * (nc - coalesce(ntc, 0)) / nc) AS s
            FROM nt CROSS JOIN nc LEFT JOIN ntc USING (category, term) GROUP BY term)"""
 
+_TESTED = """tested AS (
+  SELECT term, CAST(CASE WHEN n = nt THEN 0
+         ELSE vals * ((SELECT count(*) FROM nc) - 1) END AS INT) AS dof,
+         CASE WHEN n = nt THEN 0.0
+              ELSE n * (present.s + absent.s / (n - nt)) - n END AS statistic
+  FROM nt CROSS JOIN n JOIN present USING (term) JOIN absent USING (term)),
+best AS (
+  SELECT row_number() OVER (ORDER BY round(statistic, 6) DESC, term) AS rk, term,
+         round(statistic, 6) AS statistic
+  FROM tested ORDER BY rk LIMIT 2000)"""
+
+_SELECTION = (*sql_corpus(), sql_counts(), _STATISTICS, _TESTED)
+
+_LABELS = """labelled AS (
+  SELECT category, CAST(row_number() OVER (ORDER BY count(*) DESC, category) - 1 AS INT) AS label
+  FROM docs GROUP BY category)"""
+
+_WEIGHTS = """w AS (
+  SELECT doc_id, label, term, count(*) * ln((max(n) + 1.0) / (max(nt.nt) + 1.0)) AS w
+  FROM kept JOIN nt USING (term) CROSS JOIN n JOIN labelled USING (category)
+  WHERE term IN (SELECT term FROM best) GROUP BY doc_id, label, term),
+len AS (SELECT doc_id, sqrt(sum(w * w)) AS len FROM w GROUP BY doc_id)"""
+
+
+def _test_part(corpus: str) -> str:
+    """Test documents with the index their label has in the training part."""
+    return f"""WITH {SQL_SPLIT},
+corpus AS ({corpus}),
+labelled AS (
+  SELECT category, CAST(row_number() OVER (ORDER BY count(*) DESC, category) - 1 AS INT) AS label
+  FROM corpus WHERE split <> 'test' GROUP BY category)
+SELECT doc_id, label, true AS known_prediction
+FROM corpus JOIN labelled USING (category) WHERE split = 'test'"""
+
+
+_LANGUAGES = "SELECT doc_id, category, split FROM split JOIN documents USING (doc_id) WHERE text <> '' AND category <> ''"
+_QUALITY = """SELECT doc_id, CAST(quality AS VARCHAR) AS category, split
+  FROM split JOIN documents USING (doc_id) JOIN labels USING (doc_id)
+  WHERE text <> '' AND split.category <> '' AND quality IS NOT NULL"""
+
 ORACLES = {
     "ml_feature_statistics": sql_with(
-        *sql_corpus(),
-        sql_counts(),
-        _STATISTICS,
-        select="""SELECT term, CAST(CASE WHEN n = nt THEN 0
-         ELSE vals * ((SELECT count(*) FROM nc) - 1) END AS INT) AS dof,
-  round(CASE WHEN n = nt THEN 0.0
-        ELSE n * (present.s + absent.s / (n - nt)) - n END, 4) AS statistic
-FROM nt CROSS JOIN n JOIN present USING (term) JOIN absent USING (term)""",
+        *_SELECTION, select="SELECT term, dof, round(statistic, 4) AS statistic FROM tested"
+    ),
+    "ml_selected_terms": sql_with(*_SELECTION, select="SELECT rk, term, statistic FROM best"),
+    "selected_terms": sql_with(
+        *_SELECTION,
+        """cells AS (
+  SELECT term, n, nc, nt, CAST(n * coalesce(ntc, 0) - nc * nt AS DOUBLE) AS d
+  FROM nt CROSS JOIN nc CROSS JOIN n LEFT JOIN ntc USING (category, term)
+  WHERE term IN (SELECT term FROM best)),
+globals AS (
+  SELECT term, round(sum(CASE WHEN n = nt THEN 0.0
+         ELSE d * d / (CAST(nc AS DOUBLE) * nt * (n - nt)) END), 6) AS chi2
+  FROM cells GROUP BY term)""",
+        select="SELECT row_number() OVER (ORDER BY chi2 DESC, term) AS rk, term, chi2 FROM globals",
+    ),
+    "selected_features": sql_with(
+        *_SELECTION,
+        _LABELS,
+        _WEIGHTS,
+        select="SELECT doc_id, label, term, round(w, 6) AS weight FROM w WHERE w <> 0",
     ),
-    "ml_unit_features": sql_with(
-        *sql_corpus(),
-        sql_counts(),
-        sql_global(top=200),
-        """w AS (SELECT doc_id, term, count(*) * ln((max(n) + 1.0) / (max(nt.nt) + 1.0)) AS w
-      FROM kept JOIN nt USING (term) CROSS JOIN n
-      WHERE term IN (SELECT term FROM top) GROUP BY doc_id, term),
-len AS (SELECT doc_id, sqrt(sum(w * w)) AS len FROM w GROUP BY doc_id)""",
-        select="""SELECT doc_id, term, round(w / len, 6) AS weight
+    "feature_pipeline": sql_with(
+        *_SELECTION,
+        _LABELS,
+        _WEIGHTS,
+        select="""SELECT doc_id, label, term, round(w / len, 6) AS weight
 FROM w JOIN len USING (doc_id) WHERE w <> 0""",
     ),
+    "svm_quality_predictions": _test_part(_QUALITY),
+    "svm_lang_predictions": _test_part(_LANGUAGES),
+    "grid_metrics": """SELECT CAST(f AS INT) AS numTopFeatures, CAST(r AS DOUBLE) AS regParam,
+  s AS standardization, CAST(m AS INT) AS maxIter, true AS f1_in_bounds
+FROM (SELECT unnest([2000, 500]) AS f), (SELECT unnest([0.01, 0.1, 1.0]) AS r),
+     (SELECT unnest([true, false]) AS s), (SELECT unnest([50, 100]) AS m)""",
+    "test_f1": f"""WITH {SQL_SPLIT},
+corpus AS ({_LANGUAGES})
+SELECT count(*) FILTER (WHERE split = 'test') AS documents,
+  count(*) FILTER (WHERE split = 'test'
+    AND category NOT IN (SELECT category FROM corpus WHERE split <> 'test')) AS skipped,
+  true AS f1_in_bounds FROM corpus""",
     "ml_tokens": sql_with(
         sql_docs(), _TOKENS, select=f"SELECT doc_id, {_NUMBERED}, w AS token FROM split WHERE w <> ''"
     ),

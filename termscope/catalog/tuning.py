@@ -77,7 +77,7 @@ def _sql_bucket(seed: int, buckets: int) -> str:
     )
 
 
-_SPLIT = f"""split AS (SELECT doc_id, lang AS category,
+SQL_SPLIT = f"""split AS (SELECT doc_id, lang AS category,
   CASE WHEN b < 70 THEN 'train' WHEN b < 85 THEN 'validation' ELSE 'test' END AS split
 FROM (SELECT *, {_sql_bucket(42, 100)} AS b FROM documents))"""
 
@@ -85,9 +85,9 @@ _CONFUSION = """c AS (SELECT quality AS label, 1 - toxic AS prediction, count(*)
   FROM labels GROUP BY ALL)"""
 
 ORACLES = {
-    "split_assign": f"WITH {_SPLIT} SELECT doc_id, split FROM split",
-    "split_counts": f"WITH {_SPLIT} SELECT split, count(*) AS docs FROM split GROUP BY split",
-    "train_val_union": f"WITH {_SPLIT} SELECT doc_id, category FROM split WHERE split <> 'test'",
+    "split_assign": f"WITH {SQL_SPLIT} SELECT doc_id, split FROM split",
+    "split_counts": f"WITH {SQL_SPLIT} SELECT split, count(*) AS docs FROM split GROUP BY split",
+    "train_val_union": f"WITH {SQL_SPLIT} SELECT doc_id, category FROM split WHERE split <> 'test'",
     "cv_fold_assign": f"SELECT doc_id, {_sql_bucket(43, 2)} AS fold FROM documents",
     "confusion_matrix": f"WITH {_CONFUSION} SELECT label, prediction, cnt FROM c",
     "weighted_f1": f"""WITH {_CONFUSION},

@@ -7,15 +7,14 @@ single aggregation; N, Nc, Nt and Ntc all follow from it.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termscope.functions.text import is_term, words
+from termscope.functions.text import words
+from termscope.operators.terms import StopWords, kept_or_marked
 
 
-def tally(docs: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
+def tally(docs: DataFrame, stopwords: StopWords = ()) -> DataFrame:
     """Count documents per (category, term) and per category in one pass.
 
     Each document contributes its distinct terms and one NULL term, so documents
@@ -30,7 +29,8 @@ def tally(docs: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
     pairs = docs.where("category IS NOT NULL").select(
         "category",
         F.explode(F.concat(marker, F.array_distinct(words("reviewText")))).alias("term"),
-    ).where(F.col("term").isNull() | is_term("term", stopwords))
+    )
+    pairs = kept_or_marked(pairs, stopwords)
     weight = F.when(F.col("term").isNull(), F.lit(-1)).otherwise(F.lit(1))
     return pairs.groupBy("category", "term").agg(F.sum(weight).alias("tally"))
 

@@ -24,12 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termscope.functions.text import DELIMITER_PATTERN, MIN_TERM_LENGTH
+from termscope.operators.selection import best_terms
+from termscope.operators.terms import StopWords
 
 Stage = Estimator | Transformer
 
-# Features kept by selection, and the largest vocabulary.
+# Fixed value: features kept by selection.
 NUM_TOP_FEATURES = 2000
-VOCABULARY_SIZE = 1 << 18
 
 
 def label_indexer(label: str = "category") -> StringIndexer:
@@ -60,11 +61,12 @@ def term_filters(stopwords: Iterable[str]) -> list[Stage]:
     ]
 
 
-def count_vectorizer(size: int = VOCABULARY_SIZE) -> CountVectorizer:
-    """Term counts over the most frequent ``size`` terms.
+def count_vectorizer(size: int) -> CountVectorizer:
+    """Term counts over the most frequent ``size`` terms, all others dropped.
 
     The vocabulary lives on the driver and in every task, so its bound is an
-    argument. For corpora with more terms select first: ``fixed_vocabulary``.
+    argument. The runs do not use it: they select terms first, over all of them, and
+    count those with ``fixed_vocabulary``.
     """
     return CountVectorizer(
         inputCol="filtered", outputCol="raw_features", vocabSize=size, minDF=1.0
@@ -72,21 +74,21 @@ def count_vectorizer(size: int = VOCABULARY_SIZE) -> CountVectorizer:
 
 
 def fixed_vocabulary(terms: Sequence[str]) -> CountVectorizerModel:
-    """Term counts over terms chosen beforehand, such as ``top_terms_global``."""
+    """Term counts over terms chosen beforehand, such as ``best_terms``."""
     return CountVectorizerModel.from_vocabulary(
         list(terms), inputCol="filtered", outputCol="raw_features"
     )
 
 
-def inverse_document_frequency() -> IDF:
-    return IDF(inputCol="raw_features", outputCol="tfidf_features")
+def inverse_document_frequency(output: str = "tfidf_features") -> IDF:
+    return IDF(inputCol="raw_features", outputCol=output)
 
 
 def chi_square_selector(num_features: int = NUM_TOP_FEATURES) -> UnivariateFeatureSelector:
     """Keep the features of smallest chi-square p-value, ties by index.
 
     Every distinct weight of a feature is a category of its own; more than 10,000
-    of them is an error. ``top_terms_global`` has neither limit.
+    of them is an error. ``best_terms`` has neither limit.
     """
     selector = UnivariateFeatureSelector(
         featuresCol="tfidf_features",
@@ -129,58 +131,44 @@ def one_vs_rest(svm: LinearSVC, parallelism: int = 1) -> OneVsRest:
     )
 
 
-def count_stages(
-    stopwords: Iterable[str], vocabulary: Sequence[str] | int = VOCABULARY_SIZE
-) -> list[Stage]:
+def count_stages(stopwords: StopWords, vocabulary: Sequence[str] | int) -> list[Stage]:
     """From text and category to label and term counts.
 
-    ``vocabulary`` is the most terms to keep, or the terms themselves.
+    ``vocabulary`` is the most terms to keep, or the terms themselves. A table of
+    stopwords goes with given terms only, among which there are none of them.
     """
-    vectorizer = (
-        count_vectorizer(vocabulary)
-        if isinstance(vocabulary, int)
-        else fixed_vocabulary(vocabulary)
-    )
-    return [label_indexer(), review_tokenizer(), *term_filters(stopwords), vectorizer]
+    if isinstance(vocabulary, int):
+        if isinstance(stopwords, DataFrame):
+            raise ValueError("select the terms first: a stopword table needs given terms")
+        vectorizer = count_vectorizer(vocabulary)
+    else:
+        vectorizer = fixed_vocabulary(vocabulary)
+    listed = () if isinstance(stopwords, DataFrame) else stopwords
+    return [label_indexer(), review_tokenizer(), *term_filters(listed), vectorizer]
 
 
-def selection_stages(
-    stopwords: Iterable[str],
-    num_features: int = NUM_TOP_FEATURES,
-    vocabulary_size: int = VOCABULARY_SIZE,
-) -> Pipeline:
-    """Text to the selected TF-IDF features."""
-    return Pipeline(
-        stages=[
-            *count_stages(stopwords, vocabulary_size),
-            inverse_document_frequency(),
-            chi_square_selector(num_features),
-        ]
-    )
+def selection_stages(stopwords: StopWords, terms: Sequence[str]) -> Pipeline:
+    """Text to the TF-IDF weights of selected terms."""
+    weights = inverse_document_frequency("selected_features")
+    return Pipeline(stages=[*count_stages(stopwords, terms), weights])
+
+
+def fit_selection(
+    docs: DataFrame, stopwords: StopWords = (), num_features: int = NUM_TOP_FEATURES
+) -> PipelineModel:
+    """Select terms over the whole vocabulary of ``docs``, then weight them."""
+    terms = best_terms(docs, num_features, stopwords)
+    return selection_stages(stopwords, terms).fit(docs)
 
 
 def classifier_stages(
-    stopwords: Iterable[str],
-    classifier: OneVsRest,
-    num_features: int = NUM_TOP_FEATURES,
-    vocabulary_size: int = VOCABULARY_SIZE,
+    stopwords: StopWords, classifier: OneVsRest, terms: Sequence[str]
 ) -> Pipeline:
     """Text to a predicted category."""
-    selection = selection_stages(stopwords, num_features, vocabulary_size).getStages()
+    selection = selection_stages(stopwords, terms).getStages()
     return Pipeline(stages=[*selection, l2_normalizer(), classifier])
 
 
-def selected_terms(model: PipelineModel) -> DataFrame:
-    """Terms the fitted selector kept, ``(idx, term)``, by index.
-
-    Reads the model, at most ``num_features`` rows; stages are found by type.
-    """
-    vocabulary = _stage(model, CountVectorizerModel).vocabulary
-    indices = next(s for s in model.stages if hasattr(s, "selectedFeatures")).selectedFeatures
-    rows = [(int(i), vocabulary[i]) for i in indices]
-    return SparkSession.active().createDataFrame(rows, "idx int, term string")
-
-
 def vocabulary_terms(model: PipelineModel) -> DataFrame:
     """The fitted vocabulary, ``(idx, term)``; its size is an argument of the fit."""
     terms = _stage(model, CountVectorizerModel).vocabulary

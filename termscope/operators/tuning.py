@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from itertools import groupby, product
 from multiprocessing.pool import ThreadPool
@@ -10,6 +10,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import OneVsRestModel
+from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,25 +21,32 @@ from termscope.operators.evaluation import (
     confusion_counts,
     weighted_f1,
 )
+from termscope.operators.selection import best_terms
 from termscope.operators.stages import (
-    VOCABULARY_SIZE,
     count_stages,
-    feature_statistics,
     inverse_document_frequency,
     l2_normalizer,
     linear_svm,
     one_vs_rest,
-    slice_top_features,
 )
+from termscope.operators.terms import StopWords
 
-# Non-zero entries per part of a training set: 500 MB if all are stored.
-ENTRIES_PER_PART = 40_000_000
+# Most entries in a part of a training set: 25 MB if all are stored. Much less would be
+# less work than the start of a task.
+ENTRIES_PER_PART = 2_000_000
 
 METRICS_SCHEMA = (
     "numTopFeatures int, regParam double, standardization boolean, maxIter int, f1 double"
 )
 
 
+# The levels of the grid.
+GRID_FEATURES = (2000, 500)
+GRID_REG_PARAMS = (0.01, 0.1, 1.0)
+GRID_STANDARDIZATION = (True, False)
+GRID_MAX_ITERS = (50, 100)
+
+
 @dataclass(frozen=True)
 class GridPoint:
     """One configuration; fields are named as in the metrics table."""
@@ -50,10 +58,10 @@ class GridPoint:
 
 
 def parameter_grid(
-    num_top_features: Sequence[int] = (2000, 500),
-    reg_params: Sequence[float] = (0.01, 0.1, 1.0),
-    standardization: Sequence[bool] = (True, False),
-    max_iters: Sequence[int] = (50, 100),
+    num_top_features: Sequence[int] = GRID_FEATURES,
+    reg_params: Sequence[float] = GRID_REG_PARAMS,
+    standardization: Sequence[bool] = GRID_STANDARDIZATION,
+    max_iters: Sequence[int] = GRID_MAX_ITERS,
 ) -> list[GridPoint]:
     """All combinations, 24 by default, those of one feature count together."""
     return [
@@ -70,8 +78,9 @@ def training_set(features: DataFrame, num_features: int) -> DataFrame:
     """Keep label and vector for the iterations of a fit, in few enough parts.
 
     Vectors are far smaller than the texts they came from, and every iteration
-    runs one task per part. A part holds at most ``ENTRIES_PER_PART`` entries
-    even if no vector has a zero.
+    runs one task per part. A part holds at most ``ENTRIES_PER_PART`` entries even if
+    no vector has a zero, so a set of some ten thousand documents is spread over tens
+    of tasks, and a small one does not pay for more tasks than it has work for.
     """
     kept = _kept(features)
     rows_per_part = max(1, ENTRIES_PER_PART // num_features)
@@ -94,18 +103,18 @@ def _fold_scores(
     train: DataFrame,
     held_out: DataFrame,
     grid: Sequence[GridPoint],
-    stopwords: Iterable[str],
-    vocabulary: Sequence[str] | int,
+    stopwords: StopWords,
     parallelism: int,
 ) -> dict[GridPoint, float]:
     """F1 of every point on one fold.
 
-    Term counts, their weights and the feature statistics depend on the fold
-    alone and a selection only on the number of features. Counts and selections
-    are computed once and kept, on disk where memory is short, while later fits
-    iterate over them; no text is tokenized again.
+    The ranking of the terms, their counts and weights depend on the fold alone. The
+    best terms of the largest selection are counted once and kept, on disk where memory
+    is short; as they are in order of rank, a smaller selection is the first of them.
+    No text is tokenized again for a point.
     """
-    counting = Pipeline(stages=count_stages(stopwords, vocabulary)).fit(train)
+    terms = best_terms(train, max(p.numTopFeatures for p in grid), stopwords)
+    counting = Pipeline(stages=count_stages(stopwords, terms)).fit(train)
     train_counts, test_counts = (
         _kept(counting.transform(part).select("label", "raw_features"))
         for part in (train, held_out)
@@ -114,11 +123,14 @@ def _fold_scores(
     train_weights, test_weights = (
         weighting.transform(part) for part in (train_counts, test_counts)
     )
-    statistics = _kept(feature_statistics(train_weights))
     scores = {}
     by_features = sorted(grid, key=lambda p: p.numTopFeatures)
     for num_features, points in groupby(by_features, key=lambda p: p.numTopFeatures):
-        select = slice_top_features(statistics, num_features)
+        select = VectorSlicer(
+            inputCol="tfidf_features",
+            outputCol="selected_features",
+            indices=list(range(min(num_features, len(terms)))),
+        )
         chosen = [
             training_set(
                 l2_normalizer().transform(select.transform(part)).select("label", "norm_features"),
@@ -128,7 +140,7 @@ def _fold_scores(
         ]
 
         def score(point, chosen=chosen):
-            model = fit_point(chosen[0], point)
+            model = fit_point(chosen[0], point, parallelism)
             return point, f1_score(model.transform(chosen[1]))
 
         with ThreadPool(parallelism) as pool:
@@ -136,7 +148,7 @@ def _fold_scores(
             scores.update(pool.map(inheritable_thread_target(session)(score), list(points)))
         for part in chosen:
             part.unpersist()
-    for part in (statistics, train_counts, test_counts):
+    for part in (train_counts, test_counts):
         part.unpersist()
     return scores
 
@@ -148,18 +160,18 @@ def _kept(df: DataFrame) -> DataFrame:
 def grid_search(
     docs: DataFrame,
     grid: Sequence[GridPoint],
-    stopwords: Iterable[str] = (),
+    stopwords: StopWords = (),
     folds: int = FOLDS,
     seed: int = SEED,
-    vocabulary: Sequence[str] | int = VOCABULARY_SIZE,
     parallelism: int = 2,
 ) -> DataFrame:
     """Mean F1 over the folds for every point: the metrics table.
 
     Folds are hash buckets of ``doc_id``, and nothing is fitted on the held-out
-    fold. ``parallelism`` points are trained at a time.
+    fold. ``parallelism`` points are trained at a time, and as many labels of each.
     """
-    stopwords = tuple(stopwords)
+    if not isinstance(stopwords, DataFrame):
+        stopwords = tuple(stopwords)
     folded = assign_fold(docs, folds, seed=seed)
     per_fold = [
         _fold_scores(
@@ -167,7 +179,6 @@ def grid_search(
             folded.where(F.col("fold") == fold),
             grid,
             stopwords,
-            vocabulary,
             parallelism,
         )
         for fold in range(folds)

@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termscope.functions.stats import idf as idf_value
-from termscope.functions.text import is_term, words
+from termscope.functions.text import words
 from termscope.operators.numbering import global_rank
+from termscope.operators.terms import StopWords, kept_or_marked, kept_terms
 from termscope.sources.storage import MAX_BROADCAST_ROWS, join_by_size
 
 
-def term_frequency(docs: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
-    """Occurrences per document and term: ``(doc_id, term, tf)``, no shuffle.
+def term_frequency(
+    docs: DataFrame, stopwords: StopWords = (), keys: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """Occurrences per document and term: ``(keys, term, tf)``, no shuffle.
 
     A document is one row, so its words are sorted and run lengths read off
     inside the row: a run starts where a word differs from the one before it and
     ends where the next one starts.
     """
-    sorted_words = docs.select("doc_id", F.sort_array(words("reviewText")).alias("w"))
+    sorted_words = docs.select(*keys, F.sort_array(words("reviewText")).alias("w"))
     w, s = F.col("w"), F.col("s")
     # No filter on the array here: it would be pushed to the scan and tokenize
     # there once more. An empty text has one run, of a NULL term, dropped below.
@@ -28,7 +31,7 @@ def term_frequency(docs: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
         F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0))),
         lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1)),
     )
-    marked = sorted_words.select("doc_id", "w", starts.alias("s"))
+    marked = sorted_words.select(*keys, "w", starts.alias("s"))
     runs = F.transform(
         s,
         lambda start, at: F.struct(
@@ -36,17 +39,16 @@ def term_frequency(docs: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
             (F.coalesce(F.get(s, at + 1), F.size(w)) - start).cast("bigint").alias("tf"),
         ),
     )
-    return marked.select("doc_id", F.inline(runs)).where(is_term("term", stopwords))
+    return kept_terms(marked.select(*keys, F.inline(runs)), stopwords)
 
 
 def vocabulary(
-    docs: DataFrame, stopwords: Iterable[str] = (), size: int | None = None
+    docs: DataFrame, stopwords: StopWords = (), size: int | None = None
 ) -> DataFrame:
     """Terms by corpus frequency: ``(idx, term, freq)``, most frequent first, ties
     by term; ``size`` keeps the first so many."""
     counted = (
-        docs.select(F.explode(words("reviewText")).alias("term"))
-        .where(is_term("term", stopwords))
+        kept_terms(docs.select(F.explode(words("reviewText")).alias("term")), stopwords)
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("freq"))
     )
@@ -56,28 +58,26 @@ def vocabulary(
     return ranked.select((F.col("rk") - 1).alias("idx"), "term", "freq")
 
 
-def document_frequency(docs: DataFrame, stopwords: Iterable[str] = ()) -> DataFrame:
+def document_frequency(docs: DataFrame, stopwords: StopWords = ()) -> DataFrame:
     """Documents per term: ``(term, df)``."""
+    distinct = F.explode(F.array_distinct(words("reviewText"))).alias("term")
     return (
-        docs.select(F.explode(F.array_distinct(words("reviewText"))).alias("term"))
-        .where(is_term("term", stopwords))
+        kept_terms(docs.select(distinct), stopwords)
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
     )
 
 
-def idf(docs: DataFrame, stopwords: Iterable[str] = (), min_doc_freq: int = 0) -> DataFrame:
+def idf(docs: DataFrame, stopwords: StopWords = (), min_doc_freq: int = 0) -> DataFrame:
     """``(term, df, idf)``; the weight is 0 below ``min_doc_freq`` documents.
 
     The document total comes from the same pass as the document frequencies, as
     the row with a NULL term.
     """
     marker = F.array(F.lit(None).cast("string"))
+    terms = F.explode(F.concat(marker, F.array_distinct(words("reviewText")))).alias("term")
     counted = (
-        docs.select(
-            F.explode(F.concat(marker, F.array_distinct(words("reviewText")))).alias("term")
-        )
-        .where(F.col("term").isNull() | is_term("term", stopwords))
+        kept_or_marked(docs.select(terms), stopwords)
         .groupBy("term")
         .agg(F.sum(F.when(F.col("term").isNull(), -1).otherwise(1)).alias("cnt"))
     )
@@ -89,7 +89,7 @@ def idf(docs: DataFrame, stopwords: Iterable[str] = (), min_doc_freq: int = 0) -
 
 def tfidf(
     docs: DataFrame,
-    stopwords: Iterable[str] = (),
+    stopwords: StopWords = (),
     min_doc_freq: int = 0,
     max_terms: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:

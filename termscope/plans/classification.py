@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from termscope.operators.evaluation import FOLDS, SEED, split_part, train_val_union
-from termscope.operators.stages import (
-    VOCABULARY_SIZE,
-    l2_normalizer,
-    linear_svm,
-    one_vs_rest,
-    selection_stages,
+from termscope.operators.evaluation import (
+    FOLDS,
+    SEED,
+    confusion_counts,
+    split_part,
+    train_val_union,
+    weighted_f1,
 )
+from termscope.operators.stages import fit_selection, l2_normalizer, linear_svm, one_vs_rest
+from termscope.operators.terms import StopWords
 from termscope.operators.tuning import (
     GridPoint,
     best_point,
-    f1_score,
     grid_search,
     parameter_grid,
     training_set,
@@ -39,25 +40,23 @@ class TunedClassifier:
 def fit_classifier(
     docs: DataFrame,
     point: GridPoint,
-    stopwords: Iterable[str] = (),
-    vocabulary_size: int = VOCABULARY_SIZE,
+    stopwords: StopWords = (),
     parallelism: int = 2,
 ) -> PipelineModel:
     """Fit all stages with one configuration."""
     svm = linear_svm(point.regParam, point.maxIter, point.standardization)
     classifier = one_vs_rest(svm, parallelism)
-    return fit_stages(docs, classifier, point.numTopFeatures, stopwords, vocabulary_size)
+    return fit_stages(docs, classifier, point.numTopFeatures, stopwords)
 
 
 def fit_stages(
     docs: DataFrame,
     classifier: Estimator,
     num_features: int,
-    stopwords: Iterable[str] = (),
-    vocabulary_size: int = VOCABULARY_SIZE,
+    stopwords: StopWords = (),
 ) -> PipelineModel:
     """What ``classifier_stages(...).fit`` gives, with a kept training set."""
-    selection = selection_stages(stopwords, num_features, vocabulary_size).fit(docs)
+    selection = fit_selection(docs, stopwords, num_features)
     normalizer = l2_normalizer()
     features = normalizer.transform(selection.transform(docs)).select("label", "norm_features")
     train = training_set(features, num_features)
@@ -68,25 +67,41 @@ def fit_stages(
 
 def tune_and_evaluate(
     docs: DataFrame,
-    stopwords: Iterable[str] = (),
+    stopwords: StopWords = (),
     grid: Sequence[GridPoint] | None = None,
     folds: int = FOLDS,
     seed: int = SEED,
-    vocabulary_size: int = VOCABULARY_SIZE,
     parallelism: int = 2,
     output: str | None = None,
 ) -> TunedClassifier:
     """Search the grid on 85 % of the documents, refit the best configuration on
-    them and score it on the other 15 %. ``docs`` has ``doc_id``."""
-    stopwords = tuple(stopwords)
-    known = train_val_union(docs, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
-    metrics = grid_search(
-        known, grid or parameter_grid(), stopwords, folds, seed, vocabulary_size, parallelism
-    )
+    them and score it on the other 15 %. ``docs`` has ``doc_id``. With ``output``, the
+    grid's metrics go there and the test score beside it, to ``output``-test."""
+    known = train_val_union(docs, seed=seed)
+    metrics = grid_search(known, grid or parameter_grid(), stopwords, folds, seed, parallelism)
     if output is not None:
         write_json(metrics, output)
     best = best_point(metrics)
-    model = fit_classifier(known, best, stopwords, vocabulary_size, parallelism)
-    test_f1 = f1_score(model.transform(split_part(docs, "test", seed=seed)))
-    known.unpersist()
-    return TunedClassifier(metrics, best, model, test_f1)
+    model = fit_classifier(known, best, stopwords, parallelism)
+    score = test_score(model, split_part(docs, "test", seed=seed))
+    row = score.first()
+    if output is not None:
+        write_json(score, f"{output}-test")
+    return TunedClassifier(metrics, best, model, row.f1)
+
+
+def test_score(model: PipelineModel, held_out: DataFrame) -> DataFrame:
+    """One row ``(documents, skipped, f1)``.
+
+    Documents whose label the training part did not have cannot be scored; they are
+    counted as ``skipped``.
+    """
+    predicted = model.transform(held_out)
+    documents = held_out.agg(F.count(F.lit(1)).alias("n")).scalar()
+    scored = predicted.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return weighted_f1(confusion_counts(predicted)).select(
+        documents.alias("documents"), (documents - scored).alias("skipped"), "f1"
+    )
+
+
+test_score.__test__ = False

@@ -2,39 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame
 
 from termscope.operators.counts import tally
 from termscope.operators.scores import contingency, top_terms_global
-from termscope.operators.stages import (
-    NUM_TOP_FEATURES,
-    VOCABULARY_SIZE,
-    selected_terms,
-    selection_stages,
-)
+from termscope.operators.selection import term_statistics, top_statistics
+from termscope.operators.stages import NUM_TOP_FEATURES
+from termscope.operators.terms import StopWords
 from termscope.sources.report import write_terms
 
 
 def select_terms(
     docs: DataFrame,
     output: str,
-    stopwords: Iterable[str] = (),
+    stopwords: StopWords = (),
     num_features: int = NUM_TOP_FEATURES,
-    vocabulary_size: int = VOCABULARY_SIZE,
 ) -> DataFrame:
-    """Fit the TF-IDF selection and write its terms, one per line."""
-    model = selection_stages(stopwords, num_features, vocabulary_size).fit(docs)
-    terms = selected_terms(model)
-    write_terms(terms.orderBy("idx"), output)
+    """Select terms by their counts per document and write them, the best one first.
+
+    Every term of the corpus takes part, however many there are.
+    """
+    terms = top_statistics(term_statistics(docs, stopwords), num_features)
+    write_terms(terms.orderBy("rk").select("term"), output)
     return terms
 
 
 def select_terms_by_presence(
     docs: DataFrame,
     output: str,
-    stopwords: Iterable[str] = (),
+    stopwords: StopWords = (),
     num_features: int = NUM_TOP_FEATURES,
 ) -> DataFrame:
     """Select by the chi-square of document presence over all categories.

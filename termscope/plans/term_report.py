@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame
 
 from termscope.operators import counts as c
 from termscope.operators.report import merged_dictionary, report_lines
+from termscope.operators.terms import StopWords
 from termscope.operators.scores import (
     TOP_TERMS_PER_CATEGORY,
     contingency_from_counts,
@@ -20,7 +19,7 @@ from termscope.sources.report import write_dictionary, write_text
 def term_report(
     docs: DataFrame,
     output: str,
-    stopwords: Iterable[str] = (),
+    stopwords: StopWords = (),
     k: int = TOP_TERMS_PER_CATEGORY,
 ) -> DataFrame:
     """Write counts, metadata, report and dictionary below ``output``.

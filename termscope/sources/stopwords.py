@@ -24,10 +24,17 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
 def inline_stopwords(words: DataFrame) -> tuple[str, ...] | None:
     """The words as a tuple when there are few enough, else None.
 
-    At most ``MAX_INLINE_WORDS + 1`` rows reach the driver. On None, use
-    ``operators.terms.drop_stopwords``, a join, in their place.
+    At most ``MAX_INLINE_WORDS + 1`` rows reach the driver. On None, give
+    the table itself to the operators, which then join it.
     """
     rows = words.limit(MAX_INLINE_WORDS + 1).collect()
     if len(rows) > MAX_INLINE_WORDS:
         return None
     return tuple(sorted(r.term for r in rows))
+
+
+def load_stopwords(spark: SparkSession, path: str) -> tuple[str, ...] | DataFrame:
+    """A stopword file as words, or as a table if it is long."""
+    table = read_stopwords(spark, path)
+    words = inline_stopwords(table)
+    return table if words is None else words

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from termscope.operators import stages, tuning
 from termscope.operators import vectors as v
+from termscope.operators.selection import best_terms, term_statistics, top_statistics
 from termscope.plans.classification import fit_classifier, tune_and_evaluate
 from termscope.plans.feature_selection import select_terms
 
@@ -42,7 +43,7 @@ def test_tokens_and_filter(reviews):
 
 def test_idf_stage_equals_the_long_form(docs):
     model = Pipeline(
-        stages=[*stages.count_stages(STOP), stages.inverse_document_frequency()]
+        stages=[*stages.count_stages(STOP, 1000), stages.inverse_document_frequency()]
     ).fit(docs)
     vocabulary = next(s for s in model.stages if isinstance(s, CountVectorizerModel)).vocabulary
     weights = next(s for s in model.stages if isinstance(s, IDFModel)).idf.toArray()
@@ -53,7 +54,7 @@ def test_idf_stage_equals_the_long_form(docs):
 def test_normalizer_equals_the_long_form(docs):
     model = Pipeline(
         stages=[
-            *stages.count_stages(STOP),
+            *stages.count_stages(STOP, 1000),
             stages.inverse_document_frequency(),
             stages.l2_normalizer().setInputCol("tfidf_features"),
         ]
@@ -75,7 +76,7 @@ def test_labels_equal_the_index(docs):
 
 @pytest.mark.parametrize("k", [1, 5, 1000])
 def test_slices_equal_the_selector(docs, k):
-    prefix = Pipeline(stages=[*stages.count_stages(STOP), stages.inverse_document_frequency()])
+    prefix = Pipeline(stages=[*stages.count_stages(STOP, 1000), stages.inverse_document_frequency()])
     weighted = prefix.fit(docs).transform(docs)
     selector = stages.chi_square_selector(k).fit(weighted)
     sliced = stages.slice_top_features(stages.feature_statistics(weighted), k)
@@ -88,7 +89,7 @@ def test_slices_equal_the_selector(docs, k):
 def test_select_terms_writes_the_selection(docs, tmp_path):
     terms = select_terms(docs, str(tmp_path / "t"), STOP, num_features=12)
     text = "".join(p.read_text() for p in sorted((tmp_path / "t").glob("part-*"))).split()
-    assert text == [r.term for r in terms.orderBy("idx").collect()]
+    assert text == [r.term for r in terms.orderBy("rk").collect()]
     assert {"salmon", "engine", "bread"} <= set(text) and len(text) == 12
 
 
@@ -112,10 +113,11 @@ def test_classifier_learns_and_skips_unknown_labels(docs, reviews):
 
 
 def test_kept_training_set_changes_nothing(docs):
-    """Against Spark's own pipeline of the same eight stages."""
+    """Against Spark's own pipeline of the same stages."""
     point = tuning.GridPoint(8, 0.05, True, 4)
     ovr = stages.one_vs_rest(stages.linear_svm(point.regParam, point.maxIter))
-    whole = stages.classifier_stages(STOP, ovr, point.numTopFeatures).fit(docs)
+    terms = best_terms(docs, point.numTopFeatures, STOP)
+    whole = stages.classifier_stages(STOP, ovr, terms).fit(docs)
     ours = fit_classifier(docs, point, STOP)
     assert len(ours.stages) == len(whole.stages)
     for a, b in zip(ours.stages[-1].models, whole.stages[-1].models):
@@ -123,7 +125,7 @@ def test_kept_training_set_changes_nothing(docs):
 
 
 def test_training_set_is_merged_by_size(spark, docs, monkeypatch):
-    model = stages.selection_stages(STOP, 4).fit(docs)
+    model = stages.fit_selection(docs, STOP, 4)
     features = model.transform(docs.repartition(6)).select("label", "selected_features")
     assert tuning.training_set(features, 4).rdd.getNumPartitions() == 1
     monkeypatch.setattr(tuning, "ENTRIES_PER_PART", 4 * 40)
@@ -133,7 +135,8 @@ def test_training_set_is_merged_by_size(spark, docs, monkeypatch):
 
 def test_binary_svm(docs):
     two = docs.where("category <> 'Food'")
-    model = stages.classifier_stages(STOP, stages.linear_svm(0.01, 5), 8).fit(two)
+    terms = best_terms(two, 8, STOP)
+    model = stages.classifier_stages(STOP, stages.linear_svm(0.01, 5), terms).fit(two)
     assert tuning.f1_score(model.transform(two)) == 1.0
 
 
@@ -146,6 +149,8 @@ def test_tuning_end_to_end(docs, tmp_path):
     assert tuned.best == grid[0] and tuned.test_f1 > 0.95
     stored = docs.sparkSession.read.schema(tuning.METRICS_SCHEMA).json(str(tmp_path / "metrics"))
     assert sorted(stored.collect()) == sorted(rows)
+    test = docs.sparkSession.read.json(str(tmp_path / "metrics-test")).first()
+    assert test.f1 == tuned.test_f1 and test.skipped == 0 and test.documents > 0
 
 
 def test_fold_scores_equal_full_refits(docs):
@@ -160,3 +165,50 @@ def test_fold_scores_equal_full_refits(docs):
         model = fit_classifier(folded.where(F.col("fold") != fold), point, STOP)
         separate.append(tuning.f1_score(model.transform(folded.where(F.col("fold") == fold))))
     assert shared == pytest.approx(sum(separate) / 2, abs=1e-9)
+
+
+def test_statistics_equal_the_ml_test(docs):
+    prefix = Pipeline(stages=[*stages.count_stages(STOP, 1000), stages.inverse_document_frequency()])
+    model = prefix.fit(docs)
+    vocabulary = next(s for s in model.stages if isinstance(s, CountVectorizerModel)).vocabulary
+    rows = stages.feature_statistics(model.transform(docs)).collect()
+    expected = {vocabulary[r.featureIndex]: (r.degreesOfFreedom, r.statistic) for r in rows}
+    found = {r.term: (r.dof, r.statistic) for r in term_statistics(docs, STOP).collect()}
+    assert set(found) == set(expected)
+    for term, (dof, statistic) in expected.items():
+        assert found[term][0] == dof and found[term][1] == pytest.approx(statistic, abs=1e-6)
+
+
+def test_selection_has_no_cap_and_breaks_ties_by_term(spark, reviews):
+    rows = [("a", " ".join(f"aa{chr(97 + i)}{chr(97 + j)}" for j in range(26))) for i in range(26)]
+    corpus = reviews([*rows, ("b", "zz")])
+    top = top_statistics(term_statistics(corpus), 10_000).orderBy("rk").collect()
+    assert len(top) == 26 * 26 + 1 and top[0].term == "zz"
+    tied = [r.term for r in top[1:]]
+    assert tied == sorted(tied)
+
+
+def test_a_stopword_table_gives_what_a_list_gives(spark, docs):
+    table = spark.createDataFrame([(w,) for w in STOP], "term string")
+    listed, joined = (term_statistics(docs, s).orderBy("term").collect() for s in (STOP, table))
+    assert listed == joined
+    a, b = (v.idf(docs, s).orderBy("term").collect() for s in (STOP, table))
+    assert a == b
+    point = tuning.GridPoint(6, 0.1, True, 2)
+    scores = [tuning.grid_search(docs, [point], s).first().f1 for s in (STOP, table)]
+    assert scores[0] == pytest.approx(scores[1])
+
+
+def test_command_line_takes_long_stopword_lists(docs, tmp_path):
+    from termscope.__main__ import main
+
+    docs.select("category", "reviewText").coalesce(1).write.json(str(tmp_path / "in"))
+    outputs = []
+    for name, words in (("short", STOP), ("long", [*STOP, *(f"zz{i}" for i in range(20_000))])):
+        (tmp_path / name).write_text("\n".join(words))
+        args = ["--input", str(tmp_path / "in"), "--stopwords", str(tmp_path / name), "--top", "9"]
+        for run in ("select", "select-by-presence"):
+            main([run, *args, "--output", str(tmp_path / f"{run}-{name}")])
+            parts = sorted((tmp_path / f"{run}-{name}").glob("part-*"))
+            outputs.append("".join(p.read_text() for p in parts).split())
+    assert outputs[:2] == outputs[2:] and len(outputs[0]) == 9
