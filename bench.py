@@ -41,6 +41,9 @@ HEADLINE = (
     "split_counts",
     "best_per_group",
     "main_effects",
+    "ml_feature_statistics",
+    "ml_selected_terms",
+    "feature_pipeline",
 )
 
 

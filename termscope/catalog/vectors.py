@@ -23,7 +23,7 @@ def tfidf(spark, sf_dir):
 
 
 def l2_tfidf(spark, sf_dir):
-    weights = ops.l2_normalize(ops.tfidf(docs(spark, sf_dir), STOP))
+    weights = ops.unit_tfidf(docs(spark, sf_dir), STOP)
     return weights.withColumn("weight", F.round("weight", 6))
 
 

@@ -121,6 +121,16 @@ def l2_normalize(weights: DataFrame) -> DataFrame:
     )
 
 
+def unit_tfidf(docs: DataFrame, stopwords: StopWords = ()) -> DataFrame:
+    """``(doc_id, term, weight)``, TF-IDF scaled to unit length per document.
+
+    Texts are dealt by ``doc_id`` before they become terms: one compact row per document
+    is shuffled, whatever the number of splits, and as a broadcast of the term weights
+    leaves them in place, the lengths need no shuffle of the long table.
+    """
+    return l2_normalize(tfidf(docs.repartition("doc_id"), stopwords))
+
+
 def label_index(docs: DataFrame, label: str = "category") -> DataFrame:
     """Labels by frequency, ties by label: ``(label, idx, cnt)``; NULL skipped."""
     counted = (

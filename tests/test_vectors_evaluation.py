@@ -130,3 +130,20 @@ def test_main_effects(spark):
         ("std", "on"): (0.55, 0.3),
         ("std", "off"): (0.25, 0.0),
     }
+
+
+def test_unit_weights_shuffle_only_texts(spark, tmp_path):
+    """Over many splits: one exchange by document, below the explode."""
+    rows = spark.range(0, 400, 1, 16).selectExpr(
+        "id AS doc_id", "'a' AS category", "concat('aa bb', id % 7, ' cc') AS reviewText"
+    )
+    rows.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    unit = v.unit_tfidf(docs)
+    plan = unit._jdf.queryExecution().executedPlan().toString().splitlines()
+    exchanges = [line for line in plan if "Exchange hashpartitioning(doc_id" in line]
+    assert len(exchanges) == 1
+    deeper = plan.index(exchanges[0])
+    assert any("Generate inline" in line for line in plan[:deeper])
+    length = unit.groupBy("doc_id").agg(F.round(F.sum(F.col("weight") * F.col("weight")), 9).alias("s"))
+    assert {r.s for r in length.collect()} <= {0.0, 1.0}
