@@ -1,10 +1,7 @@
-import sys
-from pathlib import Path
+"""Fixtures of the tests in this folder, which import them by name."""
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-
 
 @pytest.fixture
 def documents(spark):

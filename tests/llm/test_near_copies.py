@@ -1,9 +1,10 @@
 import random
 
-import brute
+import llm_definitions as brute
 import numpy as np
 import pytest
 
+from llm_fixtures import documents  # noqa: F401
 from termscope.llm import embeddings, jaccard
 from termscope.llm.components import connected
 

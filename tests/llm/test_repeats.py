@@ -1,8 +1,9 @@
 import random
 
-import brute
+import llm_definitions as brute
 import pytest
 
+from llm_fixtures import documents  # noqa: F401
 from termscope.llm import lines, recompression, suffix
 from termscope.llm.decontamination import contamination, decontaminated
 

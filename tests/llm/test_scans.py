@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from llm_fixtures import documents  # noqa: F401
 from tokenizers import Tokenizer
 
 from termscope.llm import packing, secrets, toxicity
