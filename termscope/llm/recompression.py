@@ -25,9 +25,12 @@ from termscope.sources.storage import stored
 
 WINDOW_WORDS = 20
 
-#: Rounds that join pairs. After two, a symbol spans up to four words besides runs and
-#: depends on some more around it, well within a window.
-PAIR_ROUNDS = 2
+#: Bytes of text that are read at a time.
+SLICE_BYTES = 256 << 10
+
+#: Rounds that join pairs. After three, a symbol spans up to eight words besides runs,
+#: and with the words around it that it depends on most still lie within a window.
+PAIR_ROUNDS = 3
 
 _PAIR = U64(0xA24BAED4963EE407)
 _RUN = U64(0x9FB21C651E98DF25)
@@ -35,15 +38,15 @@ _FAR = np.int64(1 << 62)
 
 
 class _Symbols:
-    """Symbols over several texts: name, text, and the words they depend on.
+    """Symbols over several texts: name, text, words, and where the words are.
 
     ``low`` and ``high`` bound the words that decide whether the symbol is there: equal
     words from low to high give an equal symbol, whatever surrounds them. The edge of a
     text is no word, so symbols that depend on it lie in no window.
     """
 
-    def __init__(self, name, text, low, high):
-        self.name, self.text, self.low, self.high = name, text, low, high
+    def __init__(self, name, text, words, low, high):
+        self.name, self.text, self.words, self.low, self.high = name, text, words, low, high
 
     def _edges(self):
         first = np.ones(len(self.name), bool)
@@ -63,7 +66,9 @@ class _Symbols:
         end = np.append(at[1:], len(start)) - 1
         length = (end - at + 1).astype(U64)
         name = np.where(length > 1, mix(self.name[at] * _RUN + length), self.name[at])
-        return _Symbols(name, self.text[at], before[at], after[end])
+        return _Symbols(
+            name, self.text[at], np.add.reduceat(self.words, at), before[at], after[end]
+        )
 
     def pairs(self, number: int) -> _Symbols:
         """Name each pair of a left symbol and a right one after it.
@@ -83,23 +88,29 @@ class _Symbols:
         at = np.flatnonzero(opens)
         name[at] = mix(self.name[at] * _PAIR + mix(self.name[at + 1] + U64(number)))
         low[at], high[at] = self.low[at], self.high[at + 1]
+        words = self.words.copy()
+        words[at] += self.words[at + 1]
         kept = ~closes
-        return _Symbols(name[kept], self.text[kept], low[kept], high[kept])
+        return _Symbols(name[kept], self.text[kept], words[kept], low[kept], high[kept])
 
 
-def recompressed(words: np.ndarray, text: np.ndarray) -> _Symbols:
+def recompressed(words: np.ndarray, text: np.ndarray) -> list[_Symbols]:
+    """The symbols after each round."""
     at = np.arange(len(words), dtype=np.int64)
-    symbols = _Symbols(words, text, at, at + 1).runs()
+    if not len(words):
+        return []
+    rounds = [_Symbols(words, text, np.ones(len(words), np.int64), at, at + 1).runs()]
     for number in range(PAIR_ROUNDS):
-        symbols = symbols.pairs(number)
-    return symbols
+        rounds.append(rounds[-1].pairs(number))
+    return rounds
 
 
 def window_keys(words: np.ndarray, first: np.ndarray, size: int):
     """Hash and key of the window at each word, and whether one starts there.
 
-    The key is the least name among the symbols that the window decides; equal windows
-    have equal keys. Windows that decide none, within long runs, are their own key.
+    The key is a symbol that the window decides: the one of most words, and of these
+    the one with the greatest hash of its name. Equal windows have equal keys. Windows
+    that decide none, within long runs, are their own key.
     """
     counts = np.diff(first)
     text = np.repeat(np.arange(len(counts)), counts)
@@ -108,18 +119,19 @@ def window_keys(words: np.ndarray, first: np.ndarray, size: int):
     own = np.zeros(len(words), U64)
     found = window_hashes(words, size)
     own[: len(found)] = found
-    symbols = recompressed(words, text)
-    rank = mix(symbols.name + U64(0x2545F491))
-    keys = np.full(len(words), U64(0xFFFFFFFFFFFFFFFF))
-    spare = size - (symbols.high - symbols.low)
-    fits = (symbols.low >= 0) & (symbols.high < _FAR) & (spare >= 0)
-    rank, low, spare = rank[fits], symbols.low[fits], spare[fits]
-    for back in range(size):
-        reach = (spare >= back) & (low >= back)
-        if not reach.any():
-            break
-        np.minimum.at(keys, low[reach] - back, rank[reach])
-    keys = np.where(keys == U64(0xFFFFFFFFFFFFFFFF), mix(own ^ _RUN), keys)
+    keys = np.zeros(len(words), U64)
+    for symbols in reversed(recompressed(words, text)):
+        spare = size - (symbols.high - symbols.low)
+        fits = (symbols.low >= 0) & (symbols.high < _FAR) & (spare >= 0)
+        span = np.minimum(symbols.words[fits], 63).astype(U64) << U64(58)
+        rank = span | (mix(symbols.name[fits] + U64(0x2545F491)) >> U64(6))
+        low, spare = symbols.low[fits], spare[fits]
+        for back in range(size):
+            reach = (spare >= back) & (low >= back)
+            if not reach.any():
+                break
+            np.maximum.at(keys, low[reach] - back, rank[reach])
+    keys = np.where(keys == 0, mix(own ^ _RUN) >> U64(6), keys)
     return own, keys, starts
 
 
@@ -136,7 +148,7 @@ def _key_rows(docs: DataFrame, size: int) -> DataFrame:
     """
 
     def emit(batches):
-        for batch, data, offsets in parts(batches, "text"):
+        for batch, data, offsets in parts(batches, "text", SLICE_BYTES):
             _, _, first, own, keys, starts = _read(data, offsets, size)
             at = np.flatnonzero(starts)
             text = np.searchsorted(first, at, "right") - 1
@@ -162,7 +174,7 @@ def _key_rows(docs: DataFrame, size: int) -> DataFrame:
 
 def _candidates(batches, size):
     """``(batch, text, spans, hashes and candidate flags of the windows)`` per slice."""
-    for batch, data, offsets in parts(batches, "text"):
+    for batch, data, offsets in parts(batches, "text", SLICE_BYTES):
         starts, ends, first, own, keys, valid = _read(data, offsets, size)
         hit = np.zeros(len(own), bool)
         for i, shared in enumerate(batch.column("shared")):
@@ -184,7 +196,7 @@ def _may_be_listed(docs: DataFrame, lists: DataFrame) -> tuple[DataFrame, Broadc
 
 
 def _first_windows(docs: DataFrame, shared: DataFrame, size: int) -> DataFrame:
-    """``(doc_id, firsts)``: starts of the windows that occur nowhere earlier."""
+    """``(doc_id, firsts)``: hashes of the windows that no smaller document has."""
 
     def emit(batches):
         for batch, _, _, (_, _, first), own, hit in _candidates(batches, size):
@@ -192,18 +204,21 @@ def _first_windows(docs: DataFrame, shared: DataFrame, size: int) -> DataFrame:
             text = np.searchsorted(first, at, "right") - 1
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(signed(own[at])),
-                    pa.array(ids[text], pa.int64()),
-                    pa.array((at - first[text]).astype(np.int32)),
-                ],
-                ["hash", "doc_id", "at"],
+                [pa.array(signed(own[at])), pa.array(ids[text], pa.int64())], ["hash", "doc_id"]
             )
 
     near, _ = _may_be_listed(docs, shared)
-    windows = near.join(shared, "doc_id").mapInArrow(emit, "hash bigint, doc_id bigint, at int")
-    firsts = windows.groupBy("hash").agg(F.min(F.struct("doc_id", "at")).alias("f"))
-    return firsts.groupBy("f.doc_id").agg(F.collect_list("f.at").alias("firsts"))
+    windows = near.join(shared, "doc_id").mapInArrow(emit, "hash bigint, doc_id bigint")
+    firsts = windows.groupBy("hash").agg(F.min("doc_id").alias("doc_id"))
+    return firsts.groupBy("doc_id").agg(F.collect_list("hash").alias("firsts"))
+
+
+def _repeated(own: np.ndarray) -> np.ndarray:
+    """Whether a hash occurred before in the array."""
+    order = np.argsort(own, kind="stable")
+    again = np.zeros(len(own), bool)
+    again[order[1:]] = own[order[1:]] == own[order[:-1]]
+    return again
 
 
 def _covered(hit: np.ndarray, size: int) -> np.ndarray:
@@ -225,12 +240,13 @@ def kept_words(docs: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     Recompression names runs of a word and then pairs of symbols, in rounds. A name is
     a hash of what it stands for, so it is the same everywhere with no table of names,
     and it depends on the words near it alone: equal windows share the names inside.
-    The least of them is the window's key.
+    One of them is the window's key.
 
     1. Keys are counted over all documents; windows whose key occurs once are unique.
     2. The others are compared by the hash of their whole word sequence, and the first
-       of each is found by an aggregate.
-    3. Each document drops what its other candidate windows cover.
+       document of each is found by an aggregate.
+    3. Each document keeps the first place of the windows it is first for, and drops
+       what its other candidate windows cover.
 
     Words are runs of anything but ASCII white space, unchanged. Nulls, empty texts and
     texts without words have no words. Sequences are compared by 64-bit hashes. Rows
@@ -277,15 +293,17 @@ def _finished(docs: DataFrame, lists: DataFrame, size: int) -> DataFrame:
     def untouched(batches):
         for batch in batches:
             batch = batch.filter(pa.array(~hashed_ids(batch.column("doc_id"), bits.value)))
-            for own, data, offsets in parts([batch], "text"):
+            for own, data, offsets in parts([batch], "text", SLICE_BYTES):
                 starts, ends, first = word_spans(data, offsets, WHITE)
                 yield _kept_rows(own, data, starts, ends, first, np.zeros(len(starts), bool))
 
     def cut(batches):
-        for batch, data, _, (starts, ends, first), _, hit in _candidates(batches, size):
+        for batch, data, _, (starts, ends, first), own, hit in _candidates(batches, size):
             for i, firsts in enumerate(batch.column("firsts")):
-                if firsts.is_valid:
-                    hit[first[i] + firsts.values.to_numpy()] = False
+                at = first[i] + np.flatnonzero(hit[first[i] : first[i + 1]])
+                if firsts.is_valid and len(at):
+                    known = firsts.values.to_numpy().view(U64)
+                    hit[at] = ~np.isin(own[at], known) | _repeated(own[at])
             yield _kept_rows(batch, data, starts, ends, first, _covered(hit, size))
 
     touched = near.join(lists, "doc_id", "left").mapInArrow(cut, shape)
