@@ -8,15 +8,14 @@ from pyspark.sql.window import Window
 
 from termscope.sources.storage import stored
 
-#: A word, and the letters that are folded.
-WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
-ANY_CASE_WORD = r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"
+#: What lies between words, and the letters that are folded.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 3
 
-#: A side of a join is broadcast when its rows, as counted, need no more than this.
+#: Keys of shingles are broadcast when, as counted, they need no more than this.
 BROADCAST_BYTES = 32 << 20
 
 
@@ -24,107 +23,135 @@ def _fold(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def _small(df: DataFrame, row_bytes: int) -> DataFrame:
-    """``df``, a stored table, with a broadcast hint if its rows are counted as few."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+def _words(text: str) -> Column:
+    """The words of a text; the first and the last may be empty."""
+    return F.split(text, BETWEEN, -1)
 
 
 def item_windows(items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """``(item_id, words)``: each run of ``size`` words, or all of a shorter item."""
     split = items.select(
-        F.col("item_id"), F.regexp_extract_all(_fold("text"), F.lit(WORD), F.lit(1)).alias("all")
+        "item_id", F.array_remove(_words("text"), "").alias("all")
     ).where(F.size("all") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("all") - size + 1, F.lit(1)))
     return split.select("item_id", "all", F.explode(starts).alias("at")).select(
-        "item_id", F.slice("all", F.col("at"), F.lit(size)).alias("words")
+        "item_id",
+        F.transform(F.slice("all", F.col("at"), F.lit(size)), _fold).alias("words"),
     )
 
 
-def _shingle_key(words: str, at: Column, size: int) -> Column:
-    """A hash of the words at ``at`` and after it; of fewer at the end of a text."""
-    return F.xxhash64(*(F.lower(F.get(F.col(words), at + j)) for j in range(size)))
+def _key(words: str, at: Column, size: int) -> Column:
+    """A hash of the words at ``at`` and after it; of fewer at the end of a text.
 
+    Lower case is taken word by word here: it merges more letters than folding A-Z
+    does, so no shingle is missed, and those that differ are told apart by their text.
+    """
+    return F.xxhash64(*(F.lower(F.get(F.col(words), at + j)) for j in range(size)))
 
-def _positions(docs: DataFrame, shingle: int) -> DataFrame:
-    """``(doc_id, words, at, key)`` for each word of each document."""
-    split = docs.select(
-        "doc_id", F.regexp_extract_all("text", F.lit(ANY_CASE_WORD), F.lit(1)).alias("words")
-    )
-    return split.select("doc_id", "words", F.posexplode("words").alias("at", "word")).select(
-        "doc_id", "words", "at", _shingle_key("words", F.col("at"), shingle).alias("key")
-    )
 
+def _shingle(words: str, at: Column, size: int) -> Column:
+    return _fold(F.array_join(F.slice(F.col(words), at + 1, F.lit(size)), " "))
 
-def _prefixes(docs: DataFrame, windows: DataFrame, shingle: int) -> DataFrame:
-    """Each window with the place and key of its rarest shingle.
 
-    A document that holds a window holds all its shingles, so one is a sufficient
-    prefix. Rarity is the count over all documents.
-    """
-    count = F.size("words") - shingle
-    shingles = windows.select(
-        "window_id", "words", F.explode(F.sequence(F.lit(0), count)).alias("place")
-    ).select(
-        "window_id", "words", "place", _shingle_key("words", F.col("place"), shingle).alias("key")
-    )
-    shingles = stored(shingles, "shingles")
-    keys = stored(shingles.select("key").distinct(), "keys")
-    seen = (
-        _positions(docs, shingle)
-        .select("key")
-        .join(_small(keys, 64), "key")
-        .groupBy("key")
-        .agg(F.count("*").alias("n"))
-    )
-    ranked = shingles.join(seen, "key").select(
-        "window_id", "words", F.struct("n", "place", "key").alias("shingle")
-    )
-    rarest = ranked.groupBy("window_id").agg(
-        F.min("shingle").alias("s"), F.first("words").alias("window")
+def window_shingles(windows: DataFrame, size: int) -> DataFrame:
+    """``(window_id, length, parts, place, shingle, key)`` of all windows."""
+    last = F.size("words") - size
+    places = windows.select(
+        "window_id", "words", F.explode(F.sequence(F.lit(0), last)).alias("place")
     )
-    return rarest.select(
+    return places.select(
         "window_id",
-        F.size("window").alias("length"),
-        F.array_join("window", " ").alias("window"),
-        "s.place",
-        "s.key",
+        F.size("words").alias("length"),
+        (F.size("words") - size + 1).alias("parts"),
+        "place",
+        _shingle("words", F.col("place"), size).alias("shingle"),
+        _key("words", F.col("place"), size).alias("key"),
     )
 
 
-def window_hits(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
-    """``(doc_id, start, length, item_id)`` of every occurrence of an item's window.
+def _occurrences(docs: DataFrame, keys: DataFrame, size: int) -> DataFrame:
+    """``(doc_id, at, shingle, n_words)``: places of the shingles that have a key.
 
-    Equal windows of several items are searched once. A candidate is a place with the
-    key of a window's rarest shingle; it must lie so that the window fits into the
-    document, and its words must be the window's. Documents are not shuffled as long
-    as the windows, as counted, may be broadcast; beyond that only keys with ids are
-    shuffled, and the candidates are joined with their documents to be verified.
+    The texts are read and split once. Each row also yields its place 0, with the
+    number of its words, whether a shingle is there or not. Keys are broadcast if they
+    are counted as few; then what does not match never leaves the loop that splits.
+    Otherwise places and shingles are shuffled.
     """
-    windows = item_windows(items, size)
-    named = windows.withColumn("window_id", F.sha2(F.array_join("words", " "), 256))
+    words = docs.select("doc_id", _words("text").alias("words"))
+    edges = (F.get("words", F.lit(0)) == "").cast("int") + (
+        F.element_at("words", -1) == ""
+    ).cast("int")
+    count = F.greatest(F.coalesce(F.size("words") - edges, F.lit(0)), F.lit(0))
+    spots = words.select("doc_id", "words", F.posexplode_outer("words").alias("at", "word"))
+    spots = spots.withColumn("key", _key("words", F.col("at"), size))
+    text = _shingle("words", F.col("at"), size)
+    first = F.coalesce(F.col("at") == 0, F.lit(True))
+    keys = keys.withColumn("hit", F.lit(True))
+    n_words = F.when(first, count).alias("n_words")
+    if keys.count() * 64 <= BROADCAST_BYTES:
+        met = spots.join(F.broadcast(keys), "key", "left").where(F.col("hit") | first)
+        return met.select("doc_id", "at", F.when(F.col("hit"), text).alias("shingle"), n_words)
+    wide = spots.select("doc_id", "at", "key", text.alias("text"), n_words)
+    met = wide.join(keys, "key", "left").where(F.col("hit") | F.col("n_words").isNotNull())
+    return met.select("doc_id", "at", F.when(F.col("hit"), F.col("text")).alias("shingle"), "n_words")
+
+
+def window_hits(
+    docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS
+) -> tuple[DataFrame, DataFrame]:
+    """Occurrences of item windows, ``(doc_id, start, length, item_id)``, and word counts.
+
+    Equal windows of several items are searched once.
+
+    1. A window is a set of word shingles with their places. One pass over the
+       documents finds all places of all these shingles.
+    2. Shingles are ordered by rarity, their count in all documents. A text that holds a
+       window holds all of its shingles, so the rarest one is a sufficient prefix, and
+       windows with a shingle that never occurs are out.
+    3. Each place of a prefix gives a candidate: the window's start, if that lies within
+       the document.
+    4. A candidate is an occurrence if each of the window's shingles, compared as text,
+       is at its place.
+    """
+    named = item_windows(items, size).withColumn(
+        "window_id", F.sha2(F.array_join("words", " "), 256)
+    )
     owners = stored(named.select("window_id", "item_id").distinct(), "owners")
-    distinct = stored(named.select("window_id", "words").distinct(), "windows")
-    least = distinct.agg(F.min(F.size("words"))).first()[0]
+    windows = stored(named.select("window_id", "words").distinct(), "windows")
+    least = windows.agg(F.min(F.size("words"))).first()[0]
     shingle = min(SHINGLE_WORDS, least or 1)
-    prefixes = stored(_prefixes(docs, distinct, shingle), "prefixes")
-    start = F.col("at") - F.col("place")
-    fits = (start >= 0) & (start + F.col("length") <= F.size("words"))
-    # Without a lambda, so that it runs in the loop that makes the positions: rows that
-    # carry all words of a document are never built.
-    here = F.array_join(F.slice("words", F.greatest(start + 1, F.lit(1)), F.col("length")), " ")
-    same = _fold(here) == F.col("window")
-    total = prefixes.agg(F.sum(F.octet_length("window") + 200)).first()[0]
-    spots = _positions(docs, shingle)
-    if (total or 0) <= BROADCAST_BYTES:
-        found = spots.join(F.broadcast(prefixes), "key").where(fits).where(same)
-    else:
-        near = spots.select("doc_id", "at", "key").join(prefixes, "key").drop("key")
-        whole = docs.select(
-            "doc_id", F.regexp_extract_all("text", F.lit(ANY_CASE_WORD), F.lit(1)).alias("words")
+    places = stored(window_shingles(windows, shingle), "shingles")
+    keys = stored(places.select("key").distinct(), "keys")
+    seen = stored(_occurrences(docs, keys, shingle), "occurrences")
+    found = seen.where("shingle is not null").select("doc_id", "at", "shingle").distinct()
+    counts = found.groupBy("shingle").agg(F.count("*").alias("n"))
+    ranked = places.join(counts, "shingle").select(
+        "window_id", "length", "parts", F.struct("n", "place", "shingle").alias("s")
+    )
+    prefixes = (
+        ranked.groupBy("window_id", "length", "parts")
+        .agg(F.min("s").alias("s"), F.count("*").alias("there"))
+        .where("there = parts")
+        .select("window_id", "length", "parts", "s.place", "s.shingle")
+    )
+    candidates = (
+        found.join(prefixes, "shingle")
+        .select(
+            "doc_id", (F.col("at") - F.col("place")).alias("start"), "window_id", "length", "parts"
         )
-        found = near.join(whole, "doc_id").where(fits).where(same)
-    hits = found.select("doc_id", start.alias("start"), "length", "window_id")
-    return hits.join(owners, "window_id").select("doc_id", "start", "length", "item_id")
+        .where("start >= 0")
+    )
+    wanted = candidates.join(places.select("window_id", "place", "shingle"), "window_id").withColumn(
+        "at", F.col("start") + F.col("place")
+    )
+    whole = (
+        wanted.join(found, ["doc_id", "at", "shingle"])
+        .groupBy("doc_id", "start", "window_id", "length", "parts")
+        .agg(F.count("*").alias("there"))
+        .where("there = parts")
+    )
+    hits = whole.join(owners, "window_id").select("doc_id", "start", "length", "item_id")
+    return hits, seen.where("n_words is not null").select("doc_id", "n_words")
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
@@ -135,14 +162,14 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -
     of an item, or of all words of a shorter item. ``items_sha256`` is over the sorted,
     comma-joined ids of the items with an occurrence.
 
-    Null and empty texts have no words; items without words have no window; rows with
-    a null doc_id or item_id are not searched or searched for. Rows that share a
-    doc_id are one document and should be equal. Other columns are not looked at.
+    Null and empty texts have no words; items without words have no window, and items
+    with a null item_id are not searched for; a row with a null doc_id is never hit.
+    Rows that share a doc_id are one document and should be equal. Other columns are
+    not looked at. Counts of a document's windows are bounded by its own length.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    items = items.select("item_id", "text").where("item_id is not null")
-    searched = docs.where("doc_id is not null")
-    hits = stored(window_hits(searched, items, size).distinct(), "hits")
+    hits, counted = window_hits(docs, items.where("item_id is not null"), size)
+    hits = stored(hits.where("doc_id is not null"), "hits")
     end = F.col("start") + F.col("length")
     spans = hits.select("doc_id", "start", end.alias("end")).groupBy("doc_id", "start").agg(
         F.max("end").alias("end")
@@ -165,19 +192,12 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -
         .groupBy("doc_id")
         .agg(F.array_sort(F.collect_list("item")).alias("items"))
     )
-    counted = docs.select(
-        "doc_id",
-        F.coalesce(F.size(F.regexp_extract_all("text", F.lit(ANY_CASE_WORD), F.lit(1))), F.lit(0))
-        .cast("bigint")
-        .alias("n_words"),
-    )
-    counted = counted.withColumn("n_words", F.greatest("n_words", F.lit(0)))
     items_or_none = F.coalesce("items", F.array().cast("array<string>"))
     return (
         counted.join(words.join(owners, "doc_id"), "doc_id", "left")
         .select(
             "doc_id",
-            "n_words",
+            F.col("n_words").cast("bigint").alias("n_words"),
             F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
             F.size(items_or_none).cast("bigint").alias("n_items"),
             F.sha2(F.array_join(items_or_none, ","), 256).alias("items_sha256"),
@@ -191,14 +211,10 @@ def decontaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS)
 
     Rows with a null doc_id cannot be told apart and stay.
     """
-    hit = window_hits(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(
-            "doc_id is not null"
-        ),
-        items.select("item_id", "text").where("item_id is not null"),
-        size,
-    )
-    return docs.join(hit.select("doc_id").distinct(), "doc_id", "left_anti")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    hits, _ = window_hits(rows, items.where("item_id is not null"), size)
+    hit = hits.where("doc_id is not null").select("doc_id").distinct()
+    return docs.join(hit, "doc_id", "left_anti")
 
 
 #: The same in DuckDB: ``hits`` has the covered words, ``owners`` the items.
