@@ -79,7 +79,8 @@ def _repeats(docs: DataFrame) -> DataFrame:
     chunks are the same when their bytes are.
     """
     rows = stored(_chunk_rows(docs), "chunks")
-    often = rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # Stored, so that a hot hash is split in the join instead of kept with its count.
+    often = stored(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "often")
     proposed = rows.join(often, "h").groupBy("doc_id").agg(F.collect_set("chunk").alias("wanted"))
 
     def bodies(batches):
