@@ -51,6 +51,11 @@ class _Powers:
         return cls.up[:n], cls.down[:n]
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the hashes' base and of its inverse."""
+    return _Powers.of(n)
+
+
 def separators(*spans: tuple[int, int]) -> np.ndarray:
     """A table of 256 flags, set for the bytes of the given closed ranges."""
     table = np.zeros(256, bool)

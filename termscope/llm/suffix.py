@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from termscope.llm.arrays import U64, mix, parts, prefix_hashes, signed, span_hashes
+from termscope.llm.arrays import U64, mix, parts, powers, prefix_hashes, signed
 from termscope.llm.bits import hashed_ids, id_bits
 from termscope.sources.storage import stored
 
@@ -25,6 +26,9 @@ ANCHOR = 20
 #: collection may exceed it, by its own size.
 SEGMENTS = 150_000
 
+#: Bytes of text that are hashed at a time.
+SLICE_BYTES = 256 << 10
+
 _ABSENT = 256
 
 
@@ -38,59 +42,54 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def stretches(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR):
-    """``(key, text, start, count, at)`` of each run of strings with one anchor.
+def anchor_hashes(data: np.ndarray, anchor: int) -> np.ndarray:
+    """A hash of the ``anchor`` bytes from each place on."""
+    sums = prefix_hashes(data)
+    _, down = powers(len(sums))
+    found = sums[anchor:] - sums[:-anchor]
+    found *= down[: len(found)]
+    found ^= found >> U64(32)
+    found *= U64(0xD6E8FEB86659FD93)
+    found ^= found >> U64(32)
+    return found
+
+
+def stretches(hashes: np.ndarray, offsets: np.ndarray, length: int, anchor: int):
+    """``(key, text, start, count)`` of each run of strings with one least hash.
 
-    Strings of ``length`` bytes at consecutive places that have their anchor at the
-    same place make a stretch: ``count`` strings from ``start`` on, anchor ``at``.
+    A run is a number of strings of ``length`` bytes at consecutive places of a text.
     """
-    empty = np.zeros(0, np.int64)
-    if len(data) < length:
-        return np.zeros(0, U64), empty, empty, empty, empty
-    sums = prefix_hashes(data)
-    begin = np.arange(len(data) - anchor + 1)
-    hashes = span_hashes(sums, begin, begin + anchor)
-    least = _sliding_least(hashes, length - anchor + 1)
-    ends = np.repeat(offsets[1:], np.diff(offsets))
-    valid = np.arange(len(least)) + length <= ends[: len(least)]
-    at = np.flatnonzero(valid)
-    if not len(at):
+    keys = _sliding_least(hashes, length - anchor + 1)
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    new[offsets[:-1][offsets[:-1] < len(keys)]] = True
+    start = np.flatnonzero(new)
+    count = np.diff(np.append(start, len(keys)))
+    owner = np.searchsorted(offsets, start, "right") - 1
+    count = np.minimum(count, offsets[owner + 1] - length + 1 - start)
+    kept = count > 0
+    return keys[start[kept]], owner[kept], start[kept], count[kept]
+
+
+def one_anchor_each(hashes: np.ndarray, key, owner, start, count, width: int):
+    """Cut runs so that all strings of one have the same first place of their anchor.
+
+    Also returns that place. Only where anchors repeat closely is there anything to cut.
+    """
+    done = []
+    while len(key):
+        near = np.minimum(start[:, None] + np.arange(width), len(hashes) - 1)
+        place = start + (hashes[near] == key[:, None]).argmax(axis=1)
+        own = np.minimum(count, place - start + 1)
+        done.append((key, owner, start, own, place))
+        more = count > own
+        key, owner, start, count = (
+            key[more], owner[more], (start + own)[more], (count - own)[more],
+        )
+    if not done:
+        empty = np.zeros(0, np.int64)
         return np.zeros(0, U64), empty, empty, empty, empty
-    keys = least[at]
-    # The place of the anchor: the first place from the string's start on that has it.
-    owner = np.searchsorted(offsets, at, "right") - 1
-    new = np.ones(len(at), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
-    # Equal anchors may follow each other; then the string's first one counts.
-    places = np.flatnonzero(_is_least(hashes, least))
-    place = places[np.searchsorted(places, at)]
-    place = _matching(hashes, places, place, at, keys)
-    new[1:] |= place[1:] != place[:-1]
-    first = np.flatnonzero(new)
-    count = np.diff(np.append(first, len(at)))
-    return keys[first], owner[first], at[first], count, place[first]
-
-
-def _is_least(hashes: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """Whether a place's hash is the least of some string that has it."""
-    width = len(hashes) - len(least) + 1
-    best = np.zeros(len(hashes), U64)
-    # The largest of the leasts over the strings that cover a place is its own hash
-    # exactly if it is the least of one of them.
-    padded = np.concatenate([np.zeros(width - 1, U64), least, np.zeros(width - 1, U64)])
-    best = ~_sliding_least(~padded, width)
-    return best == hashes
-
-
-def _matching(hashes, places, place, at, keys):
-    """Move on to the next listed place until its hash is the string's key."""
-    index = np.searchsorted(places, at)
-    wrong = hashes[place] != keys
-    while wrong.any():
-        index[wrong] += 1
-        place = places[index]
-        wrong = hashes[place] != keys
-    return place
+    return tuple(np.concatenate(x) for x in zip(*done))
 
 
 def column_minima(
@@ -190,12 +189,19 @@ def _whole_collections(batches, most: int) -> Iterator[pa.Table]:
 
 
 def _key_rows(docs: DataFrame, length: int, anchor: int) -> DataFrame:
+    """``(key, doc_id)`` of each document's anchors, each once."""
+
     def emit(batches):
-        for batch, data, offsets in parts(batches, "text"):
-            keys, owner, *_ = stretches(data, offsets, length, anchor)
+        for batch, data, offsets in parts(batches, "text", SLICE_BYTES):
+            if len(data) < length:
+                continue
+            keys, owner, _, _ = stretches(anchor_hashes(data, anchor), offsets, length, anchor)
+            pairs = keys + mix(owner.astype(U64) + U64(1))
+            _, once = np.unique(pairs, return_index=True)
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(keys)), pa.array(ids[owner], pa.int64())], ["key", "doc_id"]
+                [pa.array(signed(keys[once])), pa.array(ids[owner[once]], pa.int64())],
+                ["key", "doc_id"],
             )
 
     return docs.mapInArrow(emit, "key bigint, doc_id bigint")
@@ -216,16 +222,19 @@ def _segments(docs: DataFrame, shared: DataFrame, length: int, anchor: int) -> D
     """``(key, doc_id, at, shift, body)``: the bytes of each stretch with a shared key."""
 
     def emit(batches):
-        for batch, data, offsets in parts(batches, "text"):
-            keys, owner, start, count, place = stretches(data, offsets, length, anchor)
+        for batch, data, offsets in parts(batches, "text", SLICE_BYTES):
+            if len(data) < length:
+                continue
+            hashes = anchor_hashes(data, anchor)
+            keys, owner, start, count = stretches(hashes, offsets, length, anchor)
             first = np.searchsorted(owner, np.arange(batch.num_rows + 1))
             hit = np.zeros(len(keys), bool)
             for i, known in enumerate(batch.column("shared")):
                 a, b = first[i], first[i + 1]
                 if a < b:
                     hit[a:b] = np.isin(keys[a:b], known.values.to_numpy().view(U64))
-            keys, owner, start, count, place = (
-                x[hit] for x in (keys, owner, start, count, place)
+            keys, owner, start, count, place = one_anchor_each(
+                hashes, keys[hit], owner[hit], start[hit], count[hit], length - anchor + 1
             )
             sizes = count + length - 1
             ends = np.append(0, np.cumsum(sizes))
@@ -254,22 +263,22 @@ def _segments(docs: DataFrame, shared: DataFrame, length: int, anchor: int) -> D
 
 
 def _kept_rows(batch: pa.RecordBatch, data, offsets, gone) -> pa.RecordBatch:
-    change = np.diff(np.concatenate([[0], gone.astype(np.int8)]))
-    change[offsets[:-1][offsets[:-1] < len(gone)]] = gone[offsets[:-1][offsets[:-1] < len(gone)]]
-    begins = np.append(0, np.cumsum(change > 0))
     total = np.append(0, np.cumsum(gone))
-    kept = [
-        data[a:b][~gone[a:b]].tobytes() if gone[a:b].any() else data[a:b].tobytes()
-        for a, b in zip(offsets[:-1], offsets[1:])
-    ]
+    removed = np.diff(total[offsets])
+    begin = gone.copy()
+    begin[1:] &= ~gone[:-1]
+    cuts = offsets[:-1][offsets[:-1] < len(gone)]
+    begin[cuts] = gone[cuts]
+    spans = np.diff(np.append(0, np.cumsum(begin))[offsets])
+    # The texts left are what is left of all of them, at offsets less what is gone.
+    ends = offsets - total[offsets]
+    kept = pa.Array.from_buffers(
+        pa.binary(),
+        batch.num_rows,
+        [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[~gone].tobytes())],
+    )
     return pa.RecordBatch.from_arrays(
-        [
-            batch.column("doc_id"),
-            pa.array(np.diff(offsets)),
-            pa.array(np.diff(total[offsets])),
-            pa.array(np.diff(begins[offsets])),
-            pa.array(kept, pa.binary()),
-        ],
+        [batch.column("doc_id"), pa.array(np.diff(offsets)), pa.array(removed), pa.array(spans), kept],
         ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
     )
 
@@ -282,23 +291,27 @@ def _finished(docs: DataFrame, gone: DataFrame, length: int) -> DataFrame:
     def untouched(batches):
         for batch in batches:
             batch = batch.filter(pa.array(~hashed_ids(batch.column("doc_id"), bits.value)))
-            for own, data, offsets in parts([batch], "text"):
-                yield _kept_rows(own, data, offsets, np.zeros(len(data), bool))
+            kept = pc.fill_null(batch.column("text"), "").cast(pa.binary())
+            none = pa.array(np.zeros(batch.num_rows, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pc.binary_length(kept).cast(pa.int64()), none, none, kept],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
+            )
 
     def cut(batches):
         for batch, data, offsets in parts(batches, "text"):
             change = np.zeros(len(data) + 1, np.int64)
-            for i, rows in enumerate(batch.column("gone")):
-                if not rows.is_valid:
-                    continue
-                at = rows.values.field("at").to_numpy().astype(np.int64)
-                flags = rows.values.field("gone").to_numpy()
-                step = 0
-                while flags.any():
-                    hit = at[(flags & 1) == 1] + offsets[i] + step
-                    np.add.at(change, hit, 1)
-                    np.add.at(change, hit + length, -1)
-                    flags, step = flags >> 1, step + 1
+            lists = batch.column("gone")
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            rows = lists.flatten()
+            at = rows.field("at").to_numpy().astype(np.int64) + np.repeat(offsets[:-1], sizes)
+            flags = rows.field("gone").to_numpy()
+            step = 0
+            while flags.any():
+                hit = at[(flags & 1) == 1] + step
+                np.add.at(change, hit, 1)
+                np.add.at(change, hit + length, -1)
+                flags, step = flags >> 1, step + 1
             yield _kept_rows(batch, data, offsets, np.cumsum(change[:-1]) > 0)
 
     touched = near.join(gone, "doc_id", "left").mapInArrow(cut, shape)
