@@ -30,6 +30,7 @@ SEGMENTS = 150_000
 SLICE_BYTES = 256 << 10
 
 _ABSENT = 256
+_SHIFT_BITS = 6
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -137,7 +138,8 @@ def _resolved(table: pa.Table, length: int, anchor: int) -> pa.RecordBatch:
     columns = strings + length - 1
     group = np.unique(table.column("key").to_numpy(), return_inverse=True)[1]
     ids = table.column("doc_id").to_numpy()
-    shift = table.column("shift").to_numpy().astype(np.int64)
+    at = table.column("at").to_numpy()
+    shift, at = at & ((1 << _SHIFT_BITS) - 1), (at >> _SHIFT_BITS).astype(np.int32)
     bodies = table.column("body").combine_chunks()
     if isinstance(bodies, pa.ChunkedArray):
         bodies = bodies.chunk(0)
@@ -164,7 +166,6 @@ def _resolved(table: pa.Table, length: int, anchor: int) -> pa.RecordBatch:
     row, column = np.nonzero(gone)
     np.bitwise_or.at(bits, row, np.int64(1) << place[row, column])
     hit = bits != 0
-    at = table.column("at").to_numpy()
     return pa.RecordBatch.from_arrays(
         [pa.array(ids[hit]), pa.array(at[hit]), pa.array(bits[hit])], ["doc_id", "at", "gone"]
     )
@@ -219,7 +220,10 @@ def _may_be_listed(docs: DataFrame, lists: DataFrame) -> tuple[DataFrame, Broadc
 
 
 def _segments(docs: DataFrame, shared: DataFrame, length: int, anchor: int) -> DataFrame:
-    """``(key, doc_id, at, shift, body)``: the bytes of each stretch with a shared key."""
+    """``(key, doc_id, at, body)``: the bytes of each stretch with a shared key.
+
+    ``at`` is the stretch's place, with the anchor's place in it in its lowest bits.
+    """
 
     def emit(batches):
         for batch, data, offsets in parts(batches, "text", SLICE_BYTES):
@@ -249,16 +253,15 @@ def _segments(docs: DataFrame, shared: DataFrame, length: int, anchor: int) -> D
                 [
                     pa.array(signed(keys)),
                     pa.array(ids[owner], pa.int64()),
-                    pa.array((start - offsets[owner]).astype(np.int32)),
-                    pa.array((place - start).astype(np.int32)),
+                    pa.array(((start - offsets[owner]) << _SHIFT_BITS) | (place - start)),
                     bodies,
                 ],
-                ["key", "doc_id", "at", "shift", "body"],
+                ["key", "doc_id", "at", "body"],
             )
 
     near, _ = _may_be_listed(docs, shared)
     return near.join(shared, "doc_id").mapInArrow(
-        emit, "key bigint, doc_id bigint, at int, shift int, body binary"
+        emit, "key bigint, doc_id bigint, at bigint, body binary"
     )
 
 
