@@ -14,7 +14,7 @@ from termscope.sources.storage import stored
 
 #: Shingles are counted in so many buckets, whatever the size of the corpus: rarity
 #: only orders the prefixes, so a coarse count costs time, never a pair.
-RARITY_BITS = 18
+RARITY_BITS = 20
 
 _SHAPE = "doc_id bigint, size int, fp1 bigint, fp2 bigint, fp3 bigint, tokens array<bigint>"
 
@@ -86,36 +86,73 @@ def _prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(shape, _SHAPE)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose whole sets are similar enough.
+def _listed(rows: DataFrame, listed: DataFrame, column: str) -> DataFrame:
+    """The rows whose id may be in ``listed``, as a bit map of fixed size tells."""
+    bits = id_bits(listed, column)
 
-    Only the sets of documents in some pair travel. Which these are is first told
-    from a bit map of fixed size, then exactly by the joins.
+    def near(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(hashed_ids(batch.column(column), bits.value)))
+
+    return rows.mapInArrow(near, rows.schema)
+
+
+def _promising(shaped: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose prefixes have enough in common.
+
+    What two sets share beyond their common prefix tokens lies in the rest of the one
+    whose prefix ends earlier, so it is at most the larger rest.
     """
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
-    bits = id_bits(ids, "id")
+
+    def side(column: str) -> DataFrame:
+        rows = shaped.select(
+            F.col("doc_id").alias(column),
+            F.col("size").alias(f"{column}_size"),
+            F.col("tokens").alias(f"{column}_tokens"),
+        )
+        return _listed(rows, pairs, column).dropDuplicates([column])
+
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    rest = F.greatest(*(F.col(f"{c}_size") - F.size(f"{c}_tokens") for c in "ab"))
+    total = F.col("a_size") + F.col("b_size")
+    return both.where((shared + rest) * (100 + percent) >= percent * total).select("a", "b")
+
+
+def _whole_sets(docs: DataFrame, ids: DataFrame, column: str, words: int) -> DataFrame:
+    """``(column, column_items)``: the whole sets of documents that may be in ``ids``."""
+    bits = id_bits(ids, column)
 
     def whole(batches):
-        wanted = bits.value
-        for batch, sets in _sets(_passing(batches, wanted), words):
+        for batch, sets in _sets(_passing(batches, bits.value), words):
             lengths = np.array([0, *(len(s) for s in sets)])
             joined = np.concatenate(sets) if sets else np.zeros(0, U64)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.cumsum(lengths), pa.int32()), pa.array(signed(joined))
             )
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["id", "items"])
-
-    sets = docs.select("doc_id", "text").mapInArrow(whole, "id bigint, items array<bigint>")
-    left = sets.select(F.col("id").alias("a"), F.col("items").alias("left_items"))
-    right = sets.select(F.col("id").alias("b"), F.col("items").alias("right_items"))
-    both = pairs.join(right, "b").join(left, "a")
-    shared = F.size(F.array_intersect("left_items", "right_items"))
-    total = F.size("left_items") + F.size("right_items")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), lists], [column, f"{column}_items"]
+            )
+
+    return docs.mapInArrow(whole, f"{column} bigint, {column}_items array<bigint>")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose whole sets are similar enough.
+
+    Only the sets of documents in some pair travel. Which these are is first told
+    from a bit map of fixed size, then exactly by the joins.
+    """
+    both = pairs.join(_whole_sets(docs, pairs, "b", words), "b").join(
+        _whole_sets(docs, pairs, "a", words), "a"
+    )
+    shared = F.size(F.array_intersect("a_items", "b_items"))
+    total = F.size("a_items") + F.size("b_items")
+    # No distinct here: it would hold the pairs of a hot id in one task.
     return (
         both.select("a", "b", shared.alias("shared"), total.alias("total"))
         .where(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared")))
         .select("a", "b")
-        .distinct()
     )
 
 
@@ -146,9 +183,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     1. Shingles are ordered by rarity over all documents; each document keeps its
        necessary prefix. Documents with equal prefix and size become one group, those
        with equal sets one class of the group.
-    2. Groups that share a prefix token meet. Per token, the group with the fewest
-       rarer tokens is compared with each other one, so a group of near copies makes
-       as many pairs as it has members.
+    2. Groups that share a prefix token meet. The token's first group is the one with
+       the fewest rarer tokens. Each group is compared with one first group, the one
+       it meets most often, so a group of near copies makes as many pairs as members.
     3. Members that are still in another component than that of their token's first
        group are compared with all the entries of the token which the length and
        positional bounds leave. Pairs within a component need no test: they change
@@ -179,8 +216,11 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     hubs = firsts.select("token", "f.pos", "f.gid", "f.size")
     met = entries.alias("l").join(hubs.alias("r"), "token").where(_may_link(percent))
     near = met.where("l.gid <> r.gid").select(F.col("r.gid").alias("a"), F.col("l.gid").alias("b"))
+    best = near.groupBy("a", "b").count().groupBy("b").agg(F.max(F.struct("count", "a")).alias("m"))
+    near = best.select("m.a", "b")
     within = member.where("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
-    pairs = stored(near.distinct().union(within), "pairs")
+    pairs = stored(near.union(within).distinct(), "met")
+    pairs = stored(_promising(shaped, pairs, percent), "pairs")
     links = stored(_verified(docs, pairs, words, percent), "links")
 
     known = stored(connected(links), "components")
@@ -212,7 +252,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
         .distinct()
     )
     tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = stored(found.join(tried, ["a", "b"], "left_anti"), "pairs")
+    found = stored(found, "found")
+    more = _promising(shaped, found, percent).join(tried, ["a", "b"], "left_anti")
+    more = stored(more, "pairs")
     links = links.union(_verified(docs, more, words, percent))
 
     named = connected(links).withColumnRenamed("id", "rep")
