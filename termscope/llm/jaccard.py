@@ -183,7 +183,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     1. Shingles are ordered by rarity over all documents; each document keeps its
        necessary prefix. Documents with equal prefix and size become one group, those
        with equal sets one class of the group.
-    2. Groups that share a prefix token meet. The token's first group is the one with
+    2. Groups that share a prefix token meet, and the classes of a group at its first
+       token. The token's first group is the one with
        the fewest rarer tokens. Each group is compared with one first group, the one
        it meets most often, so a group of near copies makes as many pairs as members.
     3. Members that are still in another component than that of their token's first
@@ -202,16 +203,29 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     classes = stored(
         keyed.groupBy("fp1", "fp2", "size", "fp3").agg(F.min("doc_id").alias("rep")), "classes"
     )
-    leads = classes.groupBy("fp3", "size").agg(F.min("rep").alias("gid"))
+    leads = classes.groupBy("fp3", "size").agg(
+        F.min("rep").alias("gid"), F.count("*").alias("classes")
+    )
     member = stored(classes.join(leads, ["fp3", "size"]).select("rep", "gid"), "members")
     entries = (
         keyed.select("doc_id", "size", "tokens")
-        .join(leads.select(F.col("gid").alias("doc_id")), "doc_id")
+        .join(leads.select(F.col("gid").alias("doc_id"), "classes"), "doc_id")
         .dropDuplicates(["doc_id"])
-        .select(F.col("doc_id").alias("gid"), "size", F.posexplode("tokens").alias("pos", "token"))
+        .select(
+            F.col("doc_id").alias("gid"),
+            "size",
+            "classes",
+            F.posexplode("tokens").alias("pos", "token"),
+        )
+    )
+    # Members of one group meet at their first token, which other groups may not have.
+    shared = (
+        entries.groupBy("token")
+        .agg(F.count("*").alias("n"), F.max(F.expr("pos = 0 and classes > 1")).alias("inside"))
+        .where("n > 1 or inside")
     )
-    shared = entries.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    entries = stored(entries.join(shared.select("token"), "token"), "entries")
+    entries = entries.drop("classes").join(shared.select("token"), "token")
+    entries = stored(entries, "entries")
     firsts = entries.groupBy("token").agg(F.min(F.struct("pos", "gid", "size")).alias("f"))
     hubs = firsts.select("token", "f.pos", "f.gid", "f.size")
     met = entries.alias("l").join(hubs.alias("r"), "token").where(_may_link(percent))

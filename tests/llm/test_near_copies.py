@@ -37,6 +37,25 @@ def test_jaccard_components(documents, words, percent, seed):
     )
 
 
+@pytest.mark.parametrize("bits", [2, 3, 4])
+def test_members_of_a_group_are_linked_without_their_lead(documents, monkeypatch, bits):
+    """Chains of texts of equal size that share a prefix no other group has."""
+    monkeypatch.setattr(jaccard, "RARITY_BITS", bits)
+    rnd = random.Random(bits)
+    docs = {}
+    for chain in range(12):
+        words = [f"c{chain}w{i}" for i in range(60)]
+        texts = []
+        for step in range(10):
+            texts.append(" ".join(words))
+            words[rnd.randrange(60)] = f"c{chain}s{step}"
+        rnd.shuffle(texts)
+        for text in texts:
+            docs[len(docs)] = text
+    rows = jaccard.jaccard_components(documents(docs), 1, 90).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute.jaccard(docs, 1, 90)
+
+
 def test_one_document_of_each_group_stays_with_its_columns(documents):
     text = " ".join(f"t{i}" for i in range(30))
     df = documents([(3, text), (1, text + " end"), (2, "other"), (4, None), (None, text)])
