@@ -22,8 +22,8 @@ LENGTH = 50
 #: sent to the collection of the one with the least hash.
 ANCHOR = 20
 
-#: Segments that are read into memory before their collections are built. Only one
-#: collection may exceed it, by its own size.
+#: Different segments that are read into memory before their collections are built, and
+#: the most that a collection may have.
 SEGMENTS = 150_000
 
 #: Bytes of text that are hashed at a time.
@@ -133,13 +133,15 @@ def column_minima(
 
 
 def _resolved(table: pa.Table, length: int, anchor: int) -> pa.RecordBatch:
-    """``(doc_id, at, gone)``: strings, as bits from ``at`` on, that an earlier one has."""
+    """``(key, shift, body, least)``: for each string of a body its least document.
+
+    Only bodies of which some document loses a string are returned.
+    """
     strings = length - anchor + 1
     columns = strings + length - 1
     group = np.unique(table.column("key").to_numpy(), return_inverse=True)[1]
-    ids = table.column("doc_id").to_numpy()
-    at = table.column("at").to_numpy()
-    shift, at = at & ((1 << _SHIFT_BITS) - 1), (at >> _SHIFT_BITS).astype(np.int32)
+    low, high = table.column("low").to_numpy(), table.column("high").to_numpy()
+    shift = table.column("shift").to_numpy()
     bodies = table.column("body").combine_chunks()
     if isinstance(bodies, pa.ChunkedArray):
         bodies = bodies.chunk(0)
@@ -149,28 +151,61 @@ def _resolved(table: pa.Table, length: int, anchor: int) -> pa.RecordBatch:
     data = np.frombuffer(bodies.buffers()[2], np.uint8)
     sizes = np.diff(ends)
     # Rows are aligned so that the anchor begins in column strings - 1.
-    rows = np.full((len(ids), columns), _ABSENT, np.uint16)
-    flat = np.repeat(np.arange(len(ids)) * columns + strings - 1 - shift - ends[:-1], sizes)
+    rows = np.full((len(low), columns), _ABSENT, np.uint16)
+    flat = np.repeat(np.arange(len(low)) * columns + strings - 1 - shift - ends[:-1], sizes)
     rows.reshape(-1)[flat + np.arange(ends[0], ends[-1])] = data[ends[0] : ends[-1]]
-    # Equal segments of a collection are one row, with their least document.
-    view = np.concatenate([group.astype(np.uint32)[:, None].view(np.uint16), rows], axis=1)
-    view = np.ascontiguousarray(view).view(f"V{2 * view.shape[1]}").reshape(-1)
-    _, lead, same = np.unique(view, return_index=True, return_inverse=True)
-    docs = np.full(len(lead), np.iinfo(np.int64).max)
-    np.minimum.at(docs, same, ids)
-    least = column_minima(group[lead], rows[lead], docs, strings, length)
-    gone = least[same] < ids[:, None]
+    least = column_minima(group, rows, low, strings, length)
     place = np.arange(strings)[None, :] - (strings - 1 - shift)[:, None]
-    gone &= (place >= 0) & (place < (sizes - length + 1)[:, None])
-    bits = np.zeros(len(ids), np.int64)
-    row, column = np.nonzero(gone)
-    np.bitwise_or.at(bits, row, np.int64(1) << place[row, column])
-    hit = bits != 0
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids[hit]), pa.array(at[hit]), pa.array(bits[hit])], ["doc_id", "at", "gone"]
+    own = (place >= 0) & (place < (sizes - length + 1)[:, None])
+    hit = (own & (least < high[:, None])).any(axis=1)
+    own &= hit[:, None]
+    lists = pa.ListArray.from_arrays(
+        pa.array(np.append(0, np.cumsum(own.sum(axis=1)[hit])), pa.int32()), pa.array(least[own])
+    )
+    kept = table.select(["key", "shift", "body"]).filter(pa.array(hit)).combine_chunks()
+    columns = [c.combine_chunks() for c in kept.columns]
+    columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
+    return pa.RecordBatch.from_arrays([*columns, lists], ["key", "shift", "body", "least"])
+
+
+def _by_strings(bodies: DataFrame, length: int) -> DataFrame:
+    """What ``_resolved`` returns, by aggregates over single strings.
+
+    A string's rows meet only in a partial aggregate and in a join, so it does not
+    matter how many bodies an anchor has. Equal strings have equal anchors.
+    """
+    places = F.sequence(F.lit(0), F.length("body") - length)
+    cut = F.transform(places, lambda i: F.substring(F.col("body"), i + 1, F.lit(length)))
+    rows = bodies.select("key", "shift", "body", "low", F.posexplode(cut).alias("place", "string"))
+    # Stored, so that a hot string is split in the join.
+    first = stored(rows.groupBy("string").agg(F.min("low").alias("first")), "strings")
+    each = F.array_sort(F.collect_list(F.struct("place", "first")))
+    return (
+        rows.join(first, "string")
+        .groupBy("key", "shift", "body")
+        .agg(each.alias("each"))
+        .select("key", "shift", "body", F.col("each.first").alias("least"))
     )
 
 
+def _gone(batches) -> Iterator[pa.RecordBatch]:
+    """``(doc_id, at, gone)``: strings, as bits from ``at`` on, that an earlier one has."""
+    for batch in batches:
+        ids = batch.column("doc_id").to_numpy()
+        lists = batch.column("least")
+        sizes = lists.value_lengths().to_numpy().astype(np.int64)
+        row = np.repeat(np.arange(len(ids)), sizes)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        earlier = lists.flatten().to_numpy() < ids[row]
+        bits = np.zeros(len(ids), np.int64)
+        np.bitwise_or.at(bits, row[earlier], np.int64(1) << place[earlier])
+        at = (batch.column("at").to_numpy() >> _SHIFT_BITS).astype(np.int32)
+        hit = bits != 0
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[hit]), pa.array(at[hit]), pa.array(bits[hit])], ["doc_id", "at", "gone"]
+        )
+
+
 def _whole_collections(batches, most: int) -> Iterator[pa.Table]:
     """Tables of about ``most`` rows that end where a key does; rows are sorted by key."""
     held, count = [], 0
@@ -331,17 +366,18 @@ def kept_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> D
     1. Each string has an anchor, the one of its ``anchor``-byte parts with the least
        hash; equal strings have equal anchors at equal places. Anchors of one document
        only are out.
-    2. The stretches of strings around the other anchors are dealt by anchor. All
-       segments with one anchor make a collection, whose order of suffixes and common
-       prefixes is built column by column, a symbol of each segment per round.
-    3. Strings are compared byte by byte in it; those that a smaller document has are
-       sent to their document, which drops the bytes they cover.
+    2. Equal segments, the stretches of strings around the other anchors, become one
+       with its least document. What is left is dealt by anchor. All segments with one
+       anchor make a collection, whose order of suffixes and common prefixes is built
+       column by column, a symbol of each segment per round. Anchors with more than
+       ``SEGMENTS`` different segments have their strings aggregated one by one.
+    3. Strings are compared byte by byte; those that a smaller document has are
+       joined to the segments and sent to their document, which drops what they cover.
 
     Nulls are empty texts; empty texts and those shorter than ``length`` lose nothing.
     Rows that share a doc_id are one document and should be equal; rows with a null
     doc_id stay whole and count for nothing. Other columns are not looked at. A task
-    holds ``SEGMENTS`` segments at a time, or all of one anchor if that is more; a
-    document has an anchor every 16 bytes or so, so no anchor has a large share of all.
+    holds some ``SEGMENTS`` different segments at a time, however many one anchor has.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     known = docs.where("doc_id is not null")
@@ -358,11 +394,28 @@ def kept_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> D
         for table in _whole_collections(batches, SEGMENTS):
             yield _resolved(table, length, anchor)
 
+    segments = stored(_segments(known, shared, length, anchor), "segments")
+    segments = segments.withColumn("shift", F.col("at").bitwiseAND((1 << _SHIFT_BITS) - 1))
+    bodies = stored(
+        segments.groupBy("key", "shift", "body").agg(
+            F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
+        ),
+        "bodies",
+    )
+    crowded = stored(
+        bodies.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SEGMENTS).select("key"),
+        "crowded",
+    )
     found = (
-        _segments(known, shared, length, anchor)
+        bodies.join(F.broadcast(crowded), "key", "left_anti")
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(resolve, "doc_id bigint, at int, gone bigint")
+        .mapInArrow(resolve, "key bigint, shift bigint, body binary, least array<bigint>")
     )
+    found = found.union(_by_strings(bodies.join(F.broadcast(crowded), "key"), length))
+    # Stored, so that the segments of a hot body are split in the join.
+    least = stored(found, "least")
+    found = segments.join(least, ["key", "shift", "body"]).select("doc_id", "at", "least")
+    found = found.mapInArrow(_gone, "doc_id bigint, at int, gone bigint")
     gone = found.groupBy("doc_id").agg(F.collect_list(F.struct("at", "gone")).alias("gone"))
     return _finished(docs, stored(gone, "gone"), length)

@@ -50,6 +50,31 @@ def test_bytes_are_kept_as_defined(documents, monkeypatch, seed, most):
     assert found == brute.kept_bytes(docs)
 
 
+def test_no_task_holds_all_segments_of_a_common_anchor(spark, documents, monkeypatch):
+    """Copies of a passage, and ends of it that differ in each document."""
+    rnd = random.Random(3)
+    passage = "".join(rnd.choices("abcdefgh ", k=160))
+    docs = {i: passage for i in range(200)}
+    docs |= {i: f"{rnd.random()} {passage[30:90]} {rnd.random()}" for i in range(200, 400)}
+    inner = suffix._resolved
+
+    def bounded(table, *sizes):
+        assert table.num_rows <= 90
+        return inner(table, *sizes)
+
+    monkeypatch.setattr(suffix, "SEGMENTS", 40)
+    monkeypatch.setattr(suffix, "_resolved", bounded)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10")
+    try:
+        rows = suffix.kept_bytes(documents(docs)).collect()
+    finally:
+        spark.conf.set(name, before)
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in rows}
+    assert found == brute.kept_bytes(docs)
+
+
 def test_repeats_with_null_ids_repeated_rows_and_nothing(documents):
     text = " ".join(f"word{i}" for i in range(40))
     rows = [(None, text), (2, text), (2, text), (5, text)]
