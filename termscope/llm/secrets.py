@@ -30,11 +30,14 @@ MIXED_BITS = 3.8
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUID
     r"^[0-9_=+/-]+$",  # numbers, dates
-    r"^[a-z]+([-_/][a-z0-9]+)+$",  # words and numbers with hyphens
-    r"(?i)example",  # the keys of manuals
-    r"(?i)(0123456789|abcdefghij)",  # alphabets
+    r"^[a-z]{1,15}([-_/]([a-z]{1,15}|[0-9]{1,8}))+$",  # words and numbers with hyphens
+    r"^(AKIA[A-Z0-9]{9}|[A-Za-z0-9+/]{30})EXAMPLE(KEY)?$",  # the keys of manuals
 )
 
+#: Parts of a candidate that are no key, and their length: words of manuals, alphabets.
+#: What stands next to them is judged without them.
+MASKED = ((r"(?i)example", 7), (r"(?i)(0123456789|abcdefghij)", 10))
+
 KINDS = ("assign", "access", "hex", "entropy")
 
 
@@ -152,8 +155,12 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     candidates = spans.where((F.col("kind") == 3) & F.col("body").rlike("[0-9]"))
     for pattern in ALLOWED:
         candidates = candidates.where(~F.col("body").rlike(pattern))
+    judged = F.col("body")
+    for pattern, length in MASKED:
+        judged = F.regexp_replace(judged, pattern, " " * length)
     hot = (
-        candidates.withColumn("hot", _hot_span(F.col("body")))
+        candidates.withColumn("judged", judged)
+        .withColumn("hot", _hot_span(F.col("judged")))
         .where("hot.last > 0")
         .select(
             "doc_id",
@@ -199,7 +206,8 @@ def secrets(docs: DataFrame) -> DataFrame:
     Base kinds are patterns matched from left to right without overlaps: a name of a
     secret with a value of six signs or more, an access key, a long hexadecimal string.
     To these come windows of high entropy within long strings of key-like signs, unless
-    the string is on the allow list. A span is ``kind:start:end`` in code points;
+    the string is on the allow list; words of manuals and alphabets in it count as blanks.
+    A span is ``kind:start:end`` in code points;
     ``base_sha256`` is over the base spans.
 
     Nulls count as empty texts. Repeated rows get the same result each; rows with one

@@ -154,6 +154,23 @@ def test_secrets_are_found_as_defined(documents):
     assert secrets.secrets(documents([])).collect() == []
 
 
+def test_keys_with_a_prefix_or_next_to_a_word_of_manuals_are_found(documents):
+    key = "k3j9x0q2m7v5b8n1z4c6t0w2r9y7u5p3q1aa"
+    docs = {
+        1: "key-3ax6xnjp29jd6fds4gc373sgvjxteol0", 2: f"ghp_{key}", 3: f"see example/{key} there",
+        4: f"{key}_0123456789",
+        10: "how-to-install-version-2023-01-02", 11: "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+        12: "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    }
+    found = {r.doc_id: r.spans for r in secrets.secrets(documents(docs)).collect()}
+    assert all(found[i] == "" for i in (10, 11, 12))
+    for i in (1, 2, 3, 4):
+        kind, start, end = found[i].split(":")
+        own = docs[1][4:] if i == 1 else key
+        at = docs[i].index(own)
+        assert kind == "entropy" and int(start) <= at + 4 and int(end) >= at + len(own) - 4
+
+
 def _toxic_corpus(n):
     rnd = random.Random(5)
     words = ["".join(rnd.choices("abehlnort", k=rnd.randint(2, 7))) for _ in range(300)]
