@@ -39,14 +39,22 @@ CLOSES = {
 }
 #: Words in class, id or role that mark what is not main text.
 _MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|consent|"
+    r"(?:^|(?<=[\s_-]))(ads?|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|consent|"
     r"cookies?|disqus|footer|header|masthead|menu|nav|navbar|navigation|newsletter|notices?|"
     r"notification|popup|modal|overlay|promo\w*|related|share|sharing|sidebar|social|sponsor\w*|"
     r"subscribe|subscription|toolbar|widgets?|alert|complementary|contentinfo|search|login|"
     r"signup|replies|responses|recommended|outbrain|taboola|pagination|pager|skip|"
-    r"respond|reply|discussion|disclaimer|copyright|teaser|site-?header|page-?header)(?:$|[\s_-])",
+    r"respond|reply|discussion|disclaimer|copyright|teaser|site-?header|page-?header)(?=$|[\s_-])",
     re.IGNORECASE,
 )
+#: Names that say how a page is laid out or built, not what an element is.
+_LAYOUT = re.compile(
+    r"(?:^|(?<=\s))(?:no|has|with|without)[_-]\S*"
+    r"|(?<![^\s_-])widgets?[_-](?:text|content|body|editor|heading|image)(?=$|[\s_-])",
+    re.IGNORECASE,
+)
+#: Marks that hold however much text they have: readers may write more than the author.
+_READERS = re.compile("comment|disqus|repl|respon|discussion")
 #: Elements that hold an article by name.
 ARTICLES = frozenset({"article", "main"})
 
@@ -57,31 +65,48 @@ REACH = 3
 THRESHOLD = 0.5
 
 
+def mark_words(marks: str) -> frozenset[str]:
+    """The words in class, id and role that mark an element."""
+    return frozenset(word.lower() for word in _MARKS.findall(_LAYOUT.sub(" ", marks)))
+
+
 class Lines(HTMLParser):
     """Blocks of text with their tags, as the parser's events come.
 
     A block is ``(text, tags, inside, heading)``: white space is one blank, ``tags`` are
     those met in the block, link text counts as tags, ``inside`` tells whether an
-    article element was open.
+    article element was open. Text in marked elements is kept with its marks until the
+    page is over: a mark whose elements hold most of the page's text does not count.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[str, int, bool, bool]] = []
-        self.open: list[tuple[str, bool, bool]] = []
+        self.read: list[tuple[list, int, bool, bool]] = []
+        self.open: list[tuple[str, bool, frozenset[str]]] = []
         self.dropped = 0
         self.articles = 0
         self.seen = False
-        self.pieces: list[str] = []
+        self.pieces: list[tuple[str, frozenset[str]]] = []
         self.tags = 0
 
     def _end_block(self) -> None:
-        text = " ".join("".join(self.pieces).split())
-        if text:
-            heading = any(re.fullmatch("h[1-6]", name) for name, _, _ in self.open[-3:])
-            self.blocks.append((text, self.tags, self.articles > 0, heading))
-            self.tags = 0
-        self.pieces = []
+        heading = any(re.fullmatch("h[1-6]", name) for name, _, _ in self.open[-3:])
+        self.read.append((self.pieces, self.tags, self.articles > 0, heading))
+        self.pieces, self.tags = [], 0
+
+    def _lifted(self) -> set[str]:
+        """Marks that do not count, as most of the page's text is in their elements."""
+        sizes: dict[str, int] = {}
+        total = 0
+        for pieces, *_ in self.read:
+            for text, marks in pieces:
+                if not any(map(_READERS.match, marks)):
+                    size = len("".join(text.split()))
+                    total += size
+                    for word in marks:
+                        sizes[word] = sizes.get(word, 0) + size
+        return {word for word, size in sizes.items() if 2 * size > total}
 
     def _pop(self) -> None:
         name, drops, _ = self.open.pop()
@@ -106,23 +131,22 @@ class Lines(HTMLParser):
             return
         named = dict(attrs)
         marks = " ".join(named.get(k) or "" for k in ("class", "id", "role"))
-        marked = tag not in ("html", "body") and bool(_MARKS.search(marks))
+        marked = mark_words(marks) if marks and tag not in ("html", "body") else frozenset()
         drops = tag in DROPPED or "hidden" in named or named.get("aria-hidden") == "true"
-        if tag in ARTICLES and not (drops or marked or self.seen):
-            self._unmark()
-        by_mark = marked and not drops
-        drops = drops or marked
-        self.seen = self.seen or (tag in ARTICLES and not drops)
-        self.open.append((tag, drops, by_mark))
+        if tag in ARTICLES and not (drops or self.seen):
+            # The first article is what the page is about, whatever its class says.
+            marked = frozenset(w for w in marked if _READERS.match(w))
+            if not marked:
+                self._unmark()
+        self.seen = self.seen or (tag in ARTICLES and not (drops or marked))
+        self.open.append((tag, drops, frozenset() if drops else marked))
         self.dropped += drops
         self.articles += tag in ARTICLES
 
     def _unmark(self) -> None:
         """Take back marks of what the first article lies in, a wrapper of the page."""
-        for depth, (name, drops, by_mark) in enumerate(self.open):
-            if by_mark:
-                self.open[depth] = (name, False, False)
-                self.dropped -= drops
+        for depth, (name, drops, _) in enumerate(self.open):
+            self.open[depth] = (name, drops, frozenset())
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -141,11 +165,18 @@ class Lines(HTMLParser):
 
     def handle_data(self, data):
         if not self.dropped:
-            self.pieces.append(data)
+            self.pieces.append((data, frozenset().union(*(m for _, _, m in self.open))))
 
     def close(self):
         super().close()
         self._end_block()
+        lifted, met = self._lifted(), 0
+        for pieces, tags, inside, heading in self.read:
+            met += tags
+            text = " ".join("".join(t for t, marks in pieces if marks <= lifted).split())
+            if text:
+                self.blocks.append((text, met, inside, heading))
+                met = 0
 
 
 def smoothed(values: list[float]) -> list[float]:
@@ -206,7 +237,9 @@ def extract_text(pages: DataFrame) -> DataFrame:
     The text is that of the article: headings and paragraphs, in page order, one line
     per block. Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
     styles and comments are left out, by the element or by a word in its class, id or
-    role. Character references are decoded, white space within a block is one blank.
+    role. Such words do not count when they say how the page is laid out, on the first
+    article element, or when most of the page's text is in elements that have them;
+    those of readers' comments count on all other elements. Character references are decoded, white space within a block is one blank.
 
     Null, empty and textless pages have an empty text. Every row is a page of its own;
     repeated rows and null ids are kept as they are, other columns are not looked at.

@@ -242,6 +242,35 @@ def test_content_region_without_an_article():
     assert main_text(page).split("\n")[-4:] == ["Head", long.strip(), "Short.", long.strip()]
 
 
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ('<div class="content no-sidebar">', "</div>"),
+        ('<div class="left-sidebar">', "</div>"),
+        ('<div class="has-comments">', "</div>"),
+        ('<main class="with-sidebar">', "</main>"),
+        ('<main class="widget">', "</main>"),
+        ('<article class="post has-related">', "</article>"),
+        ('<main><div class="widget">', "</div></main>"),
+    ],
+)
+def test_marks_of_layout_do_not_drop_the_text(start, end):
+    long = "Many words of prose in a row, " * 5
+    body = f"<h2>Head</h2><p>{long}</p><p>{long}</p>"
+    rest = f'<div id="comments"><p>{long * 4}</p></div><div class="ad">buy</div>'
+    found = main_text(f"<body>{start}{body}{end}{rest}</body>").split("\n")
+    assert found == ["Head", long.strip(), long.strip()]
+
+
+def test_texts_in_several_marked_parts_are_kept():
+    long = "Many words of prose in a row, " * 5
+    parts = f'<div class="elementor-widget"><p>{long}</p></div>' * 3
+    more = f'<div class="elementor-widget-text"><p>{long}</p></div>'
+    assert main_text(f"<body>{parts}{more}<div class='social'>like</div></body>") == "\n".join(
+        [long.strip()] * 4
+    )
+
+
 def test_smoothing_keeps_constants_and_spreads_peaks():
     assert smoothed([2.0] * 9) == pytest.approx([2.0] * 9)
     peak = smoothed([0.0] * 5 + [10.0] + [0.0] * 5)
