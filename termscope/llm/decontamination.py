@@ -163,12 +163,12 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -
     comma-joined ids of the items with an occurrence.
 
     Null and empty texts have no words; items without words have no window, and items
-    with a null item_id are not searched for; a row with a null doc_id is never hit.
+    with a null item_id are hit but not listed or counted; a row with a null doc_id is never hit.
     Rows that share a doc_id are one document and should be equal. Other columns are
     not looked at. Counts of a document's windows are bounded by its own length.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    hits, counted = window_hits(docs, items.where("item_id is not null"), size)
+    hits, counted = window_hits(docs, items, size)
     hits = stored(hits.where("doc_id is not null"), "hits")
     end = F.col("start") + F.col("length")
     spans = hits.select("doc_id", "start", end.alias("end")).groupBy("doc_id", "start").agg(
@@ -212,7 +212,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS)
     Rows with a null doc_id cannot be told apart and stay.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    hits, _ = window_hits(rows, items.where("item_id is not null"), size)
+    hits, _ = window_hits(rows, items, size)
     hit = hits.where("doc_id is not null").select("doc_id").distinct()
     return docs.join(hit, "doc_id", "left_anti")
 

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import llm_definitions as brute
@@ -142,6 +143,19 @@ def test_windows_are_found_as_defined(documents, spark, monkeypatch, bound):
     assert left == {i for i, (_, hit, _) in expected.items() if not hit} | {None}
 
 
+def test_items_without_an_id_are_searched_for(documents, spark):
+    items = spark.createDataFrame(
+        [(None, "one two three"), (7, "four five")], "item_id bigint, text string"
+    )
+    docs = documents([(1, "x One two three"), (2, "four five one two three"), (3, "two three")])
+    rows = {r.doc_id: r for r in contamination(docs, items).collect()}
+    found = {i: (r.n_hit, r.n_items, r.contaminated) for i, r in rows.items()}
+    assert found == {1: (3, 0, True), 2: (5, 1, True), 3: (0, 0, False)}
+    assert rows[1].items_sha256 == rows[3].items_sha256 == hashlib.sha256(b"").hexdigest()
+    assert rows[2].items_sha256 == hashlib.sha256(b"7").hexdigest()
+    assert [r.doc_id for r in decontaminated(docs, items).collect()] == [3]
+
+
 def test_contamination_without_items_or_documents(documents, spark):
     nothing = spark.createDataFrame([], "item_id bigint, text string")
     rows = contamination(documents([(1, "a b"), (1, "a b")]), nothing).collect()
