@@ -7,7 +7,6 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from termscope.llm.arrays import (
     U64,
@@ -256,11 +255,11 @@ def kept_words(docs: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     known = docs.where("doc_id is not null")
-    everywhere = Window.partitionBy("key")
-    keys = _key_rows(known, size).withColumn("n", F.count("*").over(everywhere))
-    shared = stored(
-        keys.where("n > 1").groupBy("doc_id").agg(F.collect_set("key").alias("shared")), "shared"
-    )
+    keys = stored(_key_rows(known, size), "keys")
+    # Stored, so that a hot key is split in the join instead of kept with its count.
+    often = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    keys = keys.join(stored(often, "often"), "key")
+    shared = stored(keys.groupBy("doc_id").agg(F.collect_set("key").alias("shared")), "shared")
     firsts = stored(_first_windows(known, shared, size), "firsts")
     lists = shared.join(firsts, "doc_id", "left")
     return _finished(docs, lists, size)

@@ -10,7 +10,6 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from termscope.llm.arrays import U64, mix, parts, powers, prefix_hashes, signed
 from termscope.llm.bits import hashed_ids, id_bits
@@ -381,13 +380,10 @@ def kept_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> D
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     known = docs.where("doc_id is not null")
-    everywhere = Window.partitionBy("key")
-    keys = (
-        _key_rows(known, length, anchor)
-        .withColumn("low", F.min("doc_id").over(everywhere))
-        .withColumn("high", F.max("doc_id").over(everywhere))
-        .where("low <> high")
-    )
+    keys = stored(_key_rows(known, length, anchor), "keys")
+    # Stored, so that a hot anchor is split in the join instead of kept with its documents.
+    often = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    keys = keys.join(stored(often.where("low <> high").select("key"), "often"), "key")
     shared = stored(keys.groupBy("doc_id").agg(F.collect_set("key").alias("shared")), "shared")
 
     def resolve(batches):

@@ -163,3 +163,19 @@ def test_contamination_without_items_or_documents(documents, spark):
     one = spark.createDataFrame([(1, "a")], "item_id bigint, text string")
     assert contamination(documents([]), one).collect() == []
     assert [r.n_hit for r in contamination(documents([(1, "b A a")]), one).collect()] == [2]
+
+
+@pytest.mark.parametrize(
+    "module, kept", [(recompression, recompression.kept_words), (suffix, suffix.kept_bytes)]
+)
+def test_keys_are_counted_without_windows(documents, monkeypatch, module, kept):
+    plans = []
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return inner(df, label)
+
+    inner = module.stored
+    monkeypatch.setattr(module, "stored", noted)
+    kept(documents([(1, "a b " * 40), (2, "a b " * 40)])).collect()
+    assert plans and not any("Window" in plan for plan in plans)
