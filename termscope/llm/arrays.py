@@ -8,6 +8,7 @@ of the longest single text.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,9 @@ import pyarrow.compute as pc
 
 PART_BYTES = 1 << 20
 
+#: Bytes of the longest word whose hash is a polynomial.
+SHORT = 64
+
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -29,6 +33,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+#: A-Z to a-z, all other bytes to themselves.
+FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+
 _SIGNS = mix(np.arange(1, 257, dtype=U64) * U64(_BASE))
 _FOLDED = _SIGNS.copy()
 _FOLDED[65:91] = _SIGNS[97:123]
@@ -117,6 +124,7 @@ def word_spans(
 
 
 def prefix_hashes(data: np.ndarray, fold: bool = False) -> np.ndarray:
+    """Prefix sums of a polynomial over the bytes, modulo 2**64."""
     up, _ = _Powers.of(len(data) + 1)
     sums = np.zeros(len(data) + 1, U64)
     np.cumsum((_FOLDED if fold else _SIGNS)[data] * up[:-1], out=sums[1:])
@@ -124,11 +132,27 @@ def prefix_hashes(data: np.ndarray, fold: bool = False) -> np.ndarray:
 
 
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of byte spans, from prefix sums; equal bytes give equal hashes."""
+    """Hashes of byte spans, from prefix sums; equal bytes give equal hashes.
+
+    Different long spans may have the same hash for any base, so their user has to
+    compare the bytes, or to take :func:`word_hashes`.
+    """
     _, down = _Powers.of(len(sums))
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64))
 
 
+def word_hashes(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False
+) -> np.ndarray:
+    """Hashes of words: of the polynomial up to ``SHORT`` bytes, else keyed digests."""
+    out = span_hashes(prefix_hashes(data, fold), starts, ends)
+    for i in np.flatnonzero(ends - starts > SHORT):
+        word = data[starts[i] : ends[i]].tobytes()
+        word = word.translate(FOLD) if fold else word
+        out[i] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+    return out
+
+
 def window_hashes(values: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` consecutive values."""
     if len(values) < size:
@@ -150,7 +174,7 @@ def shingle_hashes(
     returns the offsets of the texts among the hashes.
     """
     starts, ends, first = word_spans(data, offsets, WHITE)
-    words = span_hashes(prefix_hashes(data, fold=True), starts, ends)
+    words = word_hashes(data, starts, ends, fold=True)
     counts = np.diff(first)
     values = np.zeros(len(words), U64)
     full = window_hashes(words, size)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termscope.llm.arrays import U64, mix, parts, shingle_hashes, signed
+from termscope.llm.arrays import FOLD, U64, mix, parts, shingle_hashes, signed
 from termscope.llm.bits import hashed_ids, id_bits
 from termscope.llm.components import connected
 from termscope.sources.storage import stored
@@ -16,14 +18,21 @@ from termscope.sources.storage import stored
 #: only orders the prefixes, so a coarse count costs time, never a pair.
 RARITY_BITS = 20
 
-_SHAPE = "doc_id bigint, size int, fp1 bigint, fp2 bigint, fp3 bigint, tokens array<bigint>"
+_SHAPE = "doc_id bigint, size int, digest binary, fp bigint, tokens array<bigint>"
+
+#: Fixed value: what is between words, as the query contracts state it.
+_WHITE = r"[\x20\x09-\x0D]+"
 
 
 def _sets(batches, words):
-    """``(batch, distinct shingles of each text)``."""
+    """``(batch, distinct shingles of each text, digest of each text's words)``."""
     for batch, data, offsets in parts(batches, "text"):
         hashes, first = shingle_hashes(data, offsets, words)
-        yield batch, [np.unique(hashes[a:b]) for a, b in zip(first[:-1], first[1:])]
+        digests = [
+            blake2b(b" ".join(data[a:b].tobytes().translate(FOLD).split()), digest_size=32).digest()
+            for a, b in zip(offsets[:-1], offsets[1:])
+        ]
+        yield batch, [np.unique(hashes[a:b]) for a, b in zip(first[:-1], first[1:])], digests
 
 
 def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
@@ -32,7 +41,7 @@ def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
 
     def count(batches):
         total = np.zeros(1 << RARITY_BITS, np.int64)
-        for _, sets in _sets(batches, words):
+        for _, sets, _ in _sets(batches, words):
             if sets:
                 each = (np.concatenate(sets) >> shift).astype(np.int64)
                 total += np.bincount(each, minlength=len(total))
@@ -40,14 +49,14 @@ def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(total[full])], ["bucket", "n"])
 
     rows = docs.select("text").mapInArrow(count, "bucket bigint, n bigint")
-    counts = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros(1 << RARITY_BITS, np.int64)
     total[counts["bucket"].to_numpy()] = counts["n"].to_numpy()
     return total
 
 
 def _prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Per document: set size, fingerprints of set and prefix, and the prefix.
+    """Per document: set size, digest of its words, fingerprint of the prefix, and it.
 
     The prefix holds the rarest ``n - ceil(t n) + 1`` shingles; two sets of Jaccard
     similarity t or more have one of them in common.
@@ -57,30 +66,32 @@ def _prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     def shape(batches):
         rarity = counts.value
-        for batch, sets in _sets(batches, words):
+        for batch, sets, digests in _sets(batches, words):
             sizes = np.array([len(s) for s in sets], np.int32)
-            prints = np.zeros((3, len(sets)), U64)
+            prints = np.zeros(len(sets), U64)
             tokens = []
             for i, s in enumerate(sets):
                 n = len(s)
                 keep = n - (percent * n + 99) // 100 + 1 if n else 0
                 order = np.lexsort((s, rarity[(s >> shift).astype(np.int64)]))
                 rare = s[order[:keep]]
-                prints[0, i] = mix(s).sum(dtype=U64)
-                prints[1, i] = mix(s ^ U64(0x5BD1E995)).sum(dtype=U64)
-                prints[2, i] = mix(rare).sum(dtype=U64)
+                prints[i] = mix(rare).sum(dtype=U64)
                 tokens.append(rare)
-            prints[2] = mix(prints[2] + sizes.astype(U64))
+            prints = mix(prints + sizes.astype(U64))
             lengths = np.array([0, *(len(t) for t in tokens)])
             joined = np.concatenate(tokens) if tokens else np.zeros(0, U64)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.cumsum(lengths), pa.int32()), pa.array(signed(joined))
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes)]
-                + [pa.array(signed(p)) for p in prints]
-                + [lists],
-                ["doc_id", "size", "fp1", "fp2", "fp3", "tokens"],
+                [
+                    batch.column("doc_id"),
+                    pa.array(sizes),
+                    pa.array(digests, pa.binary()),
+                    pa.array(signed(prints)),
+                    lists,
+                ],
+                ["doc_id", "size", "digest", "fp", "tokens"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(shape, _SHAPE)
@@ -119,49 +130,51 @@ def _promising(shaped: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return both.where((shared + rest) * (100 + percent) >= percent * total).select("a", "b")
 
 
-def _whole_sets(docs: DataFrame, ids: DataFrame, column: str, words: int) -> DataFrame:
-    """``(column, column_items)``: the whole sets of documents that may be in ``ids``."""
-    bits = id_bits(ids, column)
-
-    def whole(batches):
-        for batch, sets in _sets(_passing(batches, bits.value), words):
-            lengths = np.array([0, *(len(s) for s in sets)])
-            joined = np.concatenate(sets) if sets else np.zeros(0, U64)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.cumsum(lengths), pa.int32()), pa.array(signed(joined))
-            )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), lists], [column, f"{column}_items"]
-            )
-
-    return docs.mapInArrow(whole, f"{column} bigint, {column}_items array<bigint>")
+def _shingles(words: Column, size: int) -> Column:
+    """The distinct shingles of an array of words, as texts."""
+    count = F.size(words)
+    runs = F.transform(
+        F.sequence(F.lit(1), F.greatest(count - size + 1, F.lit(1))),
+        lambda i: F.array_join(F.slice(words, i, size), " "),
+    )
+    return F.when(count > 0, F.array_distinct(runs)).otherwise(F.array())
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose whole sets are similar enough.
+    """The pairs ``(a, b)`` whose whole sets are similar enough, shingles compared as text.
 
-    Only the sets of documents in some pair travel. Which these are is first told
+    Only the texts of documents in some pair travel. Which these are is first told
     from a bit map of fixed size, then exactly by the joins.
     """
-    both = pairs.join(_whole_sets(docs, pairs, "b", words), "b").join(
-        _whole_sets(docs, pairs, "a", words), "a"
+
+    def side(column: str) -> DataFrame:
+        rows = docs.select(F.col("doc_id").alias(column), F.col("text").alias(f"{column}_text"))
+        return _listed(rows, pairs, column)
+
+    def folded(column: str) -> Column:
+        upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        low = F.translate(f"{column}_text", upper, upper.lower())
+        return F.filter(F.split(low, _WHITE), lambda w: w != "")
+
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    # Each column is used several times by the next selection, which keeps them apart.
+    lists = both.select("a", "b", folded("a").alias("a_words"), folded("b").alias("b_words"))
+    sets = lists.select(
+        "a",
+        "b",
+        _shingles(F.col("a_words"), words).alias("a_items"),
+        _shingles(F.col("b_words"), words).alias("b_items"),
     )
     shared = F.size(F.array_intersect("a_items", "b_items"))
     total = F.size("a_items") + F.size("b_items")
     # No distinct here: it would hold the pairs of a hot id in one task.
     return (
-        both.select("a", "b", shared.alias("shared"), total.alias("total"))
+        sets.select("a", "b", shared.alias("shared"), total.alias("total"))
         .where(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared")))
         .select("a", "b")
     )
 
 
-def _passing(batches, wanted):
-    for batch in batches:
-        keep = hashed_ids(batch.column("doc_id"), wanted)
-        yield batch.filter(pa.array(keep))
-
-
 def _may_link(percent: int):
     """Length and positional bounds on a pair of prefix entries l and r."""
     fewest = F.ceil(percent * (F.col("l.size") + F.col("r.size")) / F.lit(100.0 + percent))
@@ -182,7 +195,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
 
     1. Shingles are ordered by rarity over all documents; each document keeps its
        necessary prefix. Documents with equal prefix and size become one group, those
-       with equal sets one class of the group.
+       with the same words one class of the group.
     2. Groups that share a prefix token meet, and the classes of a group at its first
        token. The token's first group is the one with
        the fewest rarer tokens. Each group is compared with one first group, the one
@@ -194,19 +207,21 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
 
     Null or empty texts and texts without words have size 0 and stand alone. Rows that
     share a doc_id are one document and should be equal; a null doc_id has a null
-    component. Shingles are 64-bit hashes; columns other than doc_id and text are not
-    looked at.
+    component. Shingles are hashed to find and prune pairs, and a pair is linked by its
+    shingles as text; a class is told by a cryptographic digest of its words. Columns
+    other than doc_id and text are not looked at. Plans several jobs, which run when the
+    function is called.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     shaped = stored(_prefixes(docs, words, percent), "prefixes")
     keyed = shaped.where("size > 0 and doc_id is not null")
     classes = stored(
-        keyed.groupBy("fp1", "fp2", "size", "fp3").agg(F.min("doc_id").alias("rep")), "classes"
+        keyed.groupBy("digest", "size", "fp").agg(F.min("doc_id").alias("rep")), "classes"
     )
-    leads = classes.groupBy("fp3", "size").agg(
+    leads = classes.groupBy("fp", "size").agg(
         F.min("rep").alias("gid"), F.count("*").alias("classes")
     )
-    member = stored(classes.join(leads, ["fp3", "size"]).select("rep", "gid"), "members")
+    member = stored(classes.join(leads, ["fp", "size"]).select("rep", "gid"), "members")
     entries = (
         keyed.select("doc_id", "size", "tokens")
         .join(leads.select(F.col("gid").alias("doc_id"), "classes"), "doc_id")
@@ -273,11 +288,11 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
 
     named = connected(links).withColumnRenamed("id", "rep")
     reps = classes.join(named, "rep", "left").select(
-        "fp1", "fp2", "size", F.coalesce("component_id", "rep").alias("component_id")
+        "digest", "size", F.coalesce("component_id", "rep").alias("component_id")
     )
     return (
-        shaped.select("doc_id", "size", "fp1", "fp2")
-        .join(reps, ["fp1", "fp2", "size"], "left")
+        shaped.select("doc_id", "size", "digest")
+        .join(reps, ["digest", "size"], "left")
         .select(
             "doc_id",
             F.col("size").cast("bigint").alias("n_shingles"),

@@ -13,10 +13,9 @@ from termscope.llm.arrays import (
     WHITE,
     mix,
     parts,
-    prefix_hashes,
     signed,
-    span_hashes,
     window_hashes,
+    word_hashes,
     word_spans,
 )
 from termscope.llm.bits import hashed_ids, id_bits
@@ -136,7 +135,7 @@ def window_keys(words: np.ndarray, first: np.ndarray, size: int):
 
 def _read(data: np.ndarray, offsets: np.ndarray, size: int):
     starts, ends, first = word_spans(data, offsets, WHITE)
-    words = span_hashes(prefix_hashes(data), starts, ends)
+    words = word_hashes(data, starts, ends)
     return (starts, ends, first, *window_keys(words, first, size))
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import unicodedata
+from hashlib import blake2b
 
 import numpy as np
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from termscope.llm.arrays import U64, mix
+from termscope.llm.arrays import SHORT, U64, mix
 
 #: Code points below this compose with nothing and have one lower-case form each, but
 #: for the one excepted; texts with others are encoded by the library as they are.
@@ -153,6 +154,10 @@ class WordEncoder:
         sums = np.zeros(len(codes) + 1, U64)
         np.cumsum((codes.astype(U64) + U64(1)) * up[:-1], out=sums[1:])
         keys = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64)) | U64(1)
+        for i in np.flatnonzero(ends - starts > SHORT):
+            # The polynomial of different long words may be the same.
+            word = blake2b(codes[starts[i] : ends[i]].tobytes(), digest_size=8)
+            keys[i] = U64(int.from_bytes(word.digest(), "little")) | U64(1)
         slot = (keys >> U64(64 - _SLOT_BITS)).astype(np.int64)
         known = self.keys[slot] == keys
         begin, size = self.at[slot], self.size[slot].astype(np.int64)
