@@ -6,7 +6,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termscope.llm.arrays import FOLD, U64, mix, parts, shingle_hashes, signed
@@ -20,9 +20,6 @@ RARITY_BITS = 20
 
 _SHAPE = "doc_id bigint, size int, digest binary, fp bigint, tokens array<bigint>"
 
-#: Fixed value: what is between words, as the query contracts state it.
-_WHITE = r"[\x20\x09-\x0D]+"
-
 
 def _sets(batches, words):
     """``(batch, distinct shingles of each text, digest of each text's words)``."""
@@ -130,49 +127,44 @@ def _promising(shaped: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return both.where((shared + rest) * (100 + percent) >= percent * total).select("a", "b")
 
 
-def _shingles(words: Column, size: int) -> Column:
-    """The distinct shingles of an array of words, as texts."""
-    count = F.size(words)
-    runs = F.transform(
-        F.sequence(F.lit(1), F.greatest(count - size + 1, F.lit(1))),
-        lambda i: F.array_join(F.slice(words, i, size), " "),
-    )
-    return F.when(count > 0, F.array_distinct(runs)).otherwise(F.array())
+def _text_shingles(text: bytes, size: int) -> set[tuple[bytes, ...]]:
+    """The distinct shingles of a text, as tuples of its words."""
+    words = text.translate(FOLD).split()
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return set(zip(*(words[i:] for i in range(size))))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose whole sets are similar enough, shingles compared as text.
 
     Only the texts of documents in some pair travel. Which these are is first told
-    from a bit map of fixed size, then exactly by the joins.
+    from a bit map of fixed size, then exactly by the joins. The last join sorts by a, so
+    the set of an a that many pairs have is mostly made once.
     """
 
     def side(column: str) -> DataFrame:
         rows = docs.select(F.col("doc_id").alias(column), F.col("text").alias(f"{column}_text"))
         return _listed(rows, pairs, column)
 
-    def folded(column: str) -> Column:
-        upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-        low = F.translate(f"{column}_text", upper, upper.lower())
-        return F.filter(F.split(low, _WHITE), lambda w: w != "")
+    def similar(batches):
+        known, items = None, set()
+        for batch in batches:
+            ids = batch.column("a").to_pylist()
+            keep = []
+            for i, first, second in zip(ids, batch.column("a_text"), batch.column("b_text")):
+                first = first.as_buffer()
+                if known is None or i != known[0] or not first.equals(known[1]):
+                    known, items = (i, first), _text_shingles(first.to_pybytes(), words)
+                others = _text_shingles(second.as_buffer().to_pybytes(), words)
+                shared = len(items & others)
+                keep.append(100 * shared >= percent * (len(items) + len(others) - shared))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
-    # Each column is used several times by the next selection, which keeps them apart.
-    lists = both.select("a", "b", folded("a").alias("a_words"), folded("b").alias("b_words"))
-    sets = lists.select(
-        "a",
-        "b",
-        _shingles(F.col("a_words"), words).alias("a_items"),
-        _shingles(F.col("b_words"), words).alias("b_items"),
-    )
-    shared = F.size(F.array_intersect("a_items", "b_items"))
-    total = F.size("a_items") + F.size("b_items")
     # No distinct here: it would hold the pairs of a hot id in one task.
-    return (
-        sets.select("a", "b", shared.alias("shared"), total.alias("total"))
-        .where(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared")))
-        .select("a", "b")
-    )
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    rows = both.select("a", "b", "a_text", "b_text").where("a_text is not null and b_text is not null")
+    return rows.mapInArrow(similar, "a bigint, b bigint")
 
 
 def _may_link(percent: int):
