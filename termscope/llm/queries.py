@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from termscope.llm.decontamination import CONTAMINATION_SQL, contamination
 from termscope.llm.embeddings import near_vectors
+from termscope.llm.exact import EXACT_SQL, exact_duplicates
 from termscope.llm.html_text import extract_text
 from termscope.llm.jaccard import jaccard_components
 from termscope.llm.lines import LINES_SQL, dedup_lines
+from termscope.llm.merkle import MANIFEST_SQL, manifest
 from termscope.llm.packing import pack_documents
 from termscope.llm.recompression import kept_words
 from termscope.llm.secrets import secrets
@@ -75,6 +77,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -86,6 +96,8 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": CONTAMINATION_SQL
@@ -99,4 +111,6 @@ FROM words w LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)""",
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
        CASE WHEN d.text IS NOT NULL THEN c.text END AS text
 FROM documents d LEFT JOIN cleaned c USING (doc_id)""",
+    "op12_exact_dedup": EXACT_SQL,
+    "op13_merkle_manifest": MANIFEST_SQL,
 }
