@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termscope.llm.conversations import REPAIR_SQL, repaired_conversations
 from termscope.llm.decontamination import CONTAMINATION_SQL, contamination
 from termscope.llm.embeddings import near_vectors
 from termscope.llm.exact import EXACT_SQL, exact_duplicates
@@ -77,6 +78,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_conversations(_table(spark, sf_dir, "conversations"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -96,6 +101,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
@@ -111,6 +117,7 @@ FROM words w LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)""",
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
        CASE WHEN d.text IS NOT NULL THEN c.text END AS text
 FROM documents d LEFT JOIN cleaned c USING (doc_id)""",
+    "op11_conversation_repair": REPAIR_SQL,
     "op12_exact_dedup": EXACT_SQL,
     "op13_merkle_manifest": MANIFEST_SQL,
 }
