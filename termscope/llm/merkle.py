@@ -36,11 +36,27 @@ def leaf_digest(text: Column | None = None) -> Column:
         last = field_text("text")
     else:
         last = F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
-    return F.sha2(F.concat(*fields, last).cast("binary"), 256)
+    return _sha(F.concat(*fields, last))
+
+
+def _sha(text: Column) -> Column:
+    """The digest of a text, as bytes: half the size of the letters it stands for."""
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def _letters(digest: Column) -> Column:
+    return F.lower(F.hex(digest))
 
 
 def _joined(digests: Column) -> Column:
-    return F.sha2(F.array_join(digests, "").cast("binary"), 256)
+    return _sha(F.array_join(F.transform(digests, _letters), ""))
+
+
+def _run_together(kids: Column) -> Column:
+    """The digests of at most FANOUT - 1 children as one run of bytes."""
+    nothing = F.lit(b"")
+    parts = [F.coalesce(F.get(kids, F.lit(i))["digest"], nothing) for i in range(FANOUT - 1)]
+    return F.concat(*parts)
 
 
 def _power(level: Column) -> Column:
@@ -123,7 +139,7 @@ def nodes(leaves: DataFrame) -> list[DataFrame]:
         "size",
         _height(F.col("size")).alias("height"),
     )
-    out = [stored(bottom, "leaves")]
+    out = [bottom]
     top = out[0].agg(F.coalesce(F.max("height"), F.lit(0))).first()[0]
     for low in range(0, top, BAND):
         at = out[-1].where(F.col("level") == low)
@@ -167,19 +183,21 @@ def _paths(band: list[DataFrame], low: int) -> DataFrame:
     right = F.filter("kids", lambda k: k["lo"] > F.col("own"))
     step = F.struct(
         "level",
-        F.array_join(F.transform(left, lambda k: k["digest"]), "").alias("left"),
-        F.array_join(F.transform(right, lambda k: k["digest"]), "").alias("right"),
+        _run_together(left).alias("left"),
+        _run_together(right).alias("right"),
     )
     return met.groupBy("tree", F.col("own").alias("lo")).agg(
         F.sort_array(F.collect_list(step)).alias("path")
     )
 
 
-def paths(bands: list[DataFrame], above: DataFrame) -> DataFrame:
-    """``(tree, rank, path)`` of every leaf, up to its root and on with ``above``.
+def paths(bands: list[DataFrame], above: DataFrame, leaves: DataFrame) -> DataFrame:
+    """``leaves (tree, rank, ...)`` and ``path``, up to the root and on with ``above``.
 
     ``above (tree, path)`` is what goes on where a tree ends. A band's paths are joined
-    with those of its topmost nodes, from the top band down.
+    with those of its topmost nodes, from the top band down. Leaves meet the few steps of
+    the lowest band first; the long rest is shared by all leaves of a block and is not
+    shuffled with each of them.
     """
     whole = bands[0].select("tree", "size", "height").where("lo = 0")
     ends = whole.join(above, "tree").select(
@@ -190,25 +208,26 @@ def paths(bands: list[DataFrame], above: DataFrame) -> DataFrame:
     for b in reversed(range(len(bands) - 1)):
         low = b * BAND
         own = _paths([bands[b], bands[b + 1]], low)
-        sized = bands[b].where(f"level = {low} and height > {low}").select("tree", "lo", "height")
+        if b:
+            sized = bands[b].where(f"level = {low} and height > {low}")
+            sized = sized.select("tree", F.col("lo").alias("own"), "height")
+        else:
+            sized = leaves.withColumn("own", F.col("rank")).withColumn("height", _height(F.col("size")))
+            sized = sized.where("height > 0")
+        own = own.select("tree", F.col("lo").alias("own"), F.col("path").alias("first"))
         top = F.least(F.lit(low + BAND), F.col("height"))
-        placed = own.join(sized, ["tree", "lo"]).select(
-            "tree",
-            F.col("lo").alias("own"),
-            F.col("path").alias("first"),
-            top.alias("level"),
-            (F.floor(F.col("lo") / _power(top)) * _power(top)).alias("lo"),
-        )
-        found = placed.join(known, ["tree", "level", "lo"]).select(
-            "tree",
-            F.lit(low).alias("level"),
-            F.col("own").alias("lo"),
-            F.concat("first", "path").alias("path"),
-        )
-        known = found.unionByName(ends.where(f"level <= {low}"))
+        placed = own.join(sized, ["tree", "own"]).withColumn("level", top).drop("height")
+        width = _power(F.col("level"))
+        placed = placed.withColumn("lo", F.floor(F.col("own") / width) * width)
+        found = placed.join(known, ["tree", "level", "lo"]).withColumn("path", F.concat("first", "path"))
         if b:
-            known = stored(known, "paths")
-    return known.where("level = 0").select("tree", F.col("lo").alias("rank"), "path")
+            found = found.select("tree", F.lit(low).alias("level"), F.col("own").alias("lo"), "path")
+            known = stored(found.unionByName(ends.where(f"level <= {low}")), "paths")
+        else:
+            found = found.select(*leaves.columns, "path")
+    alone = leaves.where("size = 1").join(ends.where("level = 0").select("tree", "path"), "tree")
+    alone = alone.select(*leaves.columns, "path")
+    return found.unionByName(alone) if len(bands) > 1 else alone
 
 
 def fold(leaf: Column, path: Column) -> Column:
@@ -216,7 +235,9 @@ def fold(leaf: Column, path: Column) -> Column:
     return F.aggregate(
         path,
         leaf,
-        lambda acc, step: F.sha2(F.concat(step["left"], acc, step["right"]).cast("binary"), 256),
+        lambda acc, step: _sha(
+            F.concat(_letters(step["left"]), _letters(acc), _letters(step["right"]))
+        ),
     )
 
 
@@ -225,7 +246,7 @@ def _is_tampered(doc_id: Column) -> Column:
 
 
 def _empty_path() -> Column:
-    return F.array().cast("array<struct<level:int,left:string,right:string>>")
+    return F.array().cast("array<struct<level:int,left:binary,right:binary>>")
 
 
 def manifest(docs: DataFrame) -> DataFrame:
@@ -255,7 +276,7 @@ def manifest(docs: DataFrame) -> DataFrame:
         F.when(changed, cut).alias("tampered"),
     )
     order = [F.asc("key"), F.asc_nulls_first("doc_id"), F.asc("leaf")]
-    ranked = stored(global_rank(stored(rows, "rows"), order, "place"), "ranks")
+    ranked = global_rank(stored(rows, "rows"), order, "place")
     sizes = ranked.groupBy("key").agg(F.min("place").alias("start"), F.count("*").alias("size"))
     trees = stored(global_rank(sizes, [F.asc("key")], "tree"), "trees")
     leaves = join_by_size(ranked, trees, "key", "trees").select(
@@ -279,20 +300,22 @@ def manifest(docs: DataFrame) -> DataFrame:
     )
     end = top[-1].where("level = height").select("tree", F.col("digest").alias("root"))
     nothing = end.select("tree", _empty_path().alias("path"))
-    over = paths(top, nothing).select((F.col("rank") + 1).alias("tree"), "path")
-    roads = paths(bands, over)
+    over = paths(top, nothing, top[0].select("tree", F.col("lo").alias("rank"), "size"))
+    over = over.select((F.col("rank") + 1).alias("tree"), "path")
     # One row: the root of all.
     root = end.select("root").scalar()
-    found = leaves.join(roads, ["tree", "rank"])
-    found = join_by_size(found, subroots, "tree", "subroots")
-    siblings = F.array_join(F.transform("path", lambda s: F.concat(s["left"], s["right"])), "")
+    found = join_by_size(paths(bands, over, leaves), subroots, "tree", "subroots")
+    siblings = F.array_join(
+        F.transform("path", lambda s: F.concat(_letters(s["left"]), _letters(s["right"]))), ""
+    )
+    folded = fold(F.coalesce("tampered", "leaf"), F.col("path"))
     return found.select(
         "doc_id",
-        "leaf",
-        "subroot",
-        root.alias("root"),
+        _letters(F.col("leaf")).alias("leaf"),
+        _letters(F.col("subroot")).alias("subroot"),
+        _letters(root).alias("root"),
         F.sha2(siblings.cast("binary"), 256).alias("proof_sha256"),
-        fold(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"),
+        _letters(folded).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
