@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import asdict, dataclass
-from itertools import groupby, product
+from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass, fields
+from itertools import product
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import OneVsRestModel
+from pyspark.ml.classification import LinearSVCModel, OneVsRestModel
 from pyspark.ml.feature import VectorSlicer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termscope.operators.evaluation import (
@@ -30,6 +30,7 @@ from termscope.operators.stages import (
     one_vs_rest,
 )
 from termscope.operators.terms import StopWords
+from termscope.sources.storage import stored
 
 # Most entries in a part of a training set: 25 MB if all are stored. Much less would be
 # less work than the start of a task.
@@ -70,27 +71,59 @@ def parameter_grid(
     ]
 
 
+class TrialLog:
+    """Scores of a grid search, one file for each finished point of a fold.
+
+    Each is written by a job of its own and is there as a whole or not at all, so a search
+    may be stopped at any time. A log belongs to one search; another one is refused.
+    """
+
+    SCHEMA = (
+        "search string, fold int, numTopFeatures int, regParam double, "
+        "standardization boolean, maxIter int, f1 double"
+    )
+
+    def __init__(self, spark: SparkSession, path: str, search: str):
+        self.spark, self.path, self.search = spark, path, search
+        spark.createDataFrame([], self.SCHEMA).write.mode("append").json(path)
+        others = self.read().where(F.col("search") != search).limit(1).count()
+        if others:
+            raise ValueError(f"{path} is the log of another search")
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.SCHEMA).json(self.path)
+
+    def append(self, fold: int, point: GridPoint, f1: float) -> None:
+        row = (self.search, fold, *asdict(point).values(), f1)
+        self.spark.createDataFrame([row], self.SCHEMA).coalesce(1).write.mode("append").json(self.path)
+
+    def scores(self) -> dict[tuple[int, GridPoint], float]:
+        """F1 by fold and point; of a trial that was logged twice, the first counts."""
+        names = [field.name for field in fields(GridPoint)]
+        rows = self.read().groupBy("fold", *names).agg(F.min("f1").alias("f1")).collect()
+        return {(r.fold, GridPoint(*(r[name] for name in names))): r.f1 for r in rows}
+
+
 def f1_score(predictions: DataFrame) -> float:
     return weighted_f1(confusion_counts(predictions)).first().f1
 
 
 def training_set(features: DataFrame, num_features: int) -> DataFrame:
-    """Keep label and vector for the iterations of a fit, in few enough parts.
-
-    Vectors are far smaller than the texts they came from, and every iteration
-    runs one task per part. A part holds at most ``ENTRIES_PER_PART`` entries even if
-    no vector has a zero, so a set of some ten thousand documents is spread over tens
-    of tasks, and a small one does not pay for more tasks than it has work for.
+    """Label and vector for the iterations of a fit, in few enough parts.
+
+    They are stored in the shared folder and kept in memory from there: what a lost
+    executor had is read again, and no text below is tokenized a second time. Vectors are
+    far smaller than the texts they came from, and every iteration runs one task per part.
+    A part holds at most ``ENTRIES_PER_PART`` entries even if no vector has a zero, so a
+    set of some ten thousand documents is spread over tens of tasks, and a small one does
+    not pay for more tasks than it has work for.
     """
-    kept = _kept(features)
+    rows = stored(features, "training")
     rows_per_part = max(1, ENTRIES_PER_PART // num_features)
-    parts = max(1, -(-kept.count() // rows_per_part))
-    if parts >= kept.rdd.getNumPartitions():
-        return kept
-    merged = _kept(kept.coalesce(parts))
-    merged.count()
-    kept.unpersist()
-    return merged
+    parts = max(1, -(-rows.count() // rows_per_part))
+    if parts < rows.rdd.getNumPartitions():
+        rows = rows.coalesce(parts)
+    return rows.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fit_point(train: DataFrame, point: GridPoint, parallelism: int = 1) -> OneVsRestModel:
@@ -99,62 +132,140 @@ def fit_point(train: DataFrame, point: GridPoint, parallelism: int = 1) -> OneVs
     return one_vs_rest(svm, parallelism).fit(train)
 
 
-def _fold_scores(
-    train: DataFrame,
-    held_out: DataFrame,
-    grid: Sequence[GridPoint],
-    stopwords: StopWords,
-    parallelism: int,
-) -> dict[GridPoint, float]:
-    """F1 of every point on one fold.
+def fit_label(train: DataFrame, point: GridPoint, label: int) -> LinearSVCModel:
+    """One of the binary SVMs of :func:`fit_point`: the label against all others."""
+    svm = linear_svm(point.regParam, point.maxIter, point.standardization)
+    own = F.when(F.col("label") == float(label), 1.0).otherwise(0.0)
+    return svm.setLabelCol("own").fit(train.select("norm_features", own.alias("own")))
+
+
+def shared_fits(
+    train: DataFrame, points: Sequence[GridPoint], label: int
+) -> dict[GridPoint, LinearSVCModel]:
+    """The binary SVMs of points that differ in ``maxIter`` only, the least one first.
+
+    A fit that stopped before its limit would stop there under any higher limit, so it is
+    the model of all points that follow.
+    """
+    found, model = {}, None
+    for point in sorted(points, key=lambda p: p.maxIter):
+        if model is None or model.summary().totalIterations >= limit:
+            model, limit = fit_label(train, point, label), point.maxIter
+        found[point] = model
+    return found
+
+
+def _sharing(point: GridPoint) -> tuple:
+    """What two points must have in common to share a run of the optimizer."""
+    return point.numTopFeatures, point.regParam, point.standardization
+
+
+@dataclass
+class _Fold:
+    """Vectors of one fold by number of features, and the number of labels."""
+
+    train: dict[int, DataFrame]
+    held_out: dict[int, DataFrame]
+    labels: int
+
+    def release(self) -> None:
+        for part in (*self.train.values(), *self.held_out.values()):
+            part.unpersist()
+
+
+def _fold_vectors(
+    train: DataFrame, held_out: DataFrame, sizes: Sequence[int], stopwords: StopWords
+) -> _Fold:
+    """The vectors of one fold.
 
     The ranking of the terms, their counts and weights depend on the fold alone. The
-    best terms of the largest selection are counted once and kept, on disk where memory
-    is short; as they are in order of rank, a smaller selection is the first of them.
-    No text is tokenized again for a point.
+    best terms of the largest selection are counted once and stored; as they are in order
+    of rank, a smaller selection is the first of them. No text is tokenized for a point.
     """
-    terms = best_terms(train, max(p.numTopFeatures for p in grid), stopwords)
+    terms = best_terms(train, max(sizes), stopwords)
     counting = Pipeline(stages=count_stages(stopwords, terms)).fit(train)
-    train_counts, test_counts = (
-        _kept(counting.transform(part).select("label", "raw_features"))
+    counts = [
+        stored(counting.transform(part).select("label", "raw_features"), "counts")
         for part in (train, held_out)
-    )
-    weighting = inverse_document_frequency().fit(train_counts)
-    train_weights, test_weights = (
-        weighting.transform(part) for part in (train_counts, test_counts)
-    )
-    scores = {}
-    by_features = sorted(grid, key=lambda p: p.numTopFeatures)
-    for num_features, points in groupby(by_features, key=lambda p: p.numTopFeatures):
+    ]
+    weighting = inverse_document_frequency().fit(counts[0])
+    fold = _Fold({}, {}, len(counting.stages[0].labels))
+    for size in sizes:
         select = VectorSlicer(
             inputCol="tfidf_features",
             outputCol="selected_features",
-            indices=list(range(min(num_features, len(terms)))),
+            indices=list(range(min(size, len(terms)))),
         )
-        chosen = [
+        fold.train[size], fold.held_out[size] = (
             training_set(
-                l2_normalizer().transform(select.transform(part)).select("label", "norm_features"),
-                num_features,
+                l2_normalizer()
+                .transform(select.transform(weighting.transform(part)))
+                .select("label", "norm_features"),
+                size,
             )
-            for part in (train_weights, test_weights)
-        ]
+            for part in counts
+        )
+    return fold
 
-        def score(point, chosen=chosen):
-            model = fit_point(chosen[0], point, parallelism)
-            return point, f1_score(model.transform(chosen[1]))
 
+def _fold_scores(
+    train: DataFrame,
+    held_out: DataFrame,
+    grid: Sequence[GridPoint],
+    stopwords: StopWords,
+    parallelism: int | None,
+    finished: Callable[[GridPoint, float], None],
+) -> None:
+    """F1 of every point on one fold, told to ``finished`` as soon as it is known.
+
+    All binary fits, of whatever point and label, go through one pool of threads, and
+    their jobs through scheduler pools of their own, which take turns where the session
+    schedules fairly. Points whose fits are the same models are scored once.
+    """
+    families: dict[tuple, list[GridPoint]] = {}
+    for point in grid:
+        families.setdefault(_sharing(point), []).append(point)
+    fold = _fold_vectors(train, held_out, sorted({p.numTopFeatures for p in grid}), stopwords)
+    session = train.sparkSession
+    if parallelism is None:
+        most = max(part.rdd.getNumPartitions() for part in fold.train.values())
+        parallelism = max(1, session.sparkContext.defaultParallelism // most)
+
+    def fit(task):
+        family, label = task
+        session.sparkContext.setLocalProperty("spark.scheduler.pool", f"label-{label}")
+        return family, label, shared_fits(fold.train[family[0]], families[family], label)
+
+    tasks = [(family, label) for family in families for label in range(fold.labels)]
+    fits: dict[tuple, dict[int, dict]] = {family: {} for family in families}
+    try:
         with ThreadPool(parallelism) as pool:
-            session = train.sparkSession
-            scores.update(pool.map(inheritable_thread_target(session)(score), list(points)))
-        for part in chosen:
-            part.unpersist()
-    for part in (train_counts, test_counts):
-        part.unpersist()
-    return scores
-
-
-def _kept(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+            for family, label, models in pool.imap_unordered(
+                inheritable_thread_target(session)(fit), tasks
+            ):
+                fits[family][label] = models
+                if len(fits[family]) == fold.labels:
+                    own = fits.pop(family)
+                    _score(families[family], own, fold.held_out[family[0]], finished)
+    finally:
+        fold.release()
+
+
+def _score(
+    points: Sequence[GridPoint],
+    models: dict[int, dict[GridPoint, LinearSVCModel]],
+    held_out: DataFrame,
+    finished: Callable[[GridPoint, float], None],
+) -> None:
+    known: dict[tuple, float] = {}
+    for point in points:
+        own = [models[label][point] for label in sorted(models)]
+        key = tuple(m.uid for m in own)
+        if key not in known:
+            model = OneVsRestModel(models=own)
+            model.setFeaturesCol("norm_features").setPredictionCol("prediction")
+            known[key] = f1_score(model.transform(held_out))
+        finished(point, known[key])
 
 
 def grid_search(
@@ -163,33 +274,54 @@ def grid_search(
     stopwords: StopWords = (),
     folds: int = FOLDS,
     seed: int = SEED,
-    parallelism: int = 2,
+    parallelism: int | None = None,
+    log: str | None = None,
 ) -> DataFrame:
     """Mean F1 over the folds for every point: the metrics table.
 
     Folds are hash buckets of ``doc_id``, and nothing is fitted on the held-out
-    fold. ``parallelism`` points are trained at a time, and as many labels of each.
+    fold. ``parallelism`` binary SVMs are trained at a time, by default as many as their
+    parts leave cores for. With ``log``, a folder, every finished point of a fold is
+    appended there at once, and a search that was stopped goes on where it was: points
+    that the log has are not fitted again, a fold it has is not read.
     """
     if not isinstance(stopwords, DataFrame):
         stopwords = tuple(stopwords)
+    trials = None
+    known: dict[tuple[int, GridPoint], float] = {}
+    if log is not None:
+        trials = TrialLog(docs.sparkSession, log, _search_name(docs, stopwords, folds, seed))
+        known = trials.scores()
     folded = assign_fold(docs, folds, seed=seed)
-    per_fold = [
-        _fold_scores(
-            folded.where(F.col("fold") != fold),
-            folded.where(F.col("fold") == fold),
-            grid,
-            stopwords,
-            parallelism,
-        )
-        for fold in range(folds)
-    ]
+    for fold in range(folds):
+        left = [point for point in grid if (fold, point) not in known]
+        if not left:
+            continue
+
+        def finished(point, f1, fold=fold):
+            known[fold, point] = f1
+            if trials is not None:
+                trials.append(fold, point, f1)
+
+        train, held_out = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+        _fold_scores(train, held_out, left, stopwords, parallelism, finished)
     rows = [
-        (*asdict(point).values(), sum(scores[point] for scores in per_fold) / folds)
+        (*asdict(point).values(), sum(known[fold, point] for fold in range(folds)) / folds)
         for point in grid
     ]
     return docs.sparkSession.createDataFrame(rows, METRICS_SCHEMA)
 
 
+def _search_name(docs: DataFrame, stopwords: StopWords, folds: int, seed: int) -> str:
+    """What a log must have been written for: documents, stopwords and folds."""
+    words = stopwords.count() if isinstance(stopwords, DataFrame) else len(stopwords)
+    sums = docs.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.crc32(F.concat_ws("|", "doc_id", "category", "reviewText").cast("binary"))).alias("s"),
+    ).first()
+    return f"documents={sums.n}/{sums.s} stopwords={words} folds={folds} seed={seed}"
+
+
 def best_point(metrics: DataFrame) -> GridPoint:
     """The configuration of highest F1; ties go to the smaller model."""
     row = metrics.orderBy(

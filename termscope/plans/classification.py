@@ -71,18 +71,20 @@ def tune_and_evaluate(
     grid: Sequence[GridPoint] | None = None,
     folds: int = FOLDS,
     seed: int = SEED,
-    parallelism: int = 2,
+    parallelism: int | None = None,
     output: str | None = None,
 ) -> TunedClassifier:
     """Search the grid on 85 % of the documents, refit the best configuration on
     them and score it on the other 15 %. ``docs`` has ``doc_id``. With ``output``, the
-    grid's metrics go there and the test score beside it, to ``output``-test."""
+    grid's metrics go there, the test score beside it, to ``output``-test, and every
+    finished trial to ``output``-trials, from which a stopped run goes on."""
     known = train_val_union(docs, seed=seed)
-    metrics = grid_search(known, grid or parameter_grid(), stopwords, folds, seed, parallelism)
+    log = None if output is None else f"{output}-trials"
+    metrics = grid_search(known, grid or parameter_grid(), stopwords, folds, seed, parallelism, log)
     if output is not None:
         write_json(metrics, output)
     best = best_point(metrics)
-    model = fit_classifier(known, best, stopwords, parallelism)
+    model = fit_classifier(known, best, stopwords, parallelism or 2)
     score = test_score(model, split_part(docs, "test", seed=seed))
     row = score.first()
     if output is not None:
