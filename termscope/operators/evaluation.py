@@ -98,6 +98,17 @@ def weighted_f1(confusion: DataFrame) -> DataFrame:
     )
 
 
+def majority_f1(labels: DataFrame, label: str = "label") -> DataFrame:
+    """One row: the weighted F1 of always predicting the most frequent label.
+
+    What a classifier has to beat before it can be said to have learned anything.
+    """
+    counts = labels.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("cnt"))
+    most, total = F.max("cnt").alias("most"), F.sum("cnt").alias("total")
+    share = F.col("most") / F.col("total")
+    return counts.agg(most, total).select((share * 2 * share / (1 + share)).alias("f1"))
+
+
 def main_effects(
     df: DataFrame, factors: Sequence[str], metric: str, digits: int = 6
 ) -> DataFrame:

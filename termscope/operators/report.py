@@ -25,20 +25,6 @@ def merged_dictionary(ranked: DataFrame) -> DataFrame:
     return ranked.select("term").distinct().orderBy("term")
 
 
-def report_lines(ranked: DataFrame) -> DataFrame:
-    """The whole report as ordered lines: categories, then the dictionary.
-
-    The format makes the dictionary one line, at most k terms per category. For
-    so many categories that this is no line any more, write the dictionary with
-    ``sources.report.write_dictionary``.
-    """
-    lines = category_lines(ranked).select(F.lit(0).alias("part"), "category", "line")
-    dictionary = ranked.agg(
-        F.array_join(F.sort_array(F.collect_set("term")), " ").alias("line")
-    ).select(F.lit(1).alias("part"), F.lit("").alias("category"), "line")
-    return lines.unionByName(dictionary).orderBy("part", "category").select("line")
-
-
 # A cell: a term, which has no blank, and a number.
 _CELL = r" \S*:-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?"
 _RANKED_LINE = rf"^(\S*(?: \S+)*?)((?:{_CELL})*)$"

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termscope.functions.stats import log_chi_square_tail
 from termscope.operators.numbering import global_rank
 from termscope.operators.terms import StopWords
 from termscope.operators.vectors import term_frequency
@@ -60,15 +61,20 @@ def term_statistics(docs: DataFrame, stopwords: StopWords = ()) -> DataFrame:
 
 
 def top_statistics(statistics: DataFrame, n: int) -> DataFrame:
-    """``(rk, term, statistic)`` of the ``n`` best terms.
+    """``(rk, term, log_p, statistic)`` of the ``n`` best terms.
 
-    Ranked by the statistic, not its p-value, which is 0 for most of the terms that
-    matter. It is rounded to six decimals, so that ties do not depend on the order in
-    which sums were added, and they go to the alphabetically smaller term.
+    Ranked by p-value, as tables of different terms have different degrees of freedom,
+    and by its logarithm, as the value itself is 0 for most of the terms that matter. The
+    logarithm is rounded to six decimals, so that ties do not depend on the order in which
+    sums were added, and they go to the alphabetically smaller term.
     """
-    rounded = statistics.select("term", F.round("statistic", 6).alias("statistic"))
-    order = [F.desc("statistic"), F.asc("term")]
-    return global_rank(rounded.orderBy(*order).limit(n), order).select("rk", "term", "statistic")
+    tail = log_chi_square_tail(F.col("statistic"), F.col("dof"))
+    rounded = statistics.select(
+        "term", F.round(tail, 6).alias("log_p"), F.round("statistic", 6).alias("statistic")
+    )
+    order = [F.asc("log_p"), F.asc("term")]
+    ranked = global_rank(rounded.orderBy(*order).limit(n), order)
+    return ranked.select("rk", "term", "log_p", "statistic")
 
 
 def best_terms(docs: DataFrame, n: int, stopwords: StopWords = ()) -> list[str]:

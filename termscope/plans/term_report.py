@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from termscope.operators import counts as c
-from termscope.operators.report import merged_dictionary, report_lines
+from termscope.operators.report import category_lines, merged_dictionary
 from termscope.operators.terms import StopWords
 from termscope.operators.scores import (
     TOP_TERMS_PER_CATEGORY,
@@ -13,7 +13,7 @@ from termscope.operators.scores import (
     score_pairs,
     top_terms,
 )
-from termscope.sources.report import write_dictionary, write_text
+from termscope.sources.report import write_dictionary, write_report, write_text
 
 
 def term_report(
@@ -41,6 +41,6 @@ def report_from_counts(
     ranked = top_terms(score_pairs(contingency_from_counts(counts)), k)
     ranked.write.mode("overwrite").parquet(f"{output}/ranked")
     ranked = spark.read.schema(ranked.schema).parquet(f"{output}/ranked")
-    write_text(report_lines(ranked), f"{output}/report")
+    write_report(category_lines(ranked), ranked, f"{output}/report")
     write_dictionary(merged_dictionary(ranked), f"{output}/dictionary")
     return ranked

@@ -165,6 +165,30 @@ def sample_head(df: DataFrame, order: Sequence[str] = _LINE_KEY, n: int = 5000)
     return df.orderBy(*order).limit(n)
 
 
+def head_lines(spark: SparkSession, paths: str | Sequence[str], n: int = 5000) -> DataFrame:
+    """The first ``n`` lines of the files in order, as ``value``, without reading the rest.
+
+    Files are taken one after the other until there are enough lines. Of a file, splits are
+    read in order, one at first and four times as many each time that was too few, and each
+    only up to the lines that are missing. So little more than ``n`` lines are read of files
+    of any size. At most ``n`` lines reach the driver: ``n`` is the size of a sample.
+    """
+    found: list[tuple[str]] = []
+    for path in sorted([paths] if isinstance(paths, str) else paths):
+        if len(found) >= n:
+            break
+        for file in _files(spark, path):
+            found += map(tuple, spark.read.text(file).limit(n - len(found)).collect())
+            if len(found) >= n:
+                break
+    return spark.createDataFrame(found, "value string")
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The files that a path, folder or pattern stands for, by name."""
+    return sorted(spark.read.text(path).inputFiles())
+
+
 def number_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Lines of all files numbered from 1 in file order: ``(line, value)``.
 

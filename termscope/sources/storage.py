@@ -5,8 +5,10 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,16 +49,61 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def remove_written() -> None:
-    """Remove the folders made so far. Tables read from them are gone after that."""
-    spark = SparkSession.getActiveSession()
-    if spark is None:
+    """Remove the folders made so far. Tables read from them are gone after that.
+
+    The JVM outlives its session, so this also works after ``spark.stop()``; file systems
+    are then found by their own settings.
+    """
+    jvm = SparkContext._jvm
+    if jvm is None:
         return
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    context = SparkContext._active_spark_context
+    conf = (
+        context._jsc.hadoopConfiguration()
+        if context is not None
+        else jvm.org.apache.hadoop.conf.Configuration()
+    )
     while _written:
         path = jvm.org.apache.hadoop.fs.Path(_written.pop())
         path.getFileSystem(conf).delete(path, True)
 
 
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables stored inside are removed at the end, so nothing lazy may leave with them."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        kept = _written[:before]
+        del _written[:before]
+        remove_written()
+        _written[:0] = kept
+
+
+def move_parts(spark: SparkSession, folders: Sequence[str], path: str) -> None:
+    """Make the part files of several written folders, in order, those of ``path``.
+
+    Only names change. What was at ``path`` is replaced.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(conf)
+    system.delete(target, True)
+    system.mkdirs(target)
+    number = 0
+    for folder in folders:
+        files = system.listStatus(jvm.org.apache.hadoop.fs.Path(folder))
+        names = sorted(f.getPath().getName() for f in files)
+        for name in names:
+            if name.startswith("part-"):
+                moved = jvm.org.apache.hadoop.fs.Path(f"{path}/part-{number:05d}.txt")
+                system.rename(jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"), moved)
+                number += 1
+        system.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+    system.create(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")).close()
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 

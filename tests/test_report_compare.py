@@ -8,6 +8,7 @@ from termscope.operators import compare, report
 from termscope.operators.counts import read_counts, tally
 from termscope.operators.scores import contingency, score_pairs, top_terms
 from termscope.plans.feature_selection import select_terms_by_presence
+from termscope.sources.report import write_report
 from termscope.plans.term_report import report_from_counts, term_report
 
 K = 7
@@ -28,15 +29,36 @@ def ranked(reviews, rows):
     return top_terms(score_pairs(contingency(tally(reviews(rows)))), K)
 
 
-def test_report_of_a_small_corpus(reviews):
+def test_report_of_a_small_corpus(reviews, tmp_path):
     """Worked by hand: red and blue tell the categories apart, pear does not."""
     docs = reviews([("B b", "blue pear"), ("A", "red apple"), ("B b", "plum blue"), ("A", "pear red")])
     ranked = top_terms(score_pairs(contingency(tally(docs))), 2)
-    assert [r.line for r in report.report_lines(ranked).collect()] == [
-        "A red:4.0000 apple:1.3333",
-        "B b blue:4.0000 plum:1.3333",
-        "apple blue plum red",
-    ]
+    write_report(report.category_lines(ranked), ranked, str(tmp_path / "r"))
+    assert _text(tmp_path / "r") == (
+        "A red:4.0000 apple:1.3333\nB b blue:4.0000 plum:1.3333\napple blue plum red\n"
+    )
+
+
+def _text(folder):
+    return "".join(p.read_text() for p in sorted(folder.glob("part-*")))
+
+
+def test_a_report_line_is_written_by_many_tasks(spark, tmp_path):
+    """Terms of many parts, repeated ones too, are one line; no terms are an empty one."""
+    words = [f"t{i % 3000:05d}" for i in range(6000)]
+    terms = spark.createDataFrame([(w,) for w in words], "term string")
+    lines = spark.createDataFrame([("b x:1",), ("c y:2",)], "line string")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_report(lines, terms, str(tmp_path / "r"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert _text(tmp_path / "r") == "b x:1\nc y:2\n" + " ".join(sorted(set(words))) + "\n"
+    assert len(list((tmp_path / "r").glob("part-*"))) > 4
+    assert [p.name for p in tmp_path.iterdir()] == ["r"]
+    write_report(lines.limit(0), terms.limit(0), str(tmp_path / "r"))
+    assert _text(tmp_path / "r") == "\n"
 
 
 def test_report_content_equals_the_definition(ranked, rows):

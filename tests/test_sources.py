@@ -101,6 +101,37 @@ def test_file_order_survives_many_splits(spark, tmp_path):
     assert {(r.value, r.shard) for r in shards} == {(f"line {i}", i % 4) for i in range(2000)}
 
 
+def _lines_read(spark):
+    """Records that all tasks so far have read."""
+    stages = spark._jsc.sc().statusStore().stageList(None, False, False, spark._sc._gateway.new_array(spark._jvm.double, 0), None)
+    return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
+
+
+@pytest.mark.parametrize("n", [1, 40, 700])
+def test_the_head_of_files_is_read_without_the_rest(spark, tmp_path, n):
+    """Of 12,000 lines in dozens of splits, those wanted and at most some splits."""
+    for name, lines in (("b", 6000), ("a", 10), ("c", 6000)):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name} {i:05d}\n" for i in range(lines)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        read = _lines_read(spark)
+        head = src.head_lines(spark, str(tmp_path), n).collect()
+        read = _lines_read(spark) - read
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    expected = [f"a {i:05d}" for i in range(10)] + [f"b {i:05d}" for i in range(6000)]
+    assert [r.value for r in head] == expected[:n]
+    assert read <= 6 * n + 600
+
+
+def test_the_head_of_few_lines_is_all_of_them(spark, tmp_path):
+    (tmp_path / "x.txt").write_text("one\ntwo\n")
+    (tmp_path / "w.txt").write_text("")
+    paths = [str(tmp_path / "x.txt"), str(tmp_path / "w.txt")]
+    assert [r.value for r in src.head_lines(spark, paths, 10).collect()] == ["one", "two"]
+
+
 def test_lines_are_numbered_across_files(spark, tmp_path):
     for name, n in (("b", 30), ("a", 7), ("c", 0), ("d", 3)):
         (tmp_path / f"{name}.txt").write_text("".join(f"{name}{i}\n" for i in range(n)))
