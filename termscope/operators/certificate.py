@@ -27,8 +27,9 @@ def duality_gap(
     The primal is the mean hinge loss plus the penalty of the model's coefficients, scaled
     by their standard deviations if it was fitted so. Margins give dual weights between 0
     and 1; those of the larger side are scaled down until both sides weigh the same, as the
-    free intercept demands. Such weights are feasible, so their dual is a lower bound of
-    any primal, and a small gap proves that no other coefficients would do much better.
+    free intercept demands, and all are scaled by what makes their dual largest. Such
+    weights are feasible, so their dual is a lower bound of any primal, and a small gap
+    proves that no other coefficients would do much better.
 
     All sums over documents come from one aggregate by feature: the vector of weighted
     features for each band and side, the moments, and the totals as a feature of their own.
@@ -86,7 +87,9 @@ def duality_gap(
             - F.coalesce(F.col(f"d{k}n") * least / F.nullif(minus, F.lit(0.0)), F.lit(0.0))
         ) / n
         square = F.sum(F.when(used, v * v / penalty).otherwise(0.0))
-        duals.append(F.first(2 * least / n) - square / (2 * reg))
+        mass = F.first(2 * least / n)
+        scale = F.least(F.lit(1.0), F.coalesce(reg * mass / F.nullif(square, F.lit(0.0)), F.lit(1.0)))
+        duals.append(scale * mass - scale * scale * square / (2 * reg))
     row = joined.agg(
         F.first("n").cast("bigint").alias("documents"),
         (F.first("loss") / F.first("n") + F.sum(w * w * penalty) * reg / 2).alias("primal"),

@@ -121,8 +121,9 @@ def training_set(features: DataFrame, num_features: int) -> DataFrame:
     rows = stored(features, "training")
     rows_per_part = max(1, ENTRIES_PER_PART // num_features)
     parts = max(1, -(-rows.count() // rows_per_part))
-    if parts < rows.rdd.getNumPartitions():
-        rows = rows.coalesce(parts)
+    splits = rows.rdd.getNumPartitions()
+    if parts != splits:
+        rows = rows.coalesce(parts) if parts < splits else rows.repartition(parts)
     return rows.persist(StorageLevel.MEMORY_AND_DISK)
 
 

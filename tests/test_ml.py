@@ -1,13 +1,20 @@
+import math
 import random
+from decimal import Decimal, localcontext
 
+import duckdb
+import numpy as np
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import CountVectorizerModel, IDFModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from termscope.operators import stages, tuning
+from termscope.functions.stats import log_chi_square_tail
+from termscope.operators import evaluation, stages, tuning
 from termscope.operators import vectors as v
+from termscope.operators.certificate import duality_gap
+from termscope.operators.scoring import ModelTables, model_tables, predictions
 from termscope.operators.selection import best_terms, term_statistics, top_statistics
 from termscope.plans.classification import fit_classifier, tune_and_evaluate
 from termscope.plans.feature_selection import select_terms
@@ -212,3 +219,192 @@ def test_command_line_takes_long_stopword_lists(docs, tmp_path):
             parts = sorted((tmp_path / f"{run}-{name}").glob("part-*"))
             outputs.append("".join(p.read_text() for p in parts).split())
     assert outputs[:2] == outputs[2:] and len(outputs[0]) == 9
+
+
+def _exact_log_tail(statistic, dof):
+    """By the finite sum for even degrees and the series of the lower part for odd ones."""
+    x, terms = Decimal(statistic) / 2, Decimal(1)
+    with localcontext() as context:
+        context.prec = 80 + int(x)
+        if dof % 2 == 0:
+            total = Decimal(1)
+            for k in range(1, dof // 2):
+                terms = terms * x / k
+                total += terms
+            return float(total.ln() - x)
+        a = Decimal(dof) / 2
+        terms = total = 1 / a
+        n = 0
+        while n < x or terms > total * Decimal(10) ** -(context.prec - 5):
+            n += 1
+            terms = terms * x / (a + n)
+            total += terms
+        gamma = Decimal(
+            "1.7724538509055160272981674833411451827975494561223871282138077898529112845910321813749506567385446654162268"
+        )
+        for k in range(dof // 2):
+            gamma *= Decimal(k) + Decimal("0.5")
+        return float((1 - (a * x.ln() - x).exp() * total / gamma).ln())
+
+
+def test_log_tails_equal_exact_sums(spark):
+    rows = [
+        (float(s), d)
+        for d in (1, 2, 3, 4, 7, 18, 30, 99, 100, 401)
+        for s in (0.001, 0.5, d - 0.5, d + 1.9, d + 2.1, d + 30.0, 2.0 * d + 40)
+        if d % 2 == 0 or s < 140
+    ]
+    df = spark.createDataFrame(rows, "s double, d int")
+    for r in df.withColumn("tail", log_chi_square_tail(F.col("s"), F.col("d"))).collect():
+        assert r.tail == pytest.approx(_exact_log_tail(r.s, r.d), rel=1e-9, abs=1e-12), r
+    odd = spark.createDataFrame(
+        [(90_000.0, 18), (90_000.0, 17), (0.0, 3), (5.0, 0), (None, 2)], "s double, d int"
+    )
+    tails = [r.tail for r in odd.select(log_chi_square_tail(F.col("s"), F.col("d")).alias("tail")).collect()]
+    assert tails[0] < -44_000 and tails[1] < tails[0] and tails[2:] == [0.0, 0.0, None]
+
+
+@pytest.mark.parametrize("k", [3, 8, 12])
+def test_selection_equals_the_ml_selector(docs, k):
+    """The same terms, and p-values, wherever these are no zeros to the ML stage."""
+    prefix = Pipeline(stages=[*stages.count_stages(STOP, 1000), stages.inverse_document_frequency()])
+    model = prefix.fit(docs)
+    vocabulary = next(s for s in model.stages if isinstance(s, CountVectorizerModel)).vocabulary
+    p = {vocabulary[r.featureIndex]: r.pValue for r in stages.feature_statistics(model.transform(docs)).collect()}
+    ours = top_statistics(term_statistics(docs, STOP), 1000).orderBy("rk").collect()
+    for row in ours:
+        if p[row.term] > 1e-9:
+            assert math.exp(row.log_p) == pytest.approx(p[row.term], rel=1e-4)
+    order = [r.term for r in ours]
+    tested = [t for t in order if p[t] > 1e-12]
+    assert tested == sorted(tested, key=lambda t: (round(math.log(p[t]), 6), t))
+    assert all(p[t] <= 1e-9 for t in order[: len(order) - len(tested)])
+
+
+def test_degrees_of_freedom_matter(spark, reviews):
+    """A term of many counts needs a larger statistic than one that is there or not."""
+    statistics = spark.createDataFrame([("many", 18, 53.0), ("once", 3, 50.9)], "term string, dof int, statistic double")
+    assert [r.term for r in top_statistics(statistics, 2).orderBy("rk").collect()] == ["once", "many"]
+
+
+@pytest.fixture
+def two(docs):
+    """Vectors and labels of two categories."""
+    pair = docs.where("category <> 'Food'")
+    terms = best_terms(pair, 12, STOP)
+    steps = [*stages.selection_stages(STOP, terms).getStages(), stages.l2_normalizer()]
+    return Pipeline(stages=steps).fit(pair).transform(pair).select("label", "norm_features").persist()
+
+
+@pytest.mark.parametrize("scaled", [True, False])
+def test_duality_gap_is_that_of_the_definition(two, scaled):
+    model = stages.linear_svm(0.1, 200, scaled).fit(two)
+    row = duality_gap(two, model).first()
+    x = np.array([r.norm_features.toArray() for r in two.collect()])
+    y = np.array([2 * r.label - 1 for r in two.collect()])
+    w, b = model.coefficients.toArray(), model.intercept
+    spread = x.std(axis=0, ddof=1) if scaled else np.ones(x.shape[1])
+    primal = np.maximum(0, 1 - y * (x @ w + b)).mean() + 0.05 * ((w * spread) ** 2).sum()
+    assert row.documents == len(y) and row.primal == pytest.approx(primal)
+    # No plane of a few hundred, near the fitted one or not, is below the bound.
+    rnd = np.random.default_rng(1)
+    for size in (0, 0.01, 0.1, 1, 5):
+        for _ in range(60):
+            v, c = w + size * rnd.normal(size=len(w)), b + size * rnd.normal()
+            other = np.maximum(0, 1 - y * (x @ v + c)).mean() + 0.05 * ((v * spread) ** 2).sum()
+            assert other >= row.dual - 1e-9
+    assert 0 <= row.gap < (0.2 if scaled else 0.05)
+
+
+def test_a_guess_has_a_wide_gap(two):
+    """Of a fit, of one step of it, and of a fit to labels that tell nothing."""
+    good = stages.linear_svm(0.1, 100, False).fit(two)
+    poor = stages.linear_svm(0.1, 1, False).fit(two)
+    constant = stages.linear_svm(0.1, 100, False).fit(two.withColumn("label", F.lit(1.0)))
+    assert not constant.coefficients.toArray().any()
+    gaps = [duality_gap(two, m).first().gap for m in (good, poor, constant)]
+    assert gaps[0] < 0.05 and min(gaps[1:]) > 0.2
+
+
+def test_predictions_from_tables_equal_the_stages(spark, docs, reviews, tmp_path):
+    """Row for row, in another session, and by SQL over the stored tables."""
+    model = fit_classifier(docs, tuning.GridPoint(12, 0.01, True, 20), STOP)
+    model_tables(model).write(str(tmp_path))
+    fresh = reviews([
+        ("Fish", "salmon hook"), ("Cars", "brake, ROAD brake"), ("Food", "nothing known"),
+        ("Birds", "wing"), ("Food", ""), ("Fish", "salmon the oven é bread item"),
+    ]).unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1000))
+    expected = {r.doc_id: (int(r.label), int(r.prediction)) for r in model.transform(fresh).collect()}
+    other = spark.newSession()
+    tables = ModelTables.read(other, str(tmp_path))
+    again = other.createDataFrame(fresh.collect(), fresh.schema)
+    found = {r.doc_id: (r.label, r.prediction) for r in predictions(again, tables, STOP).collect()}
+    assert found == expected and 3 not in found
+    con = duckdb.connect()
+    for name in ("labels", "terms", "weights"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}/*.parquet'")
+    tf = v.term_frequency(fresh.where("doc_id >= 1000"), STOP).toPandas()  # noqa: F841
+    rows = con.execute("""
+        WITH w AS (SELECT doc_id, term, tf * idf AS x FROM tf JOIN terms USING (term)),
+        len AS (SELECT doc_id, sqrt(sum(x * x)) AS len FROM w GROUP BY doc_id),
+        margins AS (SELECT w.doc_id, l.label, max(intercept) + sum(x * coalesce(weight, 0)) / max(len) AS m
+                    FROM w JOIN len USING (doc_id) CROSS JOIN labels l
+                    LEFT JOIN weights ON weights.label = l.label AND weights.term = w.term
+                    GROUP BY w.doc_id, l.label)
+        SELECT doc_id, arg_min(label, (-m, label)) FROM margins GROUP BY doc_id""").fetchall()
+    assert len(rows) == 150 and all(expected[doc][1] == label for doc, label in rows)
+
+
+def test_majority_f1(spark):
+    df = spark.createDataFrame([(0,)] * 6 + [(1,)] * 3 + [(2,)], "label int")
+    guess = evaluation.confusion_counts(df.withColumn("prediction", F.lit(0)))
+    assert evaluation.majority_f1(df).first().f1 == pytest.approx(evaluation.weighted_f1(guess).first().f1)
+
+
+def test_a_stopped_search_goes_on_from_its_log(docs, tmp_path, monkeypatch):
+    grid = tuning.parameter_grid((8, 2), (0.01,), (True, False), (2, 4))
+    whole = sorted(tuning.grid_search(docs, grid, STOP).collect())
+    log = str(tmp_path / "log")
+    append, fit, fits = tuning.TrialLog.append, tuning.fit_label, []
+
+    def stops(self, fold, point, f1):
+        append(self, fold, point, f1)
+        if len(self.scores()) == 5:
+            raise KeyboardInterrupt
+
+    def counted(train, point, label):
+        fits.append((point, label))
+        return fit(train, point, label)
+
+    monkeypatch.setattr(tuning, "fit_label", counted)
+    monkeypatch.setattr(tuning.TrialLog, "append", stops)
+    with pytest.raises(KeyboardInterrupt):
+        tuning.grid_search(docs, grid, STOP, parallelism=1, log=log)
+    fits.clear()
+    monkeypatch.setattr(tuning.TrialLog, "append", append)
+    rest = sorted(tuning.grid_search(docs, grid, STOP, log=log).collect())
+    assert [r[:4] for r in rest] == [r[:4] for r in whole]
+    assert [r.f1 for r in rest] == pytest.approx([r.f1 for r in whole], abs=1e-9)
+    assert len(fits) <= 3 * (len(grid) * 2 - 5)
+    fits.clear()
+    assert sorted(tuning.grid_search(docs, grid, STOP, log=log).collect()) == rest and not fits
+    with pytest.raises(ValueError, match="another search"):
+        tuning.grid_search(docs, grid, ("the",), log=log)
+
+
+def test_fits_that_stopped_early_are_shared(two, monkeypatch):
+    fits = []
+    inner = tuning.fit_label
+    monkeypatch.setattr(tuning, "fit_label", lambda *a: fits.append(a[1]) or inner(*a))
+    points = [tuning.GridPoint(12, 0.1, False, n) for n in (400, 2, 300)]
+    models = tuning.shared_fits(two, points, 1)
+    assert [p.maxIter for p in fits] == [2, 300]
+    assert models[points[0]] is models[points[2]] and models[points[1]] is not models[points[2]]
+
+
+def test_no_text_below_a_training_set(docs):
+    model = stages.fit_selection(docs, STOP, 4)
+    features = stages.l2_normalizer().transform(model.transform(docs)).select("label", "norm_features")
+    train = tuning.training_set(features, 4)
+    plan = train._jdf.queryExecution().analyzed().toString()
+    assert "parquet" in plan and "reviewText" not in plan and "tokens" not in plan
