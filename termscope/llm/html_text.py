@@ -55,14 +55,19 @@ _LAYOUT = re.compile(
 )
 #: Marks that hold however much text they have: readers may write more than the author.
 _READERS = re.compile("comment|disqus|repl|respon|discussion")
-#: Elements that hold an article by name.
+#: Elements that hold an article by name, and all that may be a region.
 ARTICLES = frozenset({"article", "main"})
+REGIONS = ARTICLES | {"section", "div", "td", "body", "center", "blockquote"}
 
 #: Standard deviation of the smoothing, in lines, and how far it reaches.
 SIGMA = 1.0
 REACH = 3
 #: Lines count as content from this share of the standard deviation of all on.
 THRESHOLD = 0.5
+#: Share of the content lines' smoothed ratios that a region has to hold.
+SHARE = 0.6
+#: What the ratio of a line in an article element counts for.
+ARTICLE_WEIGHT = 8.0
 
 
 def mark_words(marks: str) -> frozenset[str]:
@@ -73,34 +78,41 @@ def mark_words(marks: str) -> frozenset[str]:
 class Lines(HTMLParser):
     """Blocks of text with their tags, as the parser's events come.
 
-    A block is ``(text, tags, inside, heading)``: white space is one blank, ``tags`` are
-    those met in the block, link text counts as tags, ``inside`` tells whether an
-    article element was open. Text in marked elements is kept with its marks until the
+    A block is ``(text, tags, path, heading)``: white space is one blank, ``tags`` are
+    those met in the block, ``path`` are the open elements that may be regions, each with
+    a number and whether it is an article. Text in marked elements is kept with its marks until the
     page is over: a mark whose elements hold most of the page's text does not count.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, bool, bool]] = []
-        self.read: list[tuple[list, int, bool, bool]] = []
+        self.blocks: list[tuple[str, int, tuple, bool]] = []
+        self.read: list[tuple[list, int, tuple, bool]] = []
         self.open: list[tuple[str, bool, frozenset[str]]] = []
+        self.path: list[tuple[int, bool]] = []
         self.dropped = 0
-        self.articles = 0
+        self.regions = 0
         self.seen = False
         self.pieces: list[tuple[str, frozenset[str]]] = []
         self.tags = 0
 
     def _end_block(self) -> None:
         heading = any(re.fullmatch("h[1-6]", name) for name, _, _ in self.open[-3:])
-        self.read.append((self.pieces, self.tags, self.articles > 0, heading))
+        self.read.append((self.pieces, self.tags, tuple(self.path), heading))
         self.pieces, self.tags = [], 0
 
     def _lifted(self) -> set[str]:
-        """Marks that do not count, as most of the page's text is in their elements."""
+        """Marks that do not count, as most of the page's text is in their elements.
+
+        Where an article element has text without marks, they all count.
+        """
         sizes: dict[str, int] = {}
         total = 0
-        for pieces, *_ in self.read:
+        for pieces, _, path, _ in self.read:
+            in_article = any(article for _, article in path)
             for text, marks in pieces:
+                if in_article and not marks and text.strip():
+                    return set()
                 if not any(map(_READERS.match, marks)):
                     size = len("".join(text.split()))
                     total += size
@@ -111,7 +123,8 @@ class Lines(HTMLParser):
     def _pop(self) -> None:
         name, drops, _ = self.open.pop()
         self.dropped -= drops
-        self.articles -= name in ARTICLES
+        if name in REGIONS:
+            self.path.pop()
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -141,7 +154,9 @@ class Lines(HTMLParser):
         self.seen = self.seen or (tag in ARTICLES and not (drops or marked))
         self.open.append((tag, drops, frozenset() if drops else marked))
         self.dropped += drops
-        self.articles += tag in ARTICLES
+        if tag in REGIONS:
+            self.regions += 1
+            self.path.append((self.regions, tag in ARTICLES))
 
     def _unmark(self) -> None:
         """Take back marks of what the first article lies in, a wrapper of the page."""
@@ -171,11 +186,11 @@ class Lines(HTMLParser):
         super().close()
         self._end_block()
         lifted, met = self._lifted(), 0
-        for pieces, tags, inside, heading in self.read:
+        for pieces, tags, path, heading in self.read:
             met += tags
             text = " ".join("".join(t for t, marks in pieces if marks <= lifted).split())
             if text:
-                self.blocks.append((text, met, inside, heading))
+                self.blocks.append((text, met, path, heading))
                 met = 0
 
 
@@ -193,35 +208,51 @@ def smoothed(values: list[float]) -> list[float]:
     return out
 
 
-def content_blocks(blocks: list[tuple[str, int, bool, bool]]) -> list[str]:
-    """The texts of the content regions among a page's lines.
+def content_blocks(blocks: list[tuple[str, int, tuple, bool]]) -> list[str]:
+    """The texts of the content region among a page's lines.
 
-    Each line has the ratio of its signs to its tags. Smoothed ratios above a share of
-    their standard deviation are content. Neighbouring content lines make a cluster;
-    lines between the first and last line of an article element's cluster belong to the
-    article however short they are, and so does its heading. Pages without such an
-    element keep the clusters, with short lines that lie between two of them.
+    Each line has the ratio of its signs to its tags; lines in an article element count
+    for more. Smoothed ratios above a share of their standard deviation are content. The
+    region is the innermost element that holds most of what the content lines add up to;
+    an article around it is the region as a whole, its short lines and heading too. Of
+    other regions the lines from the first to the last content line stay, and headings
+    right before them.
     """
-    if any(inside for _, _, inside, _ in blocks):
-        blocks = [b for b in blocks if b[2]]
-        whole = True
-    else:
-        whole = False
-    if not blocks:
-        return []
-    ratios = [len(text) / max(tags, 1) for text, tags, _, _ in blocks]
+    ratios = [
+        len(text) / max(tags, 1) * (ARTICLE_WEIGHT if any(a for _, a in path) else 1.0)
+        for text, tags, path, _ in blocks
+    ]
     soft = smoothed(ratios)
+    if not soft:
+        return []
     mean = sum(soft) / len(soft)
     spread = math.sqrt(sum((v - mean) ** 2 for v in soft) / len(soft))
     high = [i for i, v in enumerate(soft) if v >= THRESHOLD * spread]
-    if not high:
-        return []
-    first, last = high[0], high[-1]
+    # A line outside all region elements has none; then all lines are the region.
+    held: dict[int, float] = {}
+    for i in high:
+        for number, _ in blocks[i][2]:
+            held[number] = held.get(number, 0.0) + soft[i]
+    least = SHARE * sum(soft[i] for i in high)
+    region, whole, deepest = None, False, -1
+    for i in high:
+        path = blocks[i][2]
+        deep = [depth for depth, (number, _) in enumerate(path) if held[number] >= least]
+        if deep and deep[-1] > deepest:
+            deepest = deep[-1]
+            above = [number for number, article in path[: deepest + 1] if article]
+            region, whole = (above[0], True) if above else (path[deepest][0], False)
+    if region is not None:
+        inside = [any(number == region for number, _ in path) for _, _, path, _ in blocks]
+    else:
+        inside = [True] * len(blocks)
     if whole:
-        first, last = 0, len(blocks) - 1
-    while first > 0 and blocks[first - 1][3]:
+        return [block[0] for block, own in zip(blocks, inside) if own]
+    high = [i for i in high if inside[i]]
+    first = high[0]
+    while first > 0 and blocks[first - 1][3] and inside[first - 1]:
         first -= 1
-    return [text for text, _, _, _ in blocks[first : last + 1]]
+    return [blocks[i][0] for i in range(first, high[-1] + 1) if inside[i]]
 
 
 def main_text(html: str | None) -> str:
@@ -234,8 +265,8 @@ def main_text(html: str | None) -> str:
 def extract_text(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars)`` of every row of ``pages``.
 
-    The text is that of the article: headings and paragraphs, in page order, one line
-    per block. Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+    The text is that of the region that the ratios choose: headings and paragraphs, in
+    page order, one line per block. Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
     styles and comments are left out, by the element or by a word in its class, id or
     role. Such words do not count when they say how the page is laid out, on the first
     article element, or when most of the page's text is in elements that have them;

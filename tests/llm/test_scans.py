@@ -6,12 +6,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from llm_fixtures import documents  # noqa: F401
 from tokenizers import Tokenizer
 
 from termscope.llm import packing, secrets, toxicity
-from termscope.llm.html_text import extract_text, main_text, smoothed
+from termscope.llm.html_text import Lines, content_blocks, extract_text, main_text, smoothed
 from termscope.llm.tokens import WordEncoder
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -271,6 +272,83 @@ def test_texts_in_several_marked_parts_are_kept():
     )
 
 
+def test_smoothed_ratios_choose_the_region(monkeypatch):
+    """One long line among links is no region; lines next to each other are one.
+
+    Both lie in plain elements, so nothing but the ratios can tell them apart.
+    """
+    line = "A line of some words of prose in the text. "
+    text = "".join(f"<p>{line * 2}</p>" for _ in range(20))
+    links = "".join(f"<p><a href=x>{i}</a></p>" for i in range(9))
+    page = f"<body><div>{text}</div><div>{links}<p>{line * 18}</p>{links}</div></body>"
+    assert main_text(page) == "\n".join([(line * 2).strip()] * 20)
+    monkeypatch.setattr("termscope.llm.html_text.smoothed", lambda values: values)
+    assert main_text(page) == "\n".join([(line * 2).strip()] * 19)
+    monkeypatch.setattr("termscope.llm.html_text.smoothed", lambda values: [1.0] * len(values))
+    assert main_text(page).count("\n") == 38
+
+
+def test_an_article_without_much_text_is_not_the_region():
+    """The name of an element counts for something, not for everything."""
+    line = "Many words of prose in a row and some more of them. "
+    text = "".join(f"<p>{line * 3}</p>" for _ in range(30))
+    page = f"<body><div><h2>Title</h2>{text}</div><article><a href=x>More</a></article></body>"
+    assert main_text(page) == "\n".join(["Title"] + [(line * 3).strip()] * 30)
+
+
+def _region_by_definition(blocks):
+    """Texts of the region, with every sum written out."""
+    ratios = [len(t) / max(n, 1) * (8 if any(a for _, a in path) else 1) for t, n, path, _ in blocks]
+    soft = []
+    for i in range(len(ratios)):
+        near = [j for j in range(len(ratios)) if abs(i - j) <= 3]
+        weights = [math.exp(-((i - j) ** 2) / 2) for j in near]
+        soft.append(sum(w * ratios[j] for w, j in zip(weights, near)) / sum(weights))
+    high = [i for i, v in enumerate(soft) if v >= 0.5 * np.std(soft)]
+    if not high:
+        return []
+    numbers = {number for _, _, path, _ in blocks for number, _ in path}
+    lines = {k: [i for i, b in enumerate(blocks) if k in dict(b[2])] for k in numbers}
+    enough = [
+        k for k in numbers
+        if sum(soft[i] for i in lines[k] if i in high) >= 0.6 * sum(soft[i] for i in high)
+    ]
+    own = list(range(len(blocks)))
+    if enough:
+        # Elements are numbered as they open, so the innermost one has the largest number.
+        inner = max(enough)
+        path = blocks[lines[inner][0]][2]
+        articles = [k for k, article in path if article and k <= inner]
+        if articles:
+            return [blocks[i][0] for i in lines[articles[0]]]
+        own = lines[inner]
+    kept = [i for i in own if min(h for h in high if h in own) <= i <= max(h for h in high if h in own)]
+    while kept[0] - 1 in own and blocks[kept[0] - 1][3]:
+        kept.insert(0, kept[0] - 1)
+    return [blocks[i][0] for i in kept]
+
+
+def test_regions_are_as_defined():
+    """Random pages of nested elements, and the given ones."""
+    rnd = random.Random(5)
+
+    def element(depth):
+        if depth == 0 or rnd.random() < 0.4:
+            kind = rnd.choice(("p", "p", "p", "h2", "li"))
+            text = "word " * rnd.choice((1, 2, 30, 60)) if rnd.random() < 0.8 else "<a href=x>link</a> " * 4
+            return f"<{kind}>{text}</{kind}>"
+        kind = rnd.choice(("div", "div", "section", "article"))
+        return f"<{kind}>{''.join(element(depth - 1) for _ in range(rnd.randint(1, 5)))}</{kind}>"
+
+    pages = [f"<body>{''.join(element(4) for _ in range(rnd.randint(1, 4)))}</body>" for _ in range(200)]
+    pages += pq.read_table("/root/testdata/sf0.001/pages.parquet").column("html").to_pylist()
+    for html in pages:
+        parser = Lines()
+        parser.feed(html)
+        parser.close()
+        assert content_blocks(parser.blocks) == _region_by_definition(parser.blocks)
+
+
 def test_smoothing_keeps_constants_and_spreads_peaks():
     assert smoothed([2.0] * 9) == pytest.approx([2.0] * 9)
     peak = smoothed([0.0] * 5 + [10.0] + [0.0] * 5)
