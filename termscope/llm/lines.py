@@ -15,6 +15,9 @@ from termscope.sources.storage import stored
 STEP = 31
 _MODULUS = 1 << 32
 
+#: Copies of a chunk that one task compares with the first one.
+COPIES_PER_TASK = 1000
+
 
 def chunk_bounds(lines: list[str]) -> list[int]:
     """Line numbers at which chunks start, and the number of lines at the end.
@@ -80,36 +83,48 @@ def _repeats(docs: DataFrame) -> DataFrame:
     """
     rows = stored(_chunk_rows(docs), "chunks")
     # Stored, so that a hot hash is split in the join instead of kept with its count.
-    often = stored(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "often")
-    proposed = rows.join(often, "h").groupBy("doc_id").agg(F.collect_set("chunk").alias("wanted"))
+    counts = rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    salts = F.ceil(F.col("n") / COPIES_PER_TASK).cast("int")
+    often = stored(counts.select("h", salts.alias("salts")), "often")
+    wanted = F.collect_set(F.struct("chunk", "salts"))
+    proposed = rows.join(often, "h").groupBy("doc_id").agg(wanted.alias("wanted"))
 
     def bodies(batches):
         for batch in batches:
-            texts, ids, places = [], [], []
+            texts, ids, places, salts = [], [], [], []
             for doc, text, wanted in zip(*(batch.column(c) for c in ("doc_id", "text", "wanted"))):
                 own = chunks(text.as_py())
-                for i in wanted.as_py():
-                    texts.append(own[i][1])
+                for row in wanted.as_py():
+                    texts.append(own[row["chunk"]][1])
                     ids.append(doc.as_py())
-                    places.append(i)
+                    places.append(row["chunk"])
+                    salts.append(row["salts"])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(texts, pa.string()),
                     pa.array(ids, pa.int64()),
                     pa.array(places, pa.int32()),
+                    pa.array(salts, pa.int32()),
                 ],
-                ["body", "doc_id", "chunk"],
+                ["body", "doc_id", "chunk", "salts"],
             )
 
     joined = docs.join(proposed, "doc_id").select("doc_id", "text", "wanted")
-    texts = stored(joined.mapInArrow(bodies, "body string, doc_id bigint, chunk int"), "bodies")
+    shape = "body string, doc_id bigint, chunk int, salts int"
+    texts = stored(joined.mapInArrow(bodies, shape), "bodies")
     first = (
         texts.groupBy("body")
-        .agg(F.min(F.struct("doc_id", "chunk")).alias("kept"), F.count("*").alias("n"))
+        .agg(
+            F.min(F.struct("doc_id", "chunk")).alias("kept"),
+            F.count("*").alias("n"),
+            F.max("salts").alias("salts"),
+        )
         .where("n > 1")
-        .select("body", "kept")
+        .select("body", "kept", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     )
-    later = texts.join(first, "body").where(F.struct("doc_id", "chunk") > F.col("kept"))
+    # Copies of a hot chunk are dealt to several tasks, each of which gets its first place.
+    salted = texts.withColumn("salt", F.pmod(F.xxhash64("doc_id", "chunk"), F.col("salts")).cast("int"))
+    later = salted.join(first, ["body", "salt"]).where(F.struct("doc_id", "chunk") > F.col("kept"))
     return later.groupBy("doc_id").agg(F.collect_set("chunk").alias("drop"))
 
 

@@ -129,7 +129,8 @@ def _packed(rows: DataFrame, capacity: int, per_part: int) -> DataFrame:
 
     shape = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
     n = max(1, -(-rows.count() // per_part))
-    return rows.repartition(n, "doc_id", "piece").mapInArrow(
+    # In turn, not by key: rows of one id, or of none, may be any number.
+    return rows.repartition(n).mapInArrow(
         pack, f"{shape}, bin bigint, offset bigint, filled bigint"
     )
 
@@ -139,7 +140,7 @@ def pack_pieces(
 ) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``, at most ``capacity`` tokens each.
 
-    Pieces are dealt by hash to parts of about ``per_part``, and each part is packed,
+    Pieces are dealt in turn to parts of about ``per_part``, and each part is packed,
     longest first, by the sum-of-squares rule. The pieces of bins that stay under 99
     percent full, a few per part, are then dealt anew to fewer parts and packed again,
     so that gaps of different parts are filled from each other.
