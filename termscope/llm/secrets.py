@@ -121,30 +121,53 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     ).withColumn("version", F.xxhash64("text"))
-    rows = None
-    for kind, pattern in enumerate((ASSIGN, ACCESS, HEX, CANDIDATE)):
-        found = texts.select(
-            "doc_id", "version", "text", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("matches")
-        ).where(F.size("matches") > 0)
+    patterns = (ASSIGN, ACCESS, HEX, CANDIDATE)
+    found = texts.select(
+        "*",
+        *(
+            F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias(f"m{kind}")
+            for kind, pattern in enumerate(patterns)
+        ),
+    )
+    nothing = F.array().cast("array<string>")
+
+    def parted(kind: int, pattern: str) -> Column:
+        """The matches of one kind, what lies between them, and assigned values."""
+        met = F.size(f"m{kind}") > 0
         values = F.lit(None).cast("array<string>")
         if kind == 0:
-            values = F.regexp_extract_all("text", F.lit(pattern), F.lit(2))
-        cut = found.select(
-            "doc_id", "version", "matches", F.split("text", pattern, -1).alias("between"), values.alias("values")
-        )
-        own = cut.select(
-            "doc_id", "version", "between", "values", F.posexplode("matches").alias("place", "body")
-        ).select(
-            "doc_id",
-            "version",
+            values = F.when(met, F.regexp_extract_all("text", F.lit(pattern), F.lit(2)))
+        return F.struct(
             F.lit(kind).alias("kind"),
-            "place",
-            F.length(F.get("between", F.col("place"))).alias("gap"),
-            "body",
-            F.get("values", F.col("place")).alias("value"),
+            F.col(f"m{kind}").alias("matches"),
+            F.when(met, F.split("text", pattern, -1)).otherwise(nothing).alias("between"),
+            values.alias("values"),
         )
-        rows = own if rows is None else rows.union(own)
-    rows = rows.dropDuplicates(["doc_id", "version", "kind", "place"])
+
+    kinds = found.select(
+        "doc_id", "version", F.explode(F.array(*map(parted, range(4), patterns))).alias("p")
+    )
+    rows = kinds.select(
+        "doc_id", "version", "p", F.posexplode("p.matches").alias("place", "body")
+    ).select(
+        "doc_id",
+        "version",
+        F.col("p.kind").alias("kind"),
+        "place",
+        F.length(F.get("p.between", F.col("place"))).alias("gap"),
+        "body",
+        F.get("p.values", F.col("place")).alias("value"),
+    )
+    # Entropy is computed where the text was read, before the few rows are brought together.
+    judged = F.col("body")
+    for pattern, length in MASKED:
+        judged = F.regexp_replace(judged, pattern, " " * length)
+    wanted = (F.col("kind") == 3) & F.col("body").rlike("[0-9]")
+    for pattern in ALLOWED:
+        wanted &= ~F.col("body").rlike(pattern)
+    rows = rows.withColumn("judged", F.when(wanted, judged))
+    rows = rows.withColumn("hot", F.when(F.col("judged").isNotNull(), _hot_span(F.col("judged"))))
+    rows = rows.drop("judged").dropDuplicates(["doc_id", "version", "kind", "place"])
     along = Window.partitionBy("doc_id", "version", "kind").orderBy("place")
     size = F.length("body")
     start = F.sum(F.col("gap") + size).over(along) - size
@@ -152,23 +175,12 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     base = spans.where(
         (F.col("kind") < 3) & ((F.col("kind") > 0) | (F.length("value") >= LEAST_ASSIGNED))
     ).select("doc_id", "version", "kind", "start", (F.col("start") + size).alias("end"))
-    candidates = spans.where((F.col("kind") == 3) & F.col("body").rlike("[0-9]"))
-    for pattern in ALLOWED:
-        candidates = candidates.where(~F.col("body").rlike(pattern))
-    judged = F.col("body")
-    for pattern, length in MASKED:
-        judged = F.regexp_replace(judged, pattern, " " * length)
-    hot = (
-        candidates.withColumn("judged", judged)
-        .withColumn("hot", _hot_span(F.col("judged")))
-        .where("hot.last > 0")
-        .select(
-            "doc_id",
-            "version",
-            "kind",
-            (F.col("start") + F.col("hot.first")).alias("start"),
-            (F.col("start") + F.col("hot.last")).alias("end"),
-        )
+    hot = spans.where("hot.last > 0").select(
+        "doc_id",
+        "version",
+        "kind",
+        (F.col("start") + F.col("hot.first")).alias("start"),
+        (F.col("start") + F.col("hot.last")).alias("end"),
     )
     before = (
         Window.partitionBy("doc_id", "version")
