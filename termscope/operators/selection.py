@@ -12,6 +12,7 @@ from termscope.functions.stats import log_chi_square_tail
 from termscope.operators.numbering import global_rank
 from termscope.operators.terms import StopWords
 from termscope.operators.vectors import term_frequency
+from termscope.sources.storage import scratch
 
 
 def term_statistics(docs: DataFrame, stopwords: StopWords = ()) -> DataFrame:
@@ -79,5 +80,6 @@ def top_statistics(statistics: DataFrame, n: int) -> DataFrame:
 
 def best_terms(docs: DataFrame, n: int, stopwords: StopWords = ()) -> list[str]:
     """The ``n`` best terms in their order: at most that many rows reach the driver."""
-    ranked = top_statistics(term_statistics(docs, stopwords), n)
-    return [row.term for row in ranked.orderBy("rk").collect()]
+    with scratch():
+        ranked = top_statistics(term_statistics(docs, stopwords), n)
+        return [row.term for row in ranked.orderBy("rk").collect()]

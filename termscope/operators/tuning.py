@@ -30,7 +30,7 @@ from termscope.operators.stages import (
     one_vs_rest,
 )
 from termscope.operators.terms import StopWords
-from termscope.sources.storage import stored
+from termscope.sources.storage import scratch, stored
 
 # Most entries in a part of a training set: 25 MB if all are stored. Much less would be
 # less work than the start of a task.
@@ -305,7 +305,8 @@ def grid_search(
                 trials.append(fold, point, f1)
 
         train, held_out = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
-        _fold_scores(train, held_out, left, stopwords, parallelism, finished)
+        with scratch():
+            _fold_scores(train, held_out, left, stopwords, parallelism, finished)
     rows = [
         (*asdict(point).values(), sum(known[fold, point] for fold in range(folds)) / folds)
         for point in grid

@@ -27,6 +27,7 @@ from termscope.operators.tuning import (
     training_set,
 )
 from termscope.sources.report import write_json
+from termscope.sources.storage import scratch
 
 
 @dataclass(frozen=True)
@@ -59,9 +60,10 @@ def fit_stages(
     selection = fit_selection(docs, stopwords, num_features)
     normalizer = l2_normalizer()
     features = normalizer.transform(selection.transform(docs)).select("label", "norm_features")
-    train = training_set(features, num_features)
-    model = classifier.fit(train)
-    train.unpersist()
+    with scratch():
+        train = training_set(features, num_features)
+        model = classifier.fit(train)
+        train.unpersist()
     return PipelineModel(stages=[*selection.stages, normalizer, model])
 
 

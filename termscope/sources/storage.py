@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -37,6 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _written: list[str] = []
+_scope = threading.local()
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -45,6 +47,8 @@ def new_path(spark: SparkSession, label: str) -> str:
     if not _written:
         atexit.register(remove_written)
     _written.append(path)
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
     return path
 
 
@@ -70,15 +74,22 @@ def remove_written() -> None:
 
 @contextmanager
 def scratch() -> Iterator[None]:
-    """Tables stored inside are removed at the end, so nothing lazy may leave with them."""
-    before = len(_written)
+    """Tables that this thread stores inside are removed at the end.
+
+    So nothing that still has to read them may leave: numbers, lists and fitted models may.
+    """
+    outer, own = getattr(_scope, "paths", None), []
+    _scope.paths = own
     try:
         yield
     finally:
-        kept = _written[:before]
-        del _written[:before]
-        remove_written()
-        _written[:0] = kept
+        _scope.paths = outer
+        context = SparkContext._active_spark_context
+        for name in own:
+            if name in _written and context is not None:
+                path = context._jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+                _written.remove(name)
 
 
 def move_parts(spark: SparkSession, folders: Sequence[str], path: str) -> None:

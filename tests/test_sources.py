@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 
@@ -209,3 +210,36 @@ def test_spread_leaves_wide_inputs_alone(spark):
     wide = spark.range(0, 100, 1, 4)
     assert storage.spread(wide) is wide
     assert storage.spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == 4
+
+
+def test_scratch_tables_go_and_others_stay(spark):
+    def files():
+        root = Path(storage.shared_dir(spark).removeprefix("file:"))
+        return {p.name for p in root.iterdir() if p.name.startswith("probe")}
+
+    storage.stored(spark.range(3), "probe-before")
+    with storage.scratch():
+        inside = storage.stored(spark.range(4), "probe-inside")
+        with storage.scratch():
+            storage.stored(spark.range(5), "probe-inner")
+        assert {n.split("-")[1] for n in files()} == {"before", "inside"} and inside.count() == 4
+    assert {n.split("-")[1] for n in files()} == {"before"}
+
+
+def test_nothing_stays_behind_after_a_stopped_session(tmp_path):
+    """Spark keeps its own folder there; no table of ours is left when a process ends."""
+    import subprocess
+    import sys
+
+    code = f"""
+from pyspark.sql import SparkSession
+from termscope.sources.storage import stored
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", "{tmp_path}").getOrCreate())
+assert stored(spark.range(7), "kept").count() == 7
+spark.stop()
+"""
+    root = Path(src.__file__).parents[2]
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    assert not list(tmp_path.glob("kept-*"))
