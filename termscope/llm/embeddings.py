@@ -38,6 +38,11 @@ MARGIN_SIGMAS = 1.3
 #: Leaves are compared in blocks of about so many vectors.
 BLOCK = 1024
 
+#: A leaf of more than so many times LEAF vectors is split again, by a sample of its own.
+CROWDED = 4
+LEAF_SAMPLE = 2000
+MAX_ROUNDS = 12
+
 _LEAF_BITS = 40
 
 
@@ -89,6 +94,52 @@ def _best_cut(at: np.ndarray, near: float) -> float | None:
     return float(cuts[np.argmin(np.where(useful, left + right, 3 * len(at)))])
 
 
+def _grow(forest: Forest, root: int, projected: np.ndarray, share: float, near: float) -> None:
+    """Split a node and its children by the projections of the sampled vectors in it."""
+    todo = [(root, np.arange(len(projected)), 0)]
+    while todo:
+        node, inside, missed = todo.pop()
+        level = forest.level[node]
+        if len(inside) < LEAST_SAMPLED or len(inside) <= LEAF * share or level >= DEPTH:
+            continue
+        at = np.sort(projected[inside, level])
+        cut = _best_cut(at, near)
+        if cut is None:
+            # A dense cluster lies across each cut: try another direction.
+            if missed < MISSES:
+                only = forest.node(level + 1)
+                forest.low[node] = forest.high[node] = only
+                todo.append((only, inside, missed + 1))
+            continue
+        offset = projected[inside, level] - cut
+        forest.cut[node] = cut
+        forest.low[node], forest.high[node] = forest.node(level + 1), forest.node(level + 1)
+        todo.append((forest.low[node], inside[offset <= near], 0))
+        todo.append((forest.high[node], inside[offset > -near], 0))
+
+
+def _fall(
+    forest: dict, projected: np.ndarray, root: int, near: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and the leaf nodes they reach from ``root``; a row may reach several."""
+    rows, nodes = np.arange(len(projected)), np.full(len(projected), root)
+    rows_out, nodes_out = [], []
+    while len(rows):
+        low, high = forest["low"][nodes], forest["high"][nodes]
+        done = low < 0
+        rows_out.append(rows[done])
+        nodes_out.append(nodes[done])
+        rows, nodes, low, high = rows[~done], nodes[~done], low[~done], high[~done]
+        offset = projected[rows, forest["level"][nodes]] - forest["cut"][nodes]
+        left = offset <= near
+        right = (offset > -near) & (low != high)
+        rows, nodes = (
+            np.concatenate([rows[left | (low == high)], rows[right]]),
+            np.concatenate([low[left | (low == high)], high[right]]),
+        )
+    return np.concatenate(rows_out), np.concatenate(nodes_out)
+
+
 def fit_forest(labels: list, vectors: list[np.ndarray], share: float, cosine: float) -> Forest:
     """Split the sampled vectors of each label and dimension recursively.
 
@@ -107,26 +158,7 @@ def fit_forest(labels: list, vectors: list[np.ndarray], share: float, cosine: fl
             projected = matrix @ directions(tree, size).T
             root = forest.node(0)
             forest.roots[(tree, label, size)] = root
-            todo = [(root, np.arange(len(rows)), 0)]
-            while todo:
-                node, inside, missed = todo.pop()
-                level = forest.level[node]
-                if len(inside) < LEAST_SAMPLED or len(inside) <= LEAF * share or level >= DEPTH:
-                    continue
-                at = np.sort(projected[inside, level])
-                cut = _best_cut(at, near)
-                if cut is None:
-                    # A dense cluster lies across each cut: try another direction.
-                    if missed < MISSES:
-                        only = forest.node(level + 1)
-                        forest.low[node] = forest.high[node] = only
-                        todo.append((only, inside, missed + 1))
-                    continue
-                offset = projected[inside, level] - cut
-                forest.cut[node] = cut
-                forest.low[node], forest.high[node] = forest.node(level + 1), forest.node(level + 1)
-                todo.append((forest.low[node], inside[offset <= near], 0))
-                todo.append((forest.high[node], inside[offset > -near], 0))
+            _grow(forest, root, projected, share, near)
     return forest
 
 
@@ -143,20 +175,9 @@ def leaves_of(forest: dict, label, matrix: np.ndarray, cosine: float) -> list[np
             ids_out.append(np.full(count, tree << _LEAF_BITS))
             continue
         projected = matrix @ directions(tree, size).T
-        rows, nodes = np.arange(count), np.full(count, root)
-        while len(rows):
-            low, high = forest["low"][nodes], forest["high"][nodes]
-            done = low < 0
-            rows_out.append(rows[done])
-            ids_out.append((tree << _LEAF_BITS) + 1 + nodes[done])
-            rows, nodes, low, high = rows[~done], nodes[~done], low[~done], high[~done]
-            offset = projected[rows, forest["level"][nodes]] - forest["cut"][nodes]
-            left = offset <= near
-            right = (offset > -near) & (low != high)
-            rows, nodes = (
-                np.concatenate([rows[left | (low == high)], rows[right]]),
-                np.concatenate([low[left | (low == high)], high[right]]),
-            )
+        rows, nodes = _fall(forest, projected, root, near)
+        rows_out.append(rows)
+        ids_out.append((tree << _LEAF_BITS) + 1 + nodes)
     rows, ids = np.concatenate(rows_out), np.concatenate(ids_out)
     order = np.lexsort((ids, rows))
     rows, ids = rows[order], ids[order]
@@ -195,14 +216,98 @@ def _with_units(distinct: DataFrame) -> DataFrame:
     )
 
 
+def _vectors(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
+    """The vectors of an Arrow column of lists, without a Python number for each component."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def _refined(indexed: DataFrame, tried: DataFrame | None, cosine: float, turn: int):
+    """``indexed`` with crowded leaves split again, and the leaves that were tried so far.
+
+    None if no leaf that was not tried before holds more than ``CROWDED * LEAF`` vectors.
+    Each such leaf grows a tree from a sample of its own on an executor, with directions
+    no tree had before; its vectors fall through it in blocks. So leaves are bounded for
+    any number of vectors, but for clusters that no cut parts.
+    """
+    keys = ["label", "d", "leaf"]
+    member = indexed.select("label", F.size("unit").alias("d"), "rep", F.explode("leaves").alias("leaf"))
+    crowded = member.groupBy(*keys).count().where(F.col("count") > CROWDED * LEAF)
+    if tried is not None:
+        crowded = crowded.join(tried, keys, "left_anti")
+    crowded = stored(crowded, "crowded")
+    if crowded.isEmpty():
+        return None
+    kind = indexed.schema["label"].dataType.simpleString()
+    whole = indexed.select(
+        "label", F.size("unit").alias("d"), "rep", "unit", F.explode("leaves").alias("leaf")
+    ).join(crowded, keys)
+    chance = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    sample = whole.where(chance < F.lit(float(LEAF_SAMPLE)) / F.col("count"))
+
+    def fit(key, table):
+        label, size, leaf = key
+        matrix = np.array(_vectors(table.column("unit")))
+        share = len(matrix) / table.column("count")[0].as_py()
+        forest = Forest()
+        own = directions(TREES * turn + (leaf.as_py() >> _LEAF_BITS) % TREES, size.as_py())
+        _grow(forest, forest.node(0), matrix @ own.T, share, margin(size.as_py(), cosine))
+        return pa.table(
+            {
+                "label": [label], "d": [size], "leaf": [leaf],
+                "cut": pa.array([forest.cut], pa.list_(pa.float64())),
+                **{n: pa.array([getattr(forest, n)], pa.list_(pa.int64())) for n in ("low", "high", "level")},
+            }
+        )
+
+    node = "cut array<double>, low array<bigint>, high array<bigint>, level array<bigint>"
+    grown = sample.groupBy(*keys).applyInArrow(fit, f"label {kind}, d int, leaf bigint, {node}")
+    grown = stored(grown.where("size(cut) > 1"), "grown")
+    blocks = F.ceil(F.col("count") / BLOCK).cast("int")
+    rows = whole.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).drop("count")
+    trees = grown.join(crowded, keys).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), blocks - 1))
+    ).drop("count")
+
+    def place(key, left, right):
+        _, size, leaf, _ = (k.as_py() for k in key)
+        shape = {"rep": pa.int64(), "leaf": pa.int64(), "own": pa.int64()}
+        if not left.num_rows or not right.num_rows:
+            return pa.table({n: pa.array([], t) for n, t in shape.items()})
+        forest = {n: np.array(right.column(n)[0].as_py()) for n in ("cut", "low", "high", "level")}
+        matrix = np.array(_vectors(left.column("unit")))
+        own = directions(TREES * turn + (leaf >> _LEAF_BITS) % TREES, size)
+        at, nodes = _fall(forest, matrix @ own.T, 0, margin(size, cosine))
+        ids = left.column("rep").to_numpy()[at]
+        return pa.table({"rep": ids, "leaf": np.full(len(at), leaf), "own": nodes})
+
+    both = [*keys, "block"]
+    placed = rows.groupBy(*both).cogroup(trees.groupBy(*both)).applyInArrow(
+        place, "rep bigint, leaf bigint, own bigint"
+    )
+    # The tree's number stays in the upper bits, the rest tells leaves apart.
+    low = F.xxhash64("leaf", "own").bitwiseAND(F.lit((1 << _LEAF_BITS) - 1))
+    number = F.shiftleft(F.shiftright("leaf", _LEAF_BITS), _LEAF_BITS).bitwiseOR(low)
+    moved = placed.groupBy("rep").agg(
+        F.collect_set("leaf").alias("gone"), F.collect_set(number).alias("come")
+    )
+    again = F.array_sort(F.array_union(F.array_except("leaves", "gone"), "come"))
+    leaves = F.when(F.col("gone").isNull(), F.col("leaves")).otherwise(again)
+    found = indexed.join(moved, "rep", "left").withColumn("leaves", leaves).select(*indexed.columns)
+    done = crowded.select(*keys)
+    return stored(found, "indexed"), done if tried is None else tried.unionByName(done)
+
+
 def _indexed(units: DataFrame, cosine: float) -> DataFrame:
     """``units`` with ``leaves``, the ascending ids of the leaves of each."""
     total = units.count()
-    sample = units.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("label", "unit").collect()
+    sample = units.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("label", "unit").toArrow()
     forest = fit_forest(
-        [r["label"] for r in sample],
-        [np.array(r["unit"]) for r in sample],
-        len(sample) / max(total, 1),
+        sample.column("label").to_pylist(),
+        _vectors(sample.column("unit")),
+        sample.num_rows / max(total, 1),
         cosine,
     )
     sent = units.sparkSession.sparkContext.broadcast(
@@ -339,7 +444,8 @@ def near_vectors(rows: DataFrame, cosine: float = 0.98) -> DataFrame:
     Equal vectors of a label are one vector with copies. The others are put into the
     leaves of ``TREES`` trees of random splits; leaves are compared whole, in blocks, so
     each candidate pair is verified, and a pair that several leaves hold is counted in
-    the first. No pairs leave a task, only counts and each vector's least connection.
+    the first. Trees are grown from a sample of all vectors, and leaves that hold too many
+    from samples of their own, round by round. No pairs leave a task, only counts and each vector's least connection.
     Blocks of a large leaf meet two by two in tasks of their own.
 
     Vectors that are null, zero, or have a null or non-finite component, and rows with
@@ -353,7 +459,12 @@ def near_vectors(rows: DataFrame, cosine: float = 0.98) -> DataFrame:
         usable.groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")),
         "vectors",
     )
-    indexed = stored(_indexed(_with_units(distinct), cosine), "indexed")
+    indexed, tried = stored(_indexed(_with_units(distinct), cosine), "indexed"), None
+    for turn in range(1, MAX_ROUNDS):
+        refined = _refined(indexed, tried, cosine, turn)
+        if refined is None:
+            break
+        indexed, tried = refined
     links = stored(_links(indexed, cosine), "links")
     counts = links.groupBy("rep").agg(F.sum("n").alias("n"))
     edges = links.where("root <> rep").select(F.col("rep").alias("a"), F.col("root").alias("b"))

@@ -95,8 +95,12 @@ def _vectors(seed):
     return [(i, [float(x) for x in np.float32(v)], label) for i, (v, label) in enumerate(rows)]
 
 
-def test_vectors_equal_brute_force(spark, monkeypatch):
-    for name, value in (("LEAF", 40), ("LEAST_SAMPLED", 4), ("BLOCK", 30)):
+@pytest.mark.parametrize("sample", [20_000, 60])
+def test_vectors_equal_brute_force(spark, monkeypatch, sample):
+    """Also with a sample so small that most leaves have to be split again."""
+    for name, value in (
+        ("LEAF", 40), ("LEAST_SAMPLED", 4), ("BLOCK", 30), ("SAMPLE", sample), ("CROWDED", 2), ("LEAF_SAMPLE", 60)
+    ):
         monkeypatch.setattr(embeddings, name, value)
     rows = _vectors(1)
     matrix = np.array([v for _, v, _ in rows])
@@ -128,3 +132,31 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
 def test_vectors_of_an_empty_table(spark):
     df = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
     assert embeddings.near_vectors(df).collect() == []
+
+
+def test_leaves_stay_small_whatever_the_sample(spark, monkeypatch):
+    """Comparisons per vector do not grow with the vectors that the first sample stands for."""
+    for name, value in (("LEAF", 64), ("SAMPLE", 100), ("LEAF_SAMPLE", 300)):
+        monkeypatch.setattr(embeddings, name, value)
+    rng = np.random.default_rng(2)
+    sizes, found = [], []
+    for n in (600, 2400):
+        base = rng.standard_normal((n, 32))
+        near = base[: n // 10] + 0.02 * rng.standard_normal((n // 10, 32))
+        rows = [(i, v.tolist(), 1) for i, v in enumerate(np.vstack([base, near]))]
+        df = spark.createDataFrame(rows, "rep bigint, v array<double>, label int")
+        units = embeddings._with_units(df.selectExpr("label", "v", "rep", "1L AS copies"))
+        indexed, tried = embeddings._indexed(units, 0.98), None
+        for turn in range(1, embeddings.MAX_ROUNDS):
+            refined = embeddings._refined(indexed, tried, 0.98, turn)
+            if refined is None:
+                break
+            indexed, tried = refined
+        rows = {r.rep: set(r.leaves) for r in indexed.select("rep", "leaves").collect()}
+        counts = {}
+        for own in rows.values():
+            for leaf in own:
+                counts[leaf] = counts.get(leaf, 0) + 1
+        sizes.append(max(counts.values()))
+        found.append(np.mean([bool(rows[i] & rows[n + i]) for i in range(n // 10)]))
+    assert max(sizes) <= embeddings.CROWDED * 64 and min(found) >= 0.95
