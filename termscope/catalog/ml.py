@@ -36,7 +36,7 @@ from termscope.sources.storage import new_path
 POINT = GridPoint(numTopFeatures=2000, regParam=0.01, standardization=True, maxIter=100)
 PARALLELISM = 4
 #: Largest distance to the dual bound, as a share of the objective, that counts as optimal.
-MAX_GAP = 0.05
+MAX_GAP = 0.1
 
 
 def ml_tokens(spark, sf_dir):
