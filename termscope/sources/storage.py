@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import SparkContext
@@ -72,18 +72,35 @@ def remove_written() -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+#: Spark's setting that removes the shuffle files of a query when it has ended.
+_CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 @contextmanager
-def scratch() -> Iterator[None]:
+def scratch(clean: bool = False) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Tables that this thread stores inside are removed at the end.
 
-    So nothing that still has to read them may leave: numbers, lists and fitted models may.
+    So nothing that still has to read them may leave: numbers, lists and fitted models may,
+    and tables stored by the function this yields, which belong to the scope around. With
+    ``clean``, the shuffle files of each table go as soon as it is stored, so a chain of
+    large tables needs no more disk than its largest step.
     """
     outer, own = getattr(_scope, "paths", None), []
-    _scope.paths = own
+    cleaned = getattr(_scope, "clean", False)
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        inner = _scope.paths
+        _scope.paths = outer
+        try:
+            return stored(df, label)
+        finally:
+            _scope.paths = inner
+
+    _scope.paths, _scope.clean = own, clean or cleaned
     try:
-        yield
+        yield keep
     finally:
-        _scope.paths = outer
+        _scope.paths, _scope.clean = outer, cleaned
         context = SparkContext._active_spark_context
         for name in own:
             if name in _written and context is not None:
@@ -122,7 +139,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     same rows even if ``df`` was not fully determined.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    if getattr(_scope, "clean", False):
+        conf = df.sparkSession.conf
+        before = conf.get(_CLEAN_SHUFFLES, "false")
+        conf.set(_CLEAN_SHUFFLES, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            conf.set(_CLEAN_SHUFFLES, before)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -226,6 +226,53 @@ def test_scratch_tables_go_and_others_stay(spark):
     assert {n.split("-")[1] for n in files()} == {"before"}
 
 
+def test_kept_tables_belong_to_the_scope_around(spark):
+    def files():
+        root = Path(storage.shared_dir(spark).removeprefix("file:"))
+        return {p.name.split("-")[1] for p in root.iterdir() if p.name.startswith("kept-")}
+
+    with storage.scratch() as outer:
+        with storage.scratch() as keep:
+            storage.stored(spark.range(4), "kept-gone")
+            kept = keep(spark.range(5), "kept-inner")
+            assert files() == {"gone", "inner"}
+        assert files() == {"inner"}
+        last = outer(kept.where("id < 2"), "kept-last")
+    assert files() == {"last"} and last.count() == 2
+
+
+def test_shuffle_files_go_once_a_table_is_stored(tmp_path):
+    import subprocess
+    import sys
+
+    code = f"""
+import os, time
+from pyspark.sql import SparkSession
+from termscope.sources.storage import scratch, stored
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.local.dir", "{tmp_path}/local").config("spark.sql.shuffle.partitions", 2)
+         .config("spark.checkpoint.dir", "{tmp_path}/shared").getOrCreate())
+def files():
+    return sum(f.endswith(".data") for _, _, own in os.walk("{tmp_path}/local") for f in own)
+counts = spark.range(100).groupBy("id").count()
+with scratch(clean=True):
+    assert stored(counts, "a").count() == 100
+    before = files()
+    for _ in range(50):
+        stored(counts, "b")
+    for _ in range(100):
+        if files() <= before + 2:
+            break
+        time.sleep(0.1)
+    assert files() <= before + 2, (before, files())
+name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+assert spark.conf.get(name, "false") == "false"
+"""
+    root = Path(src.__file__).parents[2]
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+
+
 def test_nothing_stays_behind_after_a_stopped_session(tmp_path):
     """Spark keeps its own folder there; no table of ours is left when a process ends."""
     import subprocess
