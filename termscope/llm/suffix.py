@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from termscope.llm.arrays import U64, mix, parts, powers, prefix_hashes, signed
 from termscope.llm.bits import hashed_ids, id_bits
-from termscope.sources.storage import stored
+from termscope.sources.storage import scratch, stored
 
 LENGTH = 50
 
@@ -380,38 +380,61 @@ def kept_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> D
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     known = docs.where("doc_id is not null")
-    keys = stored(_key_rows(known, length, anchor), "keys")
-    # Stored, so that a hot anchor is split in the join instead of kept with its documents.
-    often = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    keys = keys.join(stored(often.where("low <> high").select("key"), "often"), "key")
-    shared = stored(keys.groupBy("doc_id").agg(F.collect_set("key").alias("shared")), "shared")
+    with scratch(clean=True) as keep:
+        segments = _shared_segments(known, length, anchor)
+        segments = segments.withColumn("shift", F.col("at").bitwiseAND((1 << _SHIFT_BITS) - 1))
+        # Stored, so that the segments of a hot body are split in the join.
+        least = _least_documents(segments, length, anchor)
+        found = segments.join(least, ["key", "shift", "body"]).select("doc_id", "at", "least")
+        found = found.mapInArrow(_gone, "doc_id bigint, at int, gone bigint")
+        gone = found.groupBy("doc_id").agg(F.collect_list(F.struct("at", "gone")).alias("gone"))
+        gone = keep(gone, "gone")
+    return _finished(docs, gone, length)
+
+
+def _shared_segments(known: DataFrame, length: int, anchor: int) -> DataFrame:
+    """The stored segments of all anchors that occur in more than one row.
+
+    Anchors are hashed once to count them and again to list those of each document that
+    repeat: two passes over the texts take less disk than a table of all anchors.
+    """
+    keys = _key_rows(known, length, anchor)
+    with scratch() as keep:
+        # Stored, so that a hot anchor is split in the join instead of kept with its documents.
+        often = stored(
+            keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "often"
+        )
+        listed = keys.join(often, "key").groupBy("doc_id")
+        shared = stored(listed.agg(F.collect_set("key").alias("shared")), "shared")
+        return keep(_segments(known, shared, length, anchor), "segments")
+
+
+def _least_documents(segments: DataFrame, length: int, anchor: int) -> DataFrame:
+    """The stored least document of each string of a body, as ``_resolved`` tells it."""
 
     def resolve(batches):
         for table in _whole_collections(batches, SEGMENTS):
             yield _resolved(table, length, anchor)
 
-    segments = stored(_segments(known, shared, length, anchor), "segments")
-    segments = segments.withColumn("shift", F.col("at").bitwiseAND((1 << _SHIFT_BITS) - 1))
-    bodies = stored(
-        segments.groupBy("key", "shift", "body").agg(
-            F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
-        ),
-        "bodies",
-    )
-    crowded = stored(
-        bodies.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > SEGMENTS).select("key"),
-        "crowded",
-    )
-    found = (
-        bodies.join(F.broadcast(crowded), "key", "left_anti")
-        .repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(resolve, "key bigint, shift bigint, body binary, least array<bigint>")
-    )
-    found = found.union(_by_strings(bodies.join(F.broadcast(crowded), "key"), length))
-    # Stored, so that the segments of a hot body are split in the join.
-    least = stored(found, "least")
-    found = segments.join(least, ["key", "shift", "body"]).select("doc_id", "at", "least")
-    found = found.mapInArrow(_gone, "doc_id bigint, at int, gone bigint")
-    gone = found.groupBy("doc_id").agg(F.collect_list(F.struct("at", "gone")).alias("gone"))
-    return _finished(docs, stored(gone, "gone"), length)
+    with scratch() as keep:
+        bodies = stored(
+            segments.groupBy("key", "shift", "body").agg(
+                F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
+            ),
+            "bodies",
+        )
+        crowded = stored(
+            bodies.groupBy("key")
+            .agg(F.count("*").alias("n"))
+            .where(F.col("n") > SEGMENTS)
+            .select("key"),
+            "crowded",
+        )
+        # No hint: Spark broadcasts the crowded anchors by their measured size.
+        found = (
+            bodies.join(crowded, "key", "left_anti")
+            .repartition("key")
+            .sortWithinPartitions("key")
+            .mapInArrow(resolve, "key bigint, shift bigint, body binary, least array<bigint>")
+        )
+        return keep(found.union(_by_strings(bodies.join(crowded, "key"), length)), "least")
