@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termscope.llm.arrays import U64, mix, parts, powers, prefix_hashes, signed
@@ -370,8 +370,9 @@ def kept_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> D
        anchor make a collection, whose order of suffixes and common prefixes is built
        column by column, a symbol of each segment per round. Anchors with more than
        ``SEGMENTS`` different segments have their strings aggregated one by one.
-    3. Strings are compared byte by byte; those that a smaller document has are
-       joined to the segments and sent to their document, which drops what they cover.
+    3. Strings are compared byte by byte; those that a smaller document has are joined
+       to the segments, by a SHA-256 of the segment's bytes, and sent to their document,
+       which drops what they cover.
 
     Nulls are empty texts; empty texts and those shorter than ``length`` lose nothing.
     Rows that share a doc_id are one document and should be equal; rows with a null
@@ -385,13 +386,23 @@ def kept_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> D
         segments = segments.withColumn("shift", F.col("at").bitwiseAND((1 << _SHIFT_BITS) - 1))
         # Stored, so that the segments of a hot body are split in the join.
         least = _least_documents(segments, length, anchor)
-        found = segments.join(least, ["key", "shift", "body"]).select("doc_id", "at", "least")
+        found = segments.select("doc_id", "at", _body_id().alias("id")).join(least, "id")
+        found = found.select("doc_id", "at", "least")
         found = found.mapInArrow(_gone, "doc_id bigint, at int, gone bigint")
         gone = found.groupBy("doc_id").agg(F.collect_list(F.struct("at", "gone")).alias("gone"))
         gone = keep(gone, "gone")
     return _finished(docs, gone, length)
 
 
+def _body_id() -> Column:
+    """A SHA-256 of a body and of its anchor's place in it, which decide its anchor.
+
+    It stands for the body in the join with the segments, so that no bytes travel there.
+    """
+    place = F.lpad(F.col("shift").cast("string"), 2, "0").cast("binary")
+    return F.unhex(F.sha2(F.concat(place, "body"), 256))
+
+
 def _shared_segments(known: DataFrame, length: int, anchor: int) -> DataFrame:
     """The stored segments of all anchors that occur in more than one row.
 
@@ -410,7 +421,10 @@ def _shared_segments(known: DataFrame, length: int, anchor: int) -> DataFrame:
 
 
 def _least_documents(segments: DataFrame, length: int, anchor: int) -> DataFrame:
-    """The stored least document of each string of a body, as ``_resolved`` tells it."""
+    """The stored ``(id, least)``: for each string of a body its least document.
+
+    Bodies of which no document loses a string are left out, as in ``_resolved``.
+    """
 
     def resolve(batches):
         for table in _whole_collections(batches, SEGMENTS):
@@ -437,4 +451,5 @@ def _least_documents(segments: DataFrame, length: int, anchor: int) -> DataFrame
             .sortWithinPartitions("key")
             .mapInArrow(resolve, "key bigint, shift bigint, body binary, least array<bigint>")
         )
-        return keep(found.union(_by_strings(bodies.join(crowded, "key"), length)), "least")
+        found = found.union(_by_strings(bodies.join(crowded, "key"), length))
+        return keep(found.select(_body_id().alias("id"), "least"), "least")
