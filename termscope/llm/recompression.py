@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
@@ -19,7 +21,7 @@ from termscope.llm.arrays import (
     word_spans,
 )
 from termscope.llm.bits import hashed_ids, id_bits
-from termscope.sources.storage import stored
+from termscope.sources.storage import scratch, stored
 
 WINDOW_WORDS = 20
 
@@ -139,6 +141,25 @@ def _read(data: np.ndarray, offsets: np.ndarray, size: int):
     return (starts, ends, first, *window_keys(words, first, size))
 
 
+def window_digests(data: np.ndarray, starts, ends, at: np.ndarray, size: int) -> np.ndarray:
+    """128 bits of BLAKE2 over the words, with a blank between them, of each window ``at``."""
+    sizes = ends - starts + 1
+    stops = np.cumsum(sizes)
+    joined = np.full(stops[-1] if len(stops) else 0, 0x20, np.uint8)
+    letters = np.ones(len(joined), bool)
+    letters[stops - 1] = False
+    joined[letters] = data[~WHITE[data]]
+    view = memoryview(joined.tobytes())
+    spans = zip((stops - sizes)[at].tolist(), (stops[at + size - 1] - 1).tolist())
+    digests = b"".join(blake2b(view[a:b], digest_size=16).digest() for a, b in spans)
+    return np.frombuffer(digests, "S16")
+
+
+def _halves(digests: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    pairs = digests.view(np.int64).reshape(-1, 2)
+    return pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())
+
+
 def _key_rows(docs: DataFrame, size: int) -> DataFrame:
     """``(key, doc_id)``, for each stretch of windows with one key.
 
@@ -171,15 +192,17 @@ def _key_rows(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _candidates(batches, size):
-    """``(batch, text, spans, hashes and candidate flags of the windows)`` per slice."""
+    """``(batch, text, spans, candidate windows, their digests)`` per slice."""
     for batch, data, offsets in parts(batches, "text", SLICE_BYTES):
-        starts, ends, first, own, keys, valid = _read(data, offsets, size)
-        hit = np.zeros(len(own), bool)
+        starts, ends, first, _, keys, valid = _read(data, offsets, size)
+        hit = np.zeros(len(keys), bool)
         for i, shared in enumerate(batch.column("shared")):
             if shared.is_valid and first[i] < first[i + 1]:
                 known = np.array(shared.values.to_numpy()).view(U64)
                 hit[first[i] : first[i + 1]] = np.isin(keys[first[i] : first[i + 1]], known)
-        yield batch, data, offsets, (starts, ends, first), own, hit & valid
+        at = np.flatnonzero(hit & valid)
+        digests = window_digests(data, starts, ends, at, size)
+        yield batch, data, (starts, ends, first), at, digests
 
 
 def _may_be_listed(docs: DataFrame, lists: DataFrame) -> tuple[DataFrame, Broadcast]:
@@ -194,38 +217,36 @@ def _may_be_listed(docs: DataFrame, lists: DataFrame) -> tuple[DataFrame, Broadc
 
 
 def _first_windows(docs: DataFrame, shared: DataFrame, size: int) -> DataFrame:
-    """``(doc_id, firsts)``: hashes of the windows that no smaller document has."""
+    """``(doc_id, firsts)``: digests of the windows that no smaller document has."""
 
     def emit(batches):
-        for batch, _, _, (_, _, first), own, hit in _candidates(batches, size):
-            at = np.flatnonzero(hit)
+        for batch, _, (_, _, first), at, digests in _candidates(batches, size):
             text = np.searchsorted(first, at, "right") - 1
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(own[at])), pa.array(ids[text], pa.int64())], ["hash", "doc_id"]
+                [*_halves(digests), pa.array(ids[text], pa.int64())], ["high", "low", "doc_id"]
             )
 
     near, _ = _may_be_listed(docs, shared)
-    windows = near.join(shared, "doc_id").mapInArrow(emit, "hash bigint, doc_id bigint")
-    firsts = windows.groupBy("hash").agg(F.min("doc_id").alias("doc_id"))
-    return firsts.groupBy("doc_id").agg(F.collect_list("hash").alias("firsts"))
+    windows = near.join(shared, "doc_id").mapInArrow(emit, "high bigint, low bigint, doc_id bigint")
+    firsts = windows.groupBy("high", "low").agg(F.min("doc_id").alias("doc_id"))
+    return firsts.groupBy("doc_id").agg(F.collect_list(F.struct("high", "low")).alias("firsts"))
 
 
-def _repeated(own: np.ndarray) -> np.ndarray:
-    """Whether a hash occurred before in the array."""
-    order = np.argsort(own, kind="stable")
-    again = np.zeros(len(own), bool)
-    again[order[1:]] = own[order[1:]] == own[order[:-1]]
+def _repeated(digests: np.ndarray) -> np.ndarray:
+    """Whether a digest occurred before in the array."""
+    order = np.argsort(digests, kind="stable")
+    again = np.zeros(len(digests), bool)
+    again[order[1:]] = digests[order[1:]] == digests[order[:-1]]
     return again
 
 
-def _covered(hit: np.ndarray, size: int) -> np.ndarray:
-    """Words that some flagged window of ``size`` words covers."""
-    change = np.zeros(len(hit) + size + 1, np.int64)
-    at = np.flatnonzero(hit)
+def _covered(at: np.ndarray, count: int, size: int) -> np.ndarray:
+    """Which of ``count`` words the windows of ``size`` words ``at`` some places cover."""
+    change = np.zeros(count + size + 1, np.int64)
     np.add.at(change, at, 1)
     np.add.at(change, at + size, -1)
-    return np.cumsum(change)[: len(hit)] > 0
+    return np.cumsum(change)[:count] > 0
 
 
 def kept_words(docs: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
@@ -241,25 +262,26 @@ def kept_words(docs: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     One of them is the window's key.
 
     1. Keys are counted over all documents; windows whose key occurs once are unique.
-    2. The others are compared by the hash of their whole word sequence, and the first
-       document of each is found by an aggregate.
+    2. The others are compared by a 128-bit BLAKE2 digest of their whole word sequence,
+       and the first document of each is found by an aggregate.
     3. Each document keeps the first place of the windows it is first for, and drops
        what its other candidate windows cover.
 
     Words are runs of anything but ASCII white space, unchanged. Nulls, empty texts and
-    texts without words have no words. Sequences are compared by 64-bit hashes. Rows
-    that share a doc_id are one document and should be equal; each of them is kept or
+    texts without words have no words. 64-bit hashes only propose windows. Rows that share a doc_id are one document and should be equal; each of them is kept or
     cut alike. Rows with a null doc_id stay whole. A document's keys are gathered for
     that document only, so no group is larger than its text.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     known = docs.where("doc_id is not null")
-    keys = stored(_key_rows(known, size), "keys")
-    # Stored, so that a hot key is split in the join instead of kept with its count.
-    often = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    keys = keys.join(stored(often, "often"), "key")
-    shared = stored(keys.groupBy("doc_id").agg(F.collect_set("key").alias("shared")), "shared")
-    firsts = stored(_first_windows(known, shared, size), "firsts")
+    with scratch(clean=True) as keep:
+        keys = stored(_key_rows(known, size), "keys")
+        # Stored, so that a hot key is split in the join instead of kept with its count.
+        often = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+        keys = keys.join(stored(often, "often"), "key")
+        shared = keep(keys.groupBy("doc_id").agg(F.collect_set("key").alias("shared")), "shared")
+    with scratch(clean=True) as keep:
+        firsts = keep(_first_windows(known, shared, size), "firsts")
     lists = shared.join(firsts, "doc_id", "left")
     return _finished(docs, lists, size)
 
@@ -296,13 +318,18 @@ def _finished(docs: DataFrame, lists: DataFrame, size: int) -> DataFrame:
                 yield _kept_rows(own, data, starts, ends, first, np.zeros(len(starts), bool))
 
     def cut(batches):
-        for batch, data, _, (starts, ends, first), own, hit in _candidates(batches, size):
+        for batch, data, (starts, ends, first), at, digests in _candidates(batches, size):
+            gone = np.ones(len(at), bool)
+            bounds = np.searchsorted(at, first)
             for i, firsts in enumerate(batch.column("firsts")):
-                at = first[i] + np.flatnonzero(hit[first[i] : first[i + 1]])
-                if firsts.is_valid and len(at):
-                    known = firsts.values.to_numpy().view(U64)
-                    hit[at] = ~np.isin(own[at], known) | _repeated(own[at])
-            yield _kept_rows(batch, data, starts, ends, first, _covered(hit, size))
+                a, b = bounds[i], bounds[i + 1]
+                if firsts.is_valid and a < b:
+                    halves = [firsts.values.field(x).to_numpy() for x in ("high", "low")]
+                    known = np.ascontiguousarray(np.stack(halves, axis=1)).view("S16")[:, 0]
+                    gone[a:b] = ~np.isin(digests[a:b], known) | _repeated(digests[a:b])
+            yield _kept_rows(
+                batch, data, starts, ends, first, _covered(at[gone], len(starts), size)
+            )
 
     touched = near.join(lists, "doc_id", "left").mapInArrow(cut, shape)
     return docs.mapInArrow(untouched, shape).union(touched)

@@ -46,3 +46,26 @@ def test_long_words_have_their_own_ids(length):
     expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert [list(map(int, ids)) for ids in WordEncoder(path).encode(texts)] == expected
     assert expected[0] != expected[1] and all(np.array(expected[0]) >= 0)
+
+
+def test_windows_proposed_for_nothing_are_told_apart(documents, monkeypatch):
+    """Every window of a document is a candidate, so digests of the words alone decide."""
+
+    def all_windows(batches, size):
+        for batch, data, offsets in recompression.parts(batches, "text", 200):
+            starts, ends, first = recompression.word_spans(data, offsets, recompression.WHITE)
+            last = np.repeat(first[1:], np.diff(first))
+            at = np.flatnonzero(np.arange(len(starts)) + size <= last)
+            digests = recompression.window_digests(data, starts, ends, at, size)
+            yield batch, data, (starts, ends, first), at, digests
+
+    monkeypatch.setattr(recompression, "_candidates", all_windows)
+    passage = [f"p{i}" for i in range(30)]
+    docs = {
+        1: " ".join(passage), 2: " ".join(f"q{i}" for i in range(40)),
+        3: "a\n " + "\t ".join(passage[3:27]) + " b", 4: " ".join(passage[:19] + ["other"]),
+        5: " ".join([*passage[:25], *passage[:25]]), 6: "é " * 50, 7: "", 8: None,
+    }
+    rows = recompression.kept_words(documents(docs)).collect()
+    found = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in rows}
+    assert found == brute.kept_words(docs)
