@@ -8,6 +8,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import CountVectorizerModel, IDFModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from termscope.functions.stats import log_chi_square_tail
@@ -140,6 +141,15 @@ def test_training_set_is_merged_by_size(spark, docs, monkeypatch):
     assert kept.rdd.getNumPartitions() == 4 and kept.count() == 150
 
 
+def test_parts_are_sized_by_the_entries_that_are_there(spark, monkeypatch):
+    """500 vectors of 3 entries each, among 2000 features, are 3500 entries with their rows."""
+    vectors = [(float(i % 2), Vectors.sparse(2000, [i, i + 1, i + 2], [1.0, 2.0, 3.0])) for i in range(500)]
+    rows = spark.createDataFrame(vectors, ["label", "norm_features"])
+    monkeypatch.setattr(tuning, "ENTRIES_PER_PART", 2000)
+    kept = tuning.training_set(rows, 2000)
+    assert kept.rdd.getNumPartitions() == 2 and kept.count() == 500
+
+
 def test_binary_svm(docs):
     two = docs.where("category <> 'Food'")
     terms = best_terms(two, 8, STOP)
