@@ -12,13 +12,28 @@ from pyspark.sql import functions as F
 from termscope.llm.arrays import FOLD, U64, mix, parts, shingle_hashes, signed
 from termscope.llm.bits import hashed_ids, id_bits
 from termscope.llm.components import connected
-from termscope.sources.storage import stored
+from termscope.sources.storage import scratch, stored
 
-#: Shingles are counted in so many buckets, whatever the size of the corpus: rarity
-#: only orders the prefixes, so a coarse count costs time, never a pair.
-RARITY_BITS = 20
+#: Shingles share so many buckets, whatever the size of the corpus: rarity only orders
+#: the prefixes, so a coarse one costs time, never a pair.
+RARITY_BITS = 24
+_LOW_BITS = 12
 
-_SHAPE = "doc_id bigint, size int, digest binary, fp bigint, tokens array<bigint>"
+#: Shingles that a task holds before it hands their counts on.
+HELD = 1 << 20
+
+#: 64-bit parts of a set's sketch.
+SKETCH = 8
+
+#: Steps of rarity per doubling of a shingle's documents; 255 is the last step.
+STEPS = 8
+
+_SHAPE = (
+    "doc_id bigint, size int, digest binary, fp bigint, tokens array<bigint>, sketch array<bigint>"
+)
+
+
+_SKETCH_SEED = U64(0xC2B2AE3D27D4EB4F)
 
 
 def _sets(batches, words):
@@ -32,37 +47,100 @@ def _sets(batches, words):
         yield batch, [np.unique(hashes[a:b]) for a, b in zip(first[:-1], first[1:])], digests
 
 
-def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
-    """Documents per bucket of shingles, over all documents."""
+def shingle_rarity(docs: DataFrame, words: int) -> np.ndarray:
+    """Per bucket of shingles: how frequent its most frequent one is, in steps; 0 if all are unique.
+
+    Each shingle is counted by itself. Sums over a bucket would grow with the corpus
+    until no shingle of a few documents could be told from one that is unique. Shingles
+    travel as sorted arrays, one per range of buckets, and a range is counted at a time.
+    """
+    low_bits = min(_LOW_BITS, RARITY_BITS)
     shift = U64(64 - RARITY_BITS)
 
-    def count(batches):
-        total = np.zeros(1 << RARITY_BITS, np.int64)
+    def block(held):
+        tokens, n = np.unique(np.concatenate(held), return_counts=True)
+        high = ((tokens >> shift) >> U64(low_bits)).astype(np.int64)
+        at = np.flatnonzero(np.append(True, high[1:] != high[:-1]))
+        ends = np.append(at, len(tokens)).astype(np.int32)
+        columns = [
+            pa.Array.from_buffers(
+                pa.binary(),
+                len(at),
+                [None, pa.py_buffer(ends * values.itemsize), pa.py_buffer(values.tobytes())],
+            )
+            for values in (tokens, n.astype(np.uint32))
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(high[at]), *columns], ["high", "tokens", "n"])
+
+    def counts(batches):
+        held, count = [], 0
         for _, sets, _ in _sets(batches, words):
-            if sets:
-                each = (np.concatenate(sets) >> shift).astype(np.int64)
-                total += np.bincount(each, minlength=len(total))
-        full = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(total[full])], ["bucket", "n"])
+            held += sets
+            count += sum(map(len, sets))
+            if count >= HELD:
+                yield block(held)
+                held, count = [], 0
+        if count:
+            yield block(held)
+
+    def steps(high, tokens, n):
+        each, place = np.unique(np.concatenate(tokens), return_inverse=True)
+        total = np.bincount(place, weights=np.concatenate(n))
+        step = np.minimum(np.rint(STEPS * np.log2(total)), 255).astype(np.uint8)
+        table = np.zeros(1 << low_bits, np.uint8)
+        np.maximum.at(table, ((each >> shift) & U64((1 << low_bits) - 1)).astype(np.int64), step)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([high]), pa.array([table.tobytes()], pa.binary())], ["high", "steps"]
+        )
 
-    rows = docs.select("text").mapInArrow(count, "bucket bigint, n bigint")
-    counts = rows.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(1 << RARITY_BITS, np.int64)
-    total[counts["bucket"].to_numpy()] = counts["n"].to_numpy()
-    return total
+    def counted(batches):
+        own, tokens, n = None, [], []
+        for batch in batches:
+            for high, some, times in zip(*(c.to_pylist() for c in batch.columns)):
+                if high != own and tokens:
+                    yield steps(own, tokens, n)
+                    tokens, n = [], []
+                own = high
+                tokens.append(np.frombuffer(some, U64))
+                n.append(np.frombuffer(times, np.uint32))
+        if tokens:
+            yield steps(own, tokens, n)
+
+    ranges = (
+        docs.select("text")
+        .mapInArrow(counts, "high bigint, tokens binary, n binary")
+        .repartition("high")
+        .sortWithinPartitions("high")
+        .mapInArrow(counted, "high bigint, steps binary")
+    )
+    total = np.zeros((1 << (RARITY_BITS - low_bits), 1 << low_bits), np.uint8)
+    with scratch(clean=True):
+        for row in stored(ranges, "rarity").collect():
+            total[row["high"]] = np.frombuffer(row["steps"], np.uint8)
+    return total.reshape(-1)
+
+
+def _sketch(tokens: np.ndarray) -> np.ndarray:
+    """Bits that say of how many shingles, odd or even, a set has that fall on each.
+
+    Two sketches differ in no more bits than their sets differ in shingles.
+    """
+    place = (mix(tokens ^ _SKETCH_SEED) % U64(64 * SKETCH)).astype(np.int64)
+    odd = np.bincount(place, minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Per document: set size, digest of its words, fingerprint of the prefix, and it.
+    """Per document: set size, digest of its words, fingerprint of the prefix, it, a sketch.
 
     The prefix holds the rarest ``n - ceil(t n) + 1`` shingles; two sets of Jaccard
     similarity t or more have one of them in common.
     """
-    counts = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, words))
+    steps = docs.sparkSession.sparkContext.broadcast(shingle_rarity(docs, words))
     shift = U64(64 - RARITY_BITS)
 
     def shape(batches):
-        rarity = counts.value
+        rarity = steps.value
         for batch, sets, digests in _sets(batches, words):
             sizes = np.array([len(s) for s in sets], np.int32)
             prints = np.zeros(len(sets), U64)
@@ -80,6 +158,10 @@ def _prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(
                 pa.array(np.cumsum(lengths), pa.int32()), pa.array(signed(joined))
             )
+            sketches = np.concatenate([np.zeros(0, np.int64), *map(_sketch, sets)])
+            sketch = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(sets) + 1) * SKETCH, pa.int32()), pa.array(sketches)
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -87,8 +169,9 @@ def _prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     pa.array(digests, pa.binary()),
                     pa.array(signed(prints)),
                     lists,
+                    sketch,
                 ],
-                ["doc_id", "size", "digest", "fp", "tokens"],
+                ["doc_id", "size", "digest", "fp", "tokens", "sketch"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(shape, _SHAPE)
@@ -178,6 +261,15 @@ def _may_link(percent: int):
     )
 
 
+def _may_be_near(percent: int):
+    """Whether the sketches of whole sets l and r differ in few enough bits."""
+    differ = sum(
+        (F.bit_count(F.get("l.sketch", F.lit(i)).bitwiseXOR(F.get("r.sketch", F.lit(i)))) for i in range(SKETCH)),
+        F.lit(0),
+    )
+    return differ * (100 + percent) <= (100 - percent) * (F.col("l.size") + F.col("r.size"))
+
+
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row for each row of ``docs``.
 
@@ -208,12 +300,15 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     shaped = stored(_prefixes(docs, words, percent), "prefixes")
     keyed = shaped.where("size > 0 and doc_id is not null")
     classes = stored(
-        keyed.groupBy("digest", "size", "fp").agg(F.min("doc_id").alias("rep")), "classes"
+        keyed.groupBy("digest", "size", "fp").agg(
+            F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")
+        ),
+        "classes",
     )
     leads = classes.groupBy("fp", "size").agg(
         F.min("rep").alias("gid"), F.count("*").alias("classes")
     )
-    member = stored(classes.join(leads, ["fp", "size"]).select("rep", "gid"), "members")
+    member = stored(classes.join(leads, ["fp", "size"]).select("rep", "gid", "sketch"), "members")
     entries = (
         keyed.select("doc_id", "size", "tokens")
         .join(leads.select(F.col("gid").alias("doc_id"), "classes"), "doc_id")
@@ -248,7 +343,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     placed = (
         entries.join(member, "gid")
         .join(known.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("token", "rep", "size", "pos", F.coalesce("component_id", "rep").alias("c"))
+        .select(
+            "token", "rep", "size", "pos", "sketch", F.coalesce("component_id", "rep").alias("c")
+        )
     )
     mixed = (
         placed.groupBy("token")
@@ -264,7 +361,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
             placed.alias("r"),
             (F.col("l.token") == F.col("r.token"))
             & (F.col("l.c") != F.col("r.c"))
-            & _may_link(percent),
+            & _may_link(percent)
+            & _may_be_near(percent),
         )
         .select(
             F.least("l.rep", "r.rep").alias("a"),

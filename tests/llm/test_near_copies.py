@@ -2,6 +2,7 @@ import random
 
 import llm_definitions as brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_fixtures import documents  # noqa: F401
@@ -56,6 +57,29 @@ def test_members_of_a_group_are_linked_without_their_lead(documents, monkeypatch
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute.jaccard(docs, 1, 90)
 
 
+def test_shingles_of_few_documents_are_told_from_unique_ones(documents, monkeypatch):
+    """However many unique ones share their bucket."""
+    monkeypatch.setattr(jaccard, "RARITY_BITS", 6)
+    monkeypatch.setattr(jaccard, "HELD", 300)
+    docs = [(i, " ".join(["hot" if i < 40 else "cold", *(f"w{i}x{k}" for k in range(50))])) for i in range(60)]
+    steps = jaccard.shingle_rarity(documents(docs), 1)
+    (_, (hot, cold), _), = jaccard._sets([pa.RecordBatch.from_pydict({"text": ["hot", "cold"]})], 1)
+    buckets = [int(t[0]) >> 58 for t in (hot, cold)]
+    assert [int(steps[b]) for b in buckets] == [round(8 * np.log2(n)) for n in (40, 20)]
+    assert np.count_nonzero(steps) == 2 and len(steps) == 64
+
+
+def test_sketches_differ_in_no_more_bits_than_sets():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 30, 700):
+        for changed in (0, 1, 10, 200):
+            a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+            b = np.unique(np.append(a[changed:], rng.integers(0, 1 << 63, changed).astype(np.uint64)))
+            differ = jaccard._sketch(a) ^ jaccard._sketch(b)
+            bits = sum(bin(int(x) & (2**64 - 1)).count("1") for x in differ)
+            assert bits <= len(np.setxor1d(a, b)) and (bits > 0) == (len(np.setxor1d(a, b)) > 0)
+
+
 def test_one_document_of_each_group_stays_with_its_columns(documents):
     text = " ".join(f"t{i}" for i in range(30))
     df = documents([(3, text), (1, text + " end"), (2, "other"), (4, None), (None, text)])
