@@ -119,18 +119,26 @@ def window_keys(words: np.ndarray, first: np.ndarray, size: int):
     own = np.zeros(len(words), U64)
     found = window_hashes(words, size)
     own[: len(found)] = found
-    keys = np.zeros(len(words), U64)
-    for symbols in reversed(recompressed(words, text)):
+    count, levels = len(words), size.bit_length()
+    # Row k holds what counts for 2**k windows from a place on: two entries span any range.
+    best = np.zeros((levels, count), U64)
+    logs = np.array([0] + [n.bit_length() - 1 for n in range(1, size + 1)])
+    for symbols in recompressed(words, text):
         spare = size - (symbols.high - symbols.low)
         fits = (symbols.low >= 0) & (symbols.high < _FAR) & (spare >= 0)
         span = np.minimum(symbols.words[fits], 63).astype(U64) << U64(58)
         rank = span | (mix(symbols.name[fits] + U64(0x2545F491)) >> U64(6))
-        low, spare = symbols.low[fits], spare[fits]
-        for back in range(size):
-            reach = (spare >= back) & (low >= back)
-            if not reach.any():
-                break
-            np.maximum.at(keys, low[reach] - back, rank[reach])
+        low = symbols.low[fits]
+        start = np.maximum(low - spare[fits], 0)
+        level = logs[low - start + 1]
+        np.maximum.at(best.reshape(-1), level * count + start, rank)
+        np.maximum.at(best.reshape(-1), level * count + low + 1 - (1 << level), rank)
+    for k in range(levels - 1, 0, -1):
+        half = 1 << (k - 1)
+        np.maximum(best[k - 1], best[k], out=best[k - 1])
+        after = best[k - 1][half:]
+        np.maximum(after, best[k][: len(after)], out=after)
+    keys = best[0]
     keys = np.where(keys == 0, mix(own ^ _RUN) >> U64(6), keys)
     return own, keys, starts
 
@@ -229,7 +237,9 @@ def _first_windows(docs: DataFrame, shared: DataFrame, size: int) -> DataFrame:
 
     near, _ = _may_be_listed(docs, shared)
     windows = near.join(shared, "doc_id").mapInArrow(emit, "high bigint, low bigint, doc_id bigint")
+    # Stored, so that the texts' shuffle is gone before the lists are dealt by document.
     firsts = windows.groupBy("high", "low").agg(F.min("doc_id").alias("doc_id"))
+    firsts = stored(firsts, "windows")
     return firsts.groupBy("doc_id").agg(F.collect_list(F.struct("high", "low")).alias("firsts"))
 
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import llm_definitions as brute
+import numpy as np
 import pytest
 
 from llm_fixtures import documents  # noqa: F401
@@ -179,3 +180,21 @@ def test_keys_are_counted_without_windows(documents, monkeypatch, module, kept):
     monkeypatch.setattr(module, "stored", noted)
     kept(documents([(1, "a b " * 40), (2, "a b " * 40)])).collect()
     assert plans and not any("Window" in plan for plan in plans)
+
+
+def test_keys_are_those_of_the_best_symbol_within_each_window():
+    """By the definition: every symbol is tried for every window."""
+    rng = np.random.default_rng(5)
+    for size, kinds in ((1, 3), (3, 2), (20, 2), (20, 1000)):
+        words = recompression.mix(rng.integers(0, kinds, 150).astype(np.uint64))
+        first = np.array([0, 60, 60, 150])
+        own, keys, _ = recompression.window_keys(words, first, size)
+        text = np.repeat(np.arange(3), np.diff(first))
+        best = [0] * len(words)
+        for symbols in recompression.recompressed(words, text):
+            for name, low, high, held in zip(symbols.name, symbols.low, symbols.high, symbols.words):
+                rank = int(recompression.mix(np.array([name]) + np.uint64(0x2545F491))[0]) >> 6
+                for at in range(max(high - size, 0), low + 1) if 0 <= low and high < 1 << 61 else ():
+                    best[at] = max(best[at], min(int(held), 63) << 58 | rank)
+        alone = recompression.mix(own ^ recompression._RUN) >> np.uint64(6)
+        assert [int(k) for k in keys] == [b or int(a) for b, a in zip(best, alone)]
