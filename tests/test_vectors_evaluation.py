@@ -147,3 +147,15 @@ def test_unit_weights_shuffle_only_texts(spark, tmp_path):
     assert any("Generate inline" in line for line in plan[:deeper])
     length = unit.groupBy("doc_id").agg(F.round(F.sum(F.col("weight") * F.col("weight")), 9).alias("s"))
     assert {r.s for r in length.collect()} <= {0.0, 1.0}
+
+
+def test_lengths_need_no_sort_and_rows_without_an_id_are_one_document(spark):
+    rows = [(1, "a", "river road road"), (1, "b", "hook"), (None, "a", "hook hook fish"), (None, "c", "tree")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, category string, reviewText string")
+    unit = v.unit_tfidf(docs)
+    plan = unit._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort " not in plan and "ShuffledHashJoin" in plan
+    squares = {}
+    for r in unit.collect():
+        squares[r.doc_id] = squares.get(r.doc_id, 0) + r.weight**2
+    assert squares == pytest.approx({1: 1.0, None: 1.0})
