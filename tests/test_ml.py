@@ -11,8 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from termscope.functions.stats import log_chi_square_tail
-from termscope.operators import evaluation, stages, tuning
+from termscope.functions.stats import log_chi_square_tail, log_chi_square_tail_bounds
+from termscope.operators import evaluation, selection, stages, tuning
 from termscope.operators import vectors as v
 from termscope.operators.certificate import duality_gap
 from termscope.operators.scoring import ModelTables, model_tables, predictions
@@ -418,3 +418,64 @@ def test_no_text_below_a_training_set(docs):
     train = tuning.training_set(features, 4)
     plan = train._jdf.queryExecution().analyzed().toString()
     assert "parquet" in plan and "reviewText" not in plan and "tokens" not in plan
+
+
+def test_bounds_hold_the_log_tail(spark):
+    rows = [
+        (float(s), d)
+        for d in (1, 2, 3, 4, 7, 18, 99, 100, 401)
+        for s in (0.001, 0.5, 0.9 * d, d + 0.1, d + 2.1, d + 30.0, 2.0 * d + 40, 50_000.0)
+    ]
+    df = spark.createDataFrame([*rows, (5.0, 0), (0.0, 3), (None, 2)], "s double, d int")
+    below, above = log_chi_square_tail_bounds(F.col("s"), F.col("d"))
+    tail = log_chi_square_tail(F.col("s"), F.col("d"))
+    *found, none, zero, unknown = df.select("*", below.alias("a"), tail.alias("tail"), above.alias("b")).collect()
+    assert all(r.a - 1e-9 <= r.tail <= r.b + 1e-9 for r in found)
+    assert none[2:] == zero[2:] == (0.0, 0.0, 0.0) and unknown[2:] == (None, None, None)
+
+
+def test_only_terms_that_may_be_best_are_tested_in_full(spark):
+    """Those with bounds too far off are left out, ties at the edge are not."""
+    rnd = random.Random(5)
+    rows = [(f"t{i:04d}", rnd.choice((1, 3, 6, 9, 40)), rnd.expovariate(0.05)) for i in range(3000)]
+    rows += [(f"tie{i:02d}", 3, 300.0) for i in range(40)] + [("none", 0, 0.0)]
+    statistics = spark.createDataFrame(rows, "term string, dof int, statistic double")
+    tail = F.round(log_chi_square_tail(F.col("statistic"), F.col("dof")), 6)
+    whole = [r.term for r in statistics.orderBy(tail, "term").select("term").collect()]
+    for n in (1, 20, 60, 5000):
+        assert [r.term for r in top_statistics(statistics, n).orderBy("rk").collect()] == whole[:n]
+    assert selection._candidates(statistics, 60).count() < 300
+
+
+def test_texts_are_tokenized_once_for_counts_and_weights(docs):
+    """What Spark's own pipeline gives, from stored counts; repeated and null ids are rows."""
+    terms = best_terms(docs, 8, STOP)
+    odd = docs.unionByName(docs.where("doc_id < 3")).unionByName(
+        docs.where("doc_id = 4").withColumn("doc_id", F.lit(None).cast("bigint"))
+    )
+    whole = stages.selection_stages(STOP, terms).fit(odd)
+    model, features = stages.weighted_documents(odd, STOP, terms)
+    plan = features._jdf.queryExecution().analyzed().toString()
+    assert "reviewText" not in plan and "tokens" not in plan
+    a, b = (
+        sorted(
+            stages.vector_entries(df, ["doc_id", "label"], "selected_features").collect(),
+            key=lambda r: (r.doc_id is None, r),
+        )
+        for df in (whole.transform(odd), features)
+    )
+    assert a == b and [s.uid[:4] for s in model.stages] == [s.uid[:4] for s in whole.stages]
+
+
+def test_entries_of_vectors(spark):
+    rows = [
+        (1, Vectors.sparse(2000, [3, 1999], [1.5, 0.0])),
+        (2, Vectors.dense([0.0, 2.0])),
+        (3, Vectors.dense([])),
+        (4, Vectors.sparse(5, [], [])),
+        (5, None),
+    ]
+    df = spark.createDataFrame(rows, ["id", "v"])
+    entries = stages.vector_entries(df, ["id"], "v")
+    assert sorted(map(tuple, entries.collect())) == [(1, 3, 1.5), (2, 1, 2.0)]
+    assert "vector_to_array" not in entries._jdf.queryExecution().analyzed().toString()
