@@ -35,6 +35,18 @@ def tally(docs: DataFrame, stopwords: StopWords = ()) -> DataFrame:
     return pairs.groupBy("category", "term").agg(F.sum(weight).alias("tally"))
 
 
+def tally_of(tallied: DataFrame, terms: DataFrame) -> DataFrame:
+    """The rows of some terms, and those of the categories, which have a NULL term.
+
+    For lists that fit in each task, such as a selection. The scores of a term need no
+    others. Both readers of the tally still share its shuffle: the test is the same for
+    both, and no join by term follows that would add a filter for one of them.
+    """
+    marker = terms.sparkSession.createDataFrame([(None,)], "_kept string")
+    kept = terms.select(F.col("term").alias("_kept")).unionAll(marker)
+    return tallied.join(F.broadcast(kept), F.col("term").eqNullSafe(F.col("_kept")), "left_semi")
+
+
 def category_term_rows(tallied: DataFrame) -> DataFrame:
     """Ntc: ``(category, term, ntc)``."""
     return tallied.where("tally > 0").select("category", "term", F.col("tally").alias("ntc"))

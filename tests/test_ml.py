@@ -15,6 +15,8 @@ from termscope.functions.stats import log_chi_square_tail, log_chi_square_tail_b
 from termscope.operators import evaluation, selection, stages, tuning
 from termscope.operators import vectors as v
 from termscope.operators.certificate import duality_gap
+from termscope.operators.counts import tally, tally_of
+from termscope.operators.scores import contingency, global_scores
 from termscope.operators.scoring import ModelTables, model_tables, predictions
 from termscope.operators.selection import best_terms, term_statistics, top_statistics
 from termscope.plans.classification import fit_classifier, tune_and_evaluate
@@ -447,6 +449,15 @@ def test_only_terms_that_may_be_best_are_tested_in_full(spark):
     assert selection._candidates(statistics, 60).count() < 300
 
 
+def test_selected_terms_read_the_texts_of_a_tally_once(docs):
+    """One shuffle of the tally, which both of its readers share, and only of some terms."""
+    terms = docs.sparkSession.createDataFrame([("salmon",), ("great",)], "term string")
+    whole = global_scores(contingency(tally(docs, STOP))).where(F.col("term").isin("salmon", "great"))
+    scored = global_scores(contingency(tally_of(tally(docs, STOP), terms)))
+    assert sorted(scored.collect()) == sorted(whole.collect())
+    assert tally_of(tally(docs, STOP), terms).where("tally < 0").count() == 3
+
+
 def test_texts_are_tokenized_once_for_counts_and_weights(docs):
     """What Spark's own pipeline gives, from stored counts; repeated and null ids are rows."""
     terms = best_terms(docs, 8, STOP)
